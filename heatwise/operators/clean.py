@@ -18,8 +18,23 @@ def rename_legacy(df: DataFrame) -> DataFrame:
 
 
 def drop_incomplete(df: DataFrame, subset: list[str] | None = None) -> DataFrame:
-    """Drop rows with a null (or NaN) in any / the given columns."""
-    return rename_legacy(df).dropna(how="any", subset=subset)
+    """Drop rows with a null (or NaN) in any / the given columns.
+
+    Same rows as ``dropna(how='any')``, stated as one ``isNotNull`` (and ``isnan``
+    for floating columns) per column.  ``dropna`` is a single predicate over all
+    columns; when it is pushed below a projection that aliases many expressions,
+    Catalyst's constraint inference copies that predicate once per alias and the
+    constraint set grows as 2^columns.  Separate conjuncts grow linearly.
+    """
+    df = rename_legacy(df)
+    types = dict(df.dtypes)
+    cond = None
+    for c in subset or df.columns:
+        ok = F.col(c).isNotNull()
+        if types[c] in ("double", "float"):
+            ok = ok & ~F.isnan(F.col(c))
+        cond = ok if cond is None else cond & ok
+    return df if cond is None else df.filter(cond)
 
 
 def with_linear(df: DataFrame) -> DataFrame:
@@ -29,7 +44,7 @@ def with_linear(df: DataFrame) -> DataFrame:
         "heat": D.heat_linear("average_usage_cpu"),
         "energy": D.energy_linear("average_usage_cpu", D.duration_raw()),
     })
-    return out.dropna(subset=["duration", "heat", "energy"])
+    return drop_incomplete(out, subset=["duration", "heat", "energy"])
 
 
 def linear_tasks(tasks: DataFrame) -> DataFrame:
