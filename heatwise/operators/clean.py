@@ -52,6 +52,12 @@ def linear_tasks(tasks: DataFrame) -> DataFrame:
     return with_linear(drop_incomplete(tasks))
 
 
+def ensure_columns(raw: DataFrame, cols: list[str]) -> DataFrame:
+    """An absent trace column reads as absent values (then the default rule applies)."""
+    missing = [c for c in cols if c not in raw.columns]
+    return raw.withColumns({c: F.lit(None).cast("string") for c in missing}) if missing else raw
+
+
 def split_rejected(raw: DataFrame, numbers: list[str]) -> tuple[DataFrame, DataFrame]:
     """Rows whose listed numbers all parse (good) and the rest (rejected)."""
     bad = P.any_bad(numbers)
@@ -65,6 +71,8 @@ def parse_composite(raw: DataFrame) -> DataFrame:
     normalised.  Rows with an unparseable number or a blank machine id are left
     out; ``rejected_composite`` returns them.
     """
+    raw = ensure_columns(raw, COMPOSITE_NUMBERS + ["collection_id", "scheduling_class", "collection_type",
+                                                   "priority", "event", "failed"])
     good = raw.filter(P.clean_key("machine_id").isNotNull() & ~P.any_bad(COMPOSITE_NUMBERS))
     typed = {c: P.number_or_zero(c) for c in COMPOSITE_NUMBERS}
     return good.select(
@@ -82,6 +90,7 @@ def parse_composite(raw: DataFrame) -> DataFrame:
 
 def rejected_composite(raw: DataFrame) -> DataFrame:
     """Rows the composite mapper drops, with the reason."""
+    raw = ensure_columns(raw, COMPOSITE_NUMBERS)
     no_machine = P.clean_key("machine_id").isNull()
     bad = P.any_bad(COMPOSITE_NUMBERS)
     return (raw.filter(no_machine | bad)
