@@ -27,11 +27,16 @@ def number_or_zero(c) -> Column:
 def is_bad_number(c) -> Column:
     """True when the raw text is present and non-empty but does not parse as a number."""
     col = _c(c)
-    return col.isNotNull() & (col != "") & F.nullif(col, F.lit("")).try_cast("double").isNull()
+    return (F.coalesce(col, F.lit("")) != "") & col.try_cast("double").isNull()
+
+
+def all_good(cols) -> Column:
+    """No listed number is malformed: one small conjunct per column."""
+    return reduce(lambda a, b: a & b, [~is_bad_number(c) for c in cols])
 
 
 def any_bad(cols) -> Column:
-    return reduce(lambda a, b: a | b, [is_bad_number(c) for c in cols])
+    return ~all_good(cols)
 
 
 def clean_key(c) -> Column:

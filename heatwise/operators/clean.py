@@ -60,8 +60,7 @@ def ensure_columns(raw: DataFrame, cols: list[str]) -> DataFrame:
 
 def split_rejected(raw: DataFrame, numbers: list[str]) -> tuple[DataFrame, DataFrame]:
     """Rows whose listed numbers all parse (good) and the rest (rejected)."""
-    bad = P.any_bad(numbers)
-    return raw.filter(~bad), raw.filter(bad)
+    return raw.filter(P.all_good(numbers)), raw.filter(P.any_bad(numbers))
 
 
 def parse_composite(raw: DataFrame) -> DataFrame:
@@ -73,7 +72,7 @@ def parse_composite(raw: DataFrame) -> DataFrame:
     """
     raw = ensure_columns(raw, COMPOSITE_NUMBERS + ["collection_id", "scheduling_class", "collection_type",
                                                    "priority", "event", "failed"])
-    good = raw.filter(P.clean_key("machine_id").isNotNull() & ~P.any_bad(COMPOSITE_NUMBERS))
+    good = raw.filter(P.clean_key("machine_id").isNotNull() & P.all_good(COMPOSITE_NUMBERS))
     typed = {c: P.number_or_zero(c) for c in COMPOSITE_NUMBERS}
     return good.select(
         F.col("sl_no"),

@@ -121,7 +121,7 @@ def reducer_suite(s: DataFrame) -> DataFrame:
 # ---- B1-B5 over the dirty trace -----------------------------------------------
 
 def _keyed(raw: DataFrame, key: str, numbers: list[str]) -> DataFrame:
-    return raw.filter(P.clean_key(key).isNotNull() & ~P.any_bad(numbers)) \
+    return raw.filter(P.clean_key(key).isNotNull() & P.all_good(numbers)) \
               .withColumn(key, P.clean_key(key))
 
 
@@ -178,7 +178,7 @@ def machine_report(raw: DataFrame) -> DataFrame:
 
 def overall_report(raw: DataFrame) -> DataFrame:
     """All rows (blank machine ids kept), raw duration (D1), H5, E2."""
-    t = raw.filter(~P.any_bad(_RUNTIME_NUMBERS))
+    t = raw.filter(P.all_good(_RUNTIME_NUMBERS))
     return t.agg(*_runtime_metrics(t, clamp=False))
 
 

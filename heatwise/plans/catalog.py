@@ -54,23 +54,23 @@ def r6(df: DataFrame, digits: int = 6) -> DataFrame:
 # ---- shared inputs ------------------------------------------------------------
 
 def tasks(spark, d):
-    return star.tasks_from_star(spark, d)
+    return star.land(spark, d, "tasks")
 
 
 def lin(spark, d):
-    return C.linear_tasks(star.tasks_from_star(spark, d))
+    return C.linear_tasks(tasks(spark, d))
 
 
 def strings(spark, d):
-    return star.tasks_strings(spark, d)
+    return star.land(spark, d, "strings")
 
 
 def dirty(spark, d):
-    return star.tasks_dirty(spark, d)
+    return star.land(spark, d, "dirty")
 
 
 def derived(spark, d):
-    return C.with_composite(C.parse_composite(star.tasks_dirty(spark, d)))
+    return C.with_composite(C.parse_composite(dirty(spark, d)))
 
 
 def rollup(spark, d):

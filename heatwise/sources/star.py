@@ -1,11 +1,12 @@
 """The task table, derived from the star-schema parquet tables.
 
-``tasks_from_star`` is the typed table every report reads.  ``tasks_strings`` is
+``tasks_from_star`` is the typed task table.  ``tasks_strings`` is
 the same rows in the raw trace form (every column a string, as a header-only CSV
 read gives them) and ``tasks_dirty`` adds the irregularities a real trace file
 has: padded and blank keys, several spellings of the failed flag, empty and
-unparseable numbers.  All three are plain projections, so Catalyst prunes the
-scan to the columns a report uses and pushes its filters into the parquet read.
+unparseable numbers.  All three are plain projections.  ``land`` writes each
+once per session and input to the shared folder, as a trace would arrive as
+files; reports then scan the landed parquet, pruned to their columns.
 """
 
 from __future__ import annotations
@@ -77,7 +78,10 @@ def tasks_from_star(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def tasks_strings(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The task table as the raw trace gives it: string columns, trace header names."""
-    t = tasks_from_star(spark, sf_dir)
+    return strings_of(tasks_from_star(spark, sf_dir))
+
+
+def strings_of(t: DataFrame) -> DataFrame:
     return t.select([F.col(c).cast("string").alias(RAW_NAME.get(c, c)) for c in TASK_COLUMNS])
 
 
@@ -86,6 +90,10 @@ def _num_text(c: str) -> Column:
 
 
 def tasks_dirty(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return dirty_of(tasks_from_star(spark, sf_dir))
+
+
+def dirty_of(t: DataFrame) -> DataFrame:
     """String task rows with deterministic irregularities (rules keyed on ``sl_no``).
 
     * failed flag spelled ``true/false``, `` Yes/no``, ``TRUE /0`` or ``1/0``;
@@ -94,7 +102,6 @@ def tasks_dirty(spark: SparkSession, sf_dir: str) -> DataFrame:
     * absent numbers empty, some CPU readings empty, and the unparseable tokens
       ``n/a`` (assigned memory) and ``x1`` (cycles per instruction).
     """
-    t = tasks_from_star(spark, sf_dir)
     s = F.col("sl_no")
     f = F.col("failed") == 1
     failed_txt = (F.when(F.pmod(s, 5) == 0, F.when(f, "true").otherwise("false"))
@@ -130,3 +137,38 @@ def tasks_dirty(spark: SparkSession, sf_dir: str) -> DataFrame:
         raw = RAW_NAME.get(c, c)
         out.append(cols.get(raw, _num_text(c)).alias(raw))
     return t.select(out)
+
+
+# ---- landing: derived traces written once, read by every report -------------------
+
+_BUILDERS = {
+    "tasks": tasks_from_star,
+    "strings": lambda spark, sf_dir: strings_of(land(spark, sf_dir, "tasks")),
+    "dirty": lambda spark, sf_dir: dirty_of(land(spark, sf_dir, "tasks")),
+}
+_LANDED: dict[tuple, str] = {}
+
+
+def land(spark: SparkSession, sf_dir: str, kind: str = "tasks") -> DataFrame:
+    """The derived trace ``kind`` (tasks / strings / dirty) as a landed parquet table.
+
+    A trace normally arrives as files; here it is derived from the star tables,
+    so the first call per session and input writes it below the shared checkpoint
+    folder (one join, written in parallel) and every later report scans the files,
+    reading only its own columns.  The write is an ordinary Spark job, so a lost
+    executor only re-runs its tasks, and the table cuts the lineage of the join.
+    """
+    from heatwise.session import scratch_path
+    from heatwise.sources.files import _exists
+
+    key = (spark.sparkContext.applicationId, sf_dir.rstrip("/"), kind)
+    path = _LANDED.get(key)
+    if path is None or not _exists(spark, path):
+        df = _BUILDERS[kind](spark, sf_dir)
+        par = spark.sparkContext.defaultParallelism
+        if df.rdd.getNumPartitions() < par:
+            df = df.repartition(par)
+        path = scratch_path(spark, f"landed-{kind}")
+        df.write.parquet(path)
+        _LANDED[key] = path
+    return spark.read.parquet(path)
