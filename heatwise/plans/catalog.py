@@ -62,7 +62,8 @@ def lin(spark, d):
 
 
 def strings(spark, d):
-    return star.land(spark, d, "strings")
+    """The clean string trace, derived on the fly: a report casts only its columns."""
+    return star.strings_of(tasks(spark, d))
 
 
 def dirty(spark, d):
