@@ -107,13 +107,17 @@ def auc(df: DataFrame, label: str, score: str, buckets: int = 1024) -> DataFrame
 
     AUC = Σ over positives of (negatives scored lower + ½ negatives tied) / (P·N).
     Scores are first collapsed to (score → positives, negatives), so a score shared
-    by many rows is one row.  The running count of negatives is split by equal-width
-    score buckets: a window per bucket for the within-bucket part, and offsets from
-    the bucket totals (at most ``buckets`` rows, broadcast).
+    by many rows is one row; that table is checkpointed, so the input is scanned
+    once.  The running count of negatives is split by equal-width score buckets: a
+    window per bucket for the within-bucket part, and offsets from the bucket
+    totals (at most ``buckets`` rows, broadcast).
     """
     g = (df.groupBy(F.col(score).cast("double").alias("s"))
          .agg(F.sum(F.col(label).cast("long")).alias("pos"), F.count(F.lit(1)).alias("n"))
          .withColumn("neg", F.col("n") - F.col("pos")))
+    # one scan of the input: the collapsed (score → counts) table is written to the
+    # shared checkpoint folder and the extent, offsets and running sums read it
+    g = g.checkpoint(eager=True)
     lo = g.select(F.min("s")).scalar()
     hi = g.select(F.max("s")).scalar()
     b = F.when(hi == lo, F.lit(0)).otherwise(

@@ -39,6 +39,8 @@ def measured_heat(samples: DataFrame, bucket_us: int = DAY_US) -> DataFrame:
     inner = s.select("host", "bucket", "event_id", "ts_us", "cpu",
                      F.lag("ts_us").over(w).alias("prev_ts"), F.lag("cpu").over(w).alias("prev_cpu"))
 
+    # last sample per (host, bucket): a second, narrow pass over the samples with
+    # map-side partial aggregation; its output has one row per host and bucket
     tails = s.groupBy("host", "bucket").agg(
         F.max_by(F.struct("ts_us", "cpu"), F.struct(*order)).alias("tail"))
     wb = Window.partitionBy("host").orderBy("bucket")

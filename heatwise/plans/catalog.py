@@ -58,7 +58,7 @@ def tasks(spark, d):
 
 
 def lin(spark, d):
-    return C.linear_tasks(tasks(spark, d))
+    return star.land(spark, d, "linear")
 
 
 def strings(spark, d):

@@ -145,12 +145,22 @@ _BUILDERS = {
     "tasks": tasks_from_star,
     "strings": lambda spark, sf_dir: strings_of(land(spark, sf_dir, "tasks")),
     "dirty": lambda spark, sf_dir: dirty_of(land(spark, sf_dir, "tasks")),
+    "linear": lambda spark, sf_dir: _linear(land(spark, sf_dir, "tasks")),
 }
+
+
+def _linear(t: DataFrame) -> DataFrame:
+    from heatwise.operators.clean import linear_tasks
+    return linear_tasks(t)
 _LANDED: dict[tuple, str] = {}
 
 
 def land(spark: SparkSession, sf_dir: str, kind: str = "tasks") -> DataFrame:
-    """The derived trace ``kind`` (tasks / strings / dirty) as a landed parquet table.
+    """The derived trace ``kind`` (tasks / strings / dirty / linear) as a landed parquet table.
+
+    ``linear`` is the null-free task table with the linear figures (P1, F1): the
+    any-null rule reads every column, so it is applied once here and the linear
+    reports then read only the columns they aggregate.
 
     A trace normally arrives as files; here it is derived from the star tables,
     so the first call per session and input writes it below the shared checkpoint
