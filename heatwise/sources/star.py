@@ -155,6 +155,18 @@ def _linear(t: DataFrame) -> DataFrame:
 _LANDED: dict[tuple, str] = {}
 
 
+def _input_stamp(spark: SparkSession, sf_dir: str) -> tuple:
+    """Modification times of the star inputs: a changed input lands again."""
+    jvm = spark.sparkContext._jvm
+    conf = spark.sparkContext._jsc.hadoopConfiguration()
+    stamp = []
+    for name in ("lineitem", "orders", "customer"):
+        p = jvm.org.apache.hadoop.fs.Path(f"{sf_dir.rstrip('/')}/{name}.parquet")
+        fs = p.getFileSystem(conf)
+        stamp.append(fs.getFileStatus(p).getModificationTime() if fs.exists(p) else -1)
+    return tuple(stamp)
+
+
 def land(spark: SparkSession, sf_dir: str, kind: str = "tasks") -> DataFrame:
     """The derived trace ``kind`` (tasks / strings / dirty / linear) as a landed parquet table.
 
@@ -171,7 +183,7 @@ def land(spark: SparkSession, sf_dir: str, kind: str = "tasks") -> DataFrame:
     from heatwise.session import scratch_path
     from heatwise.sources.files import _exists
 
-    key = (spark.sparkContext.applicationId, sf_dir.rstrip("/"), kind)
+    key = (spark.sparkContext.applicationId, sf_dir.rstrip("/"), kind, _input_stamp(spark, sf_dir))
     path = _LANDED.get(key)
     if path is None or not _exists(spark, path):
         df = _BUILDERS[kind](spark, sf_dir)
