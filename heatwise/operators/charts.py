@@ -11,11 +11,12 @@ QUARTILES = [0.0, 0.25, 0.5, 0.75, 1.0]
 def histogram(df: DataFrame, value: str, bins: int = 20) -> DataFrame:
     """V1: equal-width histogram of ``value`` between its min and max.
 
-    The bounds are scalar subqueries (one tiny aggregate each), so the table is
-    never collected or cross-joined; the bin counts are an ordinary aggregate.
+    The bounds are one scalar subquery (a single min/max aggregate, reused for
+    both), so the table is never collected or cross-joined; the bin counts are an
+    ordinary aggregate.
     """
-    lo = df.select(F.min(value)).scalar()
-    hi = df.select(F.max(value)).scalar()
+    bounds = df.select(F.struct(F.min(value).alias("lo"), F.max(value).alias("hi"))).scalar()
+    lo, hi = bounds["lo"], bounds["hi"]
     width = (hi - lo) / bins
     raw_bin = F.floor(F.try_divide(F.col(value) - lo, width)).cast("int")
     b = F.when(width == 0, F.lit(0)).otherwise(F.least(raw_bin, F.lit(bins - 1)))

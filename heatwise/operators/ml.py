@@ -164,9 +164,12 @@ def predict_regression(df: DataFrame, label: str, algo: str = "LinearRegression"
     if label not in df.columns:
         return _empty_like(df.withColumn("prediction", F.lit(0.0)), [c for c in out if c in df.columns])
     train, test = _prepared(df, features)
-    if train.isEmpty() or test.isEmpty():
-        return _empty_like(df.withColumn("prediction", F.lit(0.0)), out)
-    model = REGRESSORS[algo](label).fit(train)
+    try:
+        if train.isEmpty() or test.isEmpty():
+            return _empty_like(df.withColumn("prediction", F.lit(0.0)), out)
+        model = REGRESSORS[algo](label).fit(train)
+    finally:
+        train.unpersist()
     return model.transform(test).select(*out)
 
 
@@ -175,9 +178,12 @@ def predict_failure(df: DataFrame, algo: str = "RandomForest", features: list[st
     out = ["sl_no", "machine_id", "failed", "prediction", "score"]
     data = df.withColumn("failed", F.col("failed").cast("double"))
     train, test = _prepared(data, features)
-    if train.isEmpty() or test.isEmpty():
-        return _empty_like(data.withColumns({"prediction": F.lit(0.0), "score": F.lit(0.0)}), out)
-    model = CLASSIFIERS[algo]("failed").fit(train)
+    try:
+        if train.isEmpty() or test.isEmpty():
+            return _empty_like(data.withColumns({"prediction": F.lit(0.0), "score": F.lit(0.0)}), out)
+        model = CLASSIFIERS[algo]("failed").fit(train)
+    finally:
+        train.unpersist()
     return model.transform(test).withColumn("score", vector_to_array("probability")[1]).select(*out)
 
 
@@ -200,7 +206,11 @@ def predict_label(df: DataFrame, label: str, features: list[str] = FS12, scaled:
         stages.append(StandardScaler(inputCol="raw_features", outputCol="features", withMean=True, withStd=True))
     stages.append(RandomForestClassifier(labelCol=idx, featuresCol="features", seed=SEED,
                                          numTrees=num_trees, maxDepth=max_depth))
-    model = Pipeline(stages=stages).fit(train.persist(StorageLevel.MEMORY_AND_DISK))
+    train = train.persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        model = Pipeline(stages=stages).fit(train)
+    finally:
+        train.unpersist()
     return model.transform(test).select(label, idx, "prediction")
 
 
@@ -210,16 +220,19 @@ def model_scores(df: DataFrame, features: list[str] = FS12) -> DataFrame:
     data = df.withColumn("failed", F.col("failed").cast("double"))
     train, test = _prepared(data, features)
     parts = []
-    for task in ("heat", "energy", "duration"):
-        for name, make in REGRESSORS.items():
-            pred = make(task).fit(train).transform(test)
-            parts.append(regression_metrics_long(pred, task)
-                         .select(F.lit(f"{task}_prediction").alias("task"), F.lit(name).alias("model"), "metric", "value"))
-    for name, make in CLASSIFIERS.items():
-        pred = make("failed").fit(train).transform(test).withColumn("score", vector_to_array("probability")[1])
-        parts.append(auc(pred, "failed", "score")
-                     .select(F.lit("failure_prediction").alias("task"), F.lit(name).alias("model"),
-                             F.lit("auc").alias("metric"), F.col("auc").alias("value")))
+    try:
+        for task in ("heat", "energy", "duration"):
+            for name, make in REGRESSORS.items():
+                pred = make(task).fit(train).transform(test)
+                parts.append(regression_metrics_long(pred, task).select(
+                    F.lit(f"{task}_prediction").alias("task"), F.lit(name).alias("model"), "metric", "value"))
+        for name, make in CLASSIFIERS.items():
+            pred = make("failed").fit(train).transform(test).withColumn("score", vector_to_array("probability")[1])
+            parts.append(auc(pred, "failed", "score")
+                         .select(F.lit("failure_prediction").alias("task"), F.lit(name).alias("model"),
+                                 F.lit("auc").alias("metric"), F.col("auc").alias("value")))
+    finally:
+        train.unpersist()
     out = parts[0]
     for p in parts[1:]:
         out = out.unionByName(p)

@@ -240,7 +240,8 @@ FROM (SELECT CASE WHEN w = 0 THEN 0 ELSE least(CAST(floor((x - lo) / w) AS INT),
       FROM m, b WHERE x IS NOT NULL)
 GROUP BY bin, lo, w""").replace("\n\n, b AS", "\n, b AS").replace(")\n, b AS", "), b AS"))
 def q_memory_histogram(spark, d):
-    per_machine = rollup(spark, d).filter(F.col("dimension") == "machine")
+    # one row per machine, checkpointed: the rollup runs once for bounds and bins
+    per_machine = rollup(spark, d).filter(F.col("dimension") == "machine").checkpoint(eager=True)
     return r6(V.histogram(per_machine, "avg_memory_usage", 20))
 
 
