@@ -76,3 +76,8 @@ def write_results(rollup_entries: DataFrame, row_count: int | Column, headers: l
         (row_count if isinstance(row_count, Column) else F.lit(row_count)).cast("bigint").alias("row_count"),
         F.array(*[F.lit(h) for h in headers]).alias("headers"))
     meta.coalesce(1).write.mode("overwrite").json(f"{path}/meta")
+
+
+def write_heat_log(measured: DataFrame, path: str, mode: str = "errorifexists") -> None:
+    """K6: the measured-heat samples (W2) as a header CSV directory, split by host."""
+    measured.repartition("host").write.mode(mode).option("header", True).csv(path)

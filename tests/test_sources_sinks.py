@@ -60,3 +60,11 @@ def test_csv_sink_fails_if_present(spark, tmp_path):
         assert "already exists" in str(e).lower() or "path" in str(e).lower()
     else:
         raise AssertionError("second write should fail")
+
+
+def test_heat_log_csv_round_trip(spark, sf_dir, tmp_path):
+    from heatwise.operators import telemetry as TM
+    m = TM.measured_heat(TM.samples_from_events(star.read_table(spark, sf_dir, "events")))
+    K.write_heat_log(m, str(tmp_path / "heat"))
+    back = spark.read.option("header", True).schema(m.schema).csv(str(tmp_path / "heat"))
+    assert back.exceptAll(m).count() == 0 and m.exceptAll(back).count() == 0
