@@ -187,8 +187,13 @@ def land(spark: SparkSession, sf_dir: str, kind: str = "tasks") -> DataFrame:
     path = _LANDED.get(key)
     if path is None or not _exists(spark, path):
         df = _BUILDERS[kind](spark, sf_dir)
+        # Parallelism of the write follows the driving scan (lineitem, or the landed
+        # task table).  A plain file scan reports its splits without running
+        # anything; the final plan would first execute its broadcast stages.
+        driver = (read_table(spark, sf_dir, "lineitem") if kind == "tasks"
+                  else spark.read.parquet(_LANDED[key[:2] + ("tasks",) + key[3:]]))
         par = spark.sparkContext.defaultParallelism
-        if df.rdd.getNumPartitions() < par:
+        if driver.rdd.getNumPartitions() < par:
             df = df.repartition(par)
         path = scratch_path(spark, f"landed-{kind}")
         df.write.parquet(path)
