@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark import StorageLevel
 from pyspark.ml import Pipeline
 from pyspark.ml.classification import GBTClassifier, LogisticRegression, RandomForestClassifier
-from pyspark.ml.feature import StandardScaler, StringIndexer, VectorAssembler
+from pyspark.ml.feature import QuantileDiscretizer, StandardScaler, StringIndexer, VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.ml.regression import DecisionTreeRegressor, GBTRegressor, LinearRegression
 from pyspark.sql import Column, DataFrame, Window
@@ -108,21 +108,20 @@ def auc(df: DataFrame, label: str, score: str, buckets: int = 1024) -> DataFrame
     AUC = Σ over positives of (negatives scored lower + ½ negatives tied) / (P·N).
     Scores are first collapsed to (score → positives, negatives), so a score shared
     by many rows is one row; that table is checkpointed, so the input is scanned
-    once.  The running count of negatives is split by equal-width score buckets: a
-    window per bucket for the within-bucket part, and offsets from the bucket
-    totals (at most ``buckets`` rows, broadcast).
+    once.  The running count of negatives is split into score ranges holding about
+    equal numbers of distinct scores (approximate quantiles; only the split points
+    reach the driver): a window per range for the within-range part, and offsets
+    from the range totals (at most ``buckets`` rows, broadcast).
     """
     g = (df.groupBy(F.col(score).cast("double").alias("s"))
          .agg(F.sum(F.col(label).cast("long")).alias("pos"), F.count(F.lit(1)).alias("n"))
          .withColumn("neg", F.col("n") - F.col("pos")))
     # one scan of the input: the collapsed (score → counts) table is written to the
-    # shared checkpoint folder and the extent, offsets and running sums read it
+    # shared checkpoint folder and the ranges, offsets and running sums read it
     g = g.checkpoint(eager=True)
-    lo = g.select(F.min("s")).scalar()
-    hi = g.select(F.max("s")).scalar()
-    b = F.when(hi == lo, F.lit(0)).otherwise(
-        F.least(F.floor((F.col("s") - lo) / (hi - lo) * buckets).cast("int"), F.lit(buckets - 1)))
-    g = g.withColumn("b", b)
+    ranges = QuantileDiscretizer(inputCol="s", outputCol="b", numBuckets=max(2, buckets), relativeError=1e-3,
+                                 handleInvalid="keep").fit(g)
+    g = ranges.transform(g).withColumn("b", F.col("b").cast("int"))
     before = Window.orderBy("b").rowsBetween(Window.unboundedPreceding, -1)
     offsets = (g.groupBy("b").agg(F.sum("neg").alias("bneg"))
                .select("b", F.coalesce(F.sum("bneg").over(before), F.lit(0)).alias("offset")))
