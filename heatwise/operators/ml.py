@@ -77,6 +77,29 @@ def regression_metrics_long(pred: DataFrame, label: str, prediction: str = "pred
                                          for k in ("rmse", "mae", "r2")])).alias("m")).select("m.*")
 
 
+def regression_metrics_many(df: DataFrame, specs: list[tuple[dict, Column, Column]]) -> DataFrame:
+    """M10 for several (tags, label, prediction) triples in one pass over ``df``.
+
+    Returns long rows (tag columns…, metric, value): every triple's sums are
+    computed in the same aggregate, then the single result row is exploded.
+    """
+    aggs, rows = [], []
+    for i, (tags, y, yhat) in enumerate(specs):
+        e = y - yhat
+        aggs += [F.count(e).alias(f"n{i}"), F.sum(e * e).alias(f"sse{i}"), F.sum(F.abs(e)).alias(f"sae{i}"),
+                 F.var_pop(y).alias(f"var{i}")]
+        n = F.col(f"n{i}")
+        values = {
+            "rmse": F.sqrt(F.col(f"sse{i}") / n),
+            "mae": F.col(f"sae{i}") / n,
+            "r2": 1 - F.try_divide(F.col(f"sse{i}"), F.col(f"var{i}") * n),
+        }
+        for metric, v in values.items():
+            rows.append(F.struct(*[F.lit(val).alias(k) for k, val in tags.items()],
+                                 F.lit(metric).alias("metric"), v.alias("value")))
+    return df.agg(*aggs).select(F.explode(F.array(*rows)).alias("m")).select("m.*")
+
+
 def classification_metrics(pred: DataFrame, label: str, prediction: str = "prediction") -> DataFrame:
     """Accuracy, f1, weighted precision and recall from the confusion counts.
 

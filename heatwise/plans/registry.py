@@ -182,12 +182,10 @@ def q_feature_columns(spark, d):
     """P10: the wanted features that exist (a missing one is reported, none raises)."""
     df = lin(spark, d)
     have, missing = C.present_features(df, FS12 + ["gpu_usage"])
-    parts = [df.agg(F.lit(c).alias("feature"), F.count(c).alias("non_null"), F.avg(c).alias("mean"))
-             for c in have]
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return r6(out)
+    # one aggregate over all present features, exploded to a row per feature
+    agg = df.agg(*[F.struct(F.lit(c).alias("feature"), F.count(c).alias("non_null"), F.avg(c).alias("mean"))
+                   .alias(c) for c in have])
+    return r6(agg.select(F.explode(F.array(*have)).alias("f")).select("f.*"))
 
 
 @register("label_balance", W(T_, L_, _TOP10, body="""

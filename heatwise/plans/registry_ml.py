@@ -79,15 +79,9 @@ def _long(src: str, keys: str) -> str:
 
 
 def fixed_metrics(spark, d):
-    base = lin(spark, d)
-    parts = []
-    for task, label, pred, _ in _FIXED:
-        p = base.select(F.col(label).cast("double").alias("y"), pred().alias("yhat"))
-        parts.append(M.regression_metrics_long(p, "y", "yhat").select(F.lit(task).alias("task"), "metric", "value"))
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return out
+    """Metrics of the fixed predictions of all tasks, one pass over the table."""
+    specs = [({"task": task}, F.col(label).cast("double"), pred()) for task, label, pred, _ in _FIXED]
+    return M.regression_metrics_many(lin(spark, d), specs)
 
 
 @register("regression_metrics", W(T_, L_, _PRED_SQL, body=f"""
@@ -145,18 +139,15 @@ _CANDIDATES_SQL = (
 def candidate_metrics(spark, d):
     """Metrics of three fixed predictors per task: the proxy formula, the label mean, zero."""
     base = lin(spark, d)
-    parts = []
+    # the label means as one scalar subquery (one pass), then every metric in one more
+    means = base.select(F.struct(*[F.avg(F.col(label).cast("double")).alias(task)
+                                   for task, label, _, _ in _FIXED])).scalar()
+    specs = []
     for task, label, pred, _ in _FIXED:
         y = F.col(label).cast("double")
-        mu = base.select(F.avg(y)).scalar()
-        for model, yhat in (("proxy", pred()), ("mean", mu), ("zero", F.lit(0.0))):
-            p = base.select(y.alias("y"), yhat.alias("yhat"))
-            parts.append(M.regression_metrics_long(p, "y", "yhat")
-                         .select(F.lit(task).alias("task"), F.lit(model).alias("model"), "metric", "value"))
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return out
+        for model, yhat in (("proxy", pred()), ("mean", means[task]), ("zero", F.lit(0.0))):
+            specs.append(({"task": task, "model": model}, y, yhat))
+    return M.regression_metrics_many(base, specs)
 
 
 @register("best_models", W(T_, L_, _PRED_SQL, _CANDIDATES_SQL, body=f"""
