@@ -18,6 +18,7 @@ from pyspark.sql import functions as F
 
 from heatwise.operators.clean import present_features
 from heatwise.schema import FS12
+from heatwise.session import shared_dir
 
 SEED = 42
 
@@ -141,6 +142,7 @@ def auc(df: DataFrame, label: str, score: str, buckets: int = 1024) -> DataFrame
          .withColumn("neg", F.col("n") - F.col("pos")))
     # one scan of the input: the collapsed (score → counts) table is written to the
     # shared checkpoint folder and the ranges, offsets and running sums read it
+    shared_dir(df.sparkSession)
     g = g.checkpoint(eager=True)
     ranges = QuantileDiscretizer(inputCol="s", outputCol="b", numBuckets=max(2, buckets), relativeError=1e-3,
                                  handleInvalid="keep").fit(g)

@@ -15,7 +15,7 @@ from heatwise.plans.catalog import (
     W, derived, dirty, lin, r6, register, rollup, strings, tasks,
 )
 from heatwise.schema import DIMENSION_VIEWS, FS12, RAW_COLUMNS, TASK_COLUMNS, TASKS
-from heatwise.session import scratch_path
+from heatwise.session import scratch_path, shared_dir
 from heatwise.sinks import writers as K
 from heatwise.sources import files as S
 from heatwise.sources import star
@@ -239,6 +239,7 @@ FROM (SELECT CASE WHEN w = 0 THEN 0 ELSE least(CAST(floor((x - lo) / w) AS INT),
 GROUP BY bin, lo, w""").replace("\n\n, b AS", "\n, b AS").replace(")\n, b AS", "), b AS"))
 def q_memory_histogram(spark, d):
     # one row per machine, checkpointed: the rollup runs once for bounds and bins
+    shared_dir(spark)
     per_machine = rollup(spark, d).filter(F.col("dimension") == "machine").checkpoint(eager=True)
     return r6(V.histogram(per_machine, "avg_memory_usage", 20))
 

@@ -48,16 +48,16 @@ def build_session(master: str | None = None, shuffle_partitions: int | None = No
 def shared_dir(spark: SparkSession) -> str:
     """The shared folder named by ``spark.checkpoint.dir``.
 
-    Lineage cuts, streaming checkpoints and intermediate tables go below it, so
-    they survive the loss of an executor.  Only when nothing is configured (local
-    tests) a scratch folder is created and registered.
+    Lineage cuts, landed traces, streaming checkpoints and intermediate tables go
+    below it, so they survive the loss of an executor.  Only when the session names
+    no folder (local tests) a scratch folder is registered as the checkpoint folder.
     """
-    configured = spark.conf.get("spark.checkpoint.dir", None)
+    sc = spark.sparkContext
+    configured = spark.conf.get("spark.checkpoint.dir", None) or sc.getCheckpointDir()
     if not configured:
         configured = tempfile.mkdtemp(prefix="heatwise-ckpt-")
-        spark.conf.set("spark.checkpoint.dir", configured)
-    if spark.sparkContext.getCheckpointDir() is None:
-        spark.sparkContext.setCheckpointDir(configured)
+    if sc.getCheckpointDir() is None:
+        sc.setCheckpointDir(configured)
     return configured
 
 
