@@ -27,9 +27,12 @@ def _epoch():
 
 
 def event_stream(spark: SparkSession, source_dir: str, glob: str = "events*.parquet",
-                 files_per_trigger: int | None = 1) -> DataFrame:
+                 files_per_trigger: int | None = None) -> DataFrame:
     """Parquet files of ``events`` arriving in ``source_dir`` as a stream.
 
+    By default a micro-batch takes every new file; ``files_per_trigger`` caps it
+    (tests use 1 to force many batches).
+
     The schema is taken from the files' footers once; ``ts`` (TIMESTAMP_NTZ in the
     files) becomes a TIMESTAMP via epoch microseconds, independent of the session
     time zone, so it can carry a watermark.
@@ -96,20 +99,22 @@ def run_until_caught_up(query: StreamingQuery) -> None:
         raise query.exception()
 
 
-def stream_rollup(spark: SparkSession, source_dir: str, glob: str = "events*.parquet") -> DataFrame:
+def stream_rollup(spark: SparkSession, source_dir: str, glob: str = "events*.parquet",
+                  files_per_trigger: int | None = None) -> DataFrame:
     """L1 over everything present now (``availableNow``), read back from the sink."""
     sink = scratch_path(spark, "live-rollup")
-    q = start_live_rollup(event_stream(spark, source_dir, glob), sink, scratch_path(spark, "live-rollup-ckpt"),
-                          {"availableNow": True})
+    q = start_live_rollup(event_stream(spark, source_dir, glob, files_per_trigger), sink,
+                          scratch_path(spark, "live-rollup-ckpt"), {"availableNow": True})
     run_until_caught_up(q)
     return spark.read.parquet(sink)
 
 
 def stream_heat_windows(spark: SparkSession, source_dir: str, glob: str = "events*.parquet",
-                        window: str = "1 day", watermark: str = "1 hour") -> DataFrame:
+                        window: str = "1 day", watermark: str = "1 hour",
+                        files_per_trigger: int | None = None) -> DataFrame:
     """L2 over everything present now, latest emission per window."""
     sink = scratch_path(spark, "heat-windows")
-    q = start_heat_windows(event_stream(spark, source_dir, glob), sink,
+    q = start_heat_windows(event_stream(spark, source_dir, glob, files_per_trigger), sink,
                            scratch_path(spark, "heat-windows-ckpt"), window, watermark, {"availableNow": True})
     run_until_caught_up(q)
     return latest_windows(spark, sink)

@@ -33,8 +33,8 @@ def test_stream_equals_batch(spark, sf_dir, tmp_path):
     src = str(tmp_path / "src")
     os.makedirs(src)
     _split_in_time_order(sf_dir, src)
-    got_roll = r6(L.stream_rollup(spark, src)).toPandas()
-    got_win = r6(L.stream_heat_windows(spark, src)).toPandas()
+    got_roll = r6(L.stream_rollup(spark, src, files_per_trigger=1)).toPandas()
+    got_win = r6(L.stream_heat_windows(spark, src, files_per_trigger=1)).toPandas()
     batch = _batch_events(spark, f"{sf_dir}/events.parquet")
     assert_same(got_roll, r6(L.rollup_of(batch)).toPandas())
     assert_same(got_win, r6(L.heat_windows_of(batch, watermark=None)).toPandas())
@@ -44,13 +44,15 @@ def test_late_row_is_dropped(spark, sf_dir, tmp_path):
     src, sink, ckpt = (str(tmp_path / n) for n in ("src", "sink", "ckpt"))
     os.makedirs(src)
     t = _split_in_time_order(sf_dir, src)
-    q = L.start_heat_windows(L.event_stream(spark, src), sink, ckpt, trigger={"availableNow": True})
+    q = L.start_heat_windows(L.event_stream(spark, src, files_per_trigger=1), sink, ckpt,
+                             trigger={"availableNow": True})
     L.run_until_caught_up(q)
     before = L.latest_windows(spark, sink).toPandas()
     # one sample from the first day, arriving after the watermark passed it
     late = t.slice(0, 1)
     pq.write_table(late, f"{src}/events_late.parquet")
-    q = L.start_heat_windows(L.event_stream(spark, src), sink, ckpt, trigger={"availableNow": True})
+    q = L.start_heat_windows(L.event_stream(spark, src, files_per_trigger=1), sink, ckpt,
+                             trigger={"availableNow": True})
     L.run_until_caught_up(q)
     after = L.latest_windows(spark, sink).toPandas()
     assert_same(after, before)
