@@ -159,15 +159,49 @@ def auc(df: DataFrame, label: str, score: str, buckets: int = 1024) -> DataFrame
 
 # ---- M5-M9, M13: fitted models ---------------------------------------------------------
 
+def _mb(text: str) -> int:
+    text = text.strip().lower()
+    units = {"k": 1 / 1024, "m": 1, "g": 1024, "t": 1024 * 1024}
+    if text[-1:] == "b":
+        text = text[:-1]
+    return int(float(text[:-1]) * units[text[-1]]) if text[-1:] in units else int(text) // (1024 * 1024)
+
+
+def tree_memory_mb(spark) -> int:
+    """Per-task budget for tree split statistics (``maxMemoryInMB``).
+
+    Every running task of a tree learner may hold this much; a quarter of an
+    executor's heap is shared by its task slots (in local mode the driver's heap
+    and all cores), bounded to 16..256 MB.
+    """
+    sc = spark.sparkContext
+    conf = sc.getConf()
+    if sc.master.startswith("local"):
+        heap = sc._jvm.java.lang.Runtime.getRuntime().maxMemory() // (1024 * 1024)
+        slots = sc.defaultParallelism
+    else:
+        heap = _mb(conf.get("spark.executor.memory", "1g"))
+        slots = int(conf.get("spark.executor.cores", "1")) // max(1, int(conf.get("spark.task.cpus", "1")))
+    return int(max(16, min(256, heap * 0.25 / max(1, slots))))
+
+
+def _trees(est, spark):
+    return est.setMaxMemoryInMB(tree_memory_mb(spark))
+
+
 REGRESSORS = {
-    "LinearRegression": lambda label: LinearRegression(labelCol=label, featuresCol="features"),
-    "DecisionTree": lambda label: DecisionTreeRegressor(labelCol=label, featuresCol="features", seed=SEED),
-    "GBTRegressor": lambda label: GBTRegressor(labelCol=label, featuresCol="features", seed=SEED),
+    "LinearRegression": lambda label, spark: LinearRegression(labelCol=label, featuresCol="features"),
+    "DecisionTree": lambda label, spark: _trees(
+        DecisionTreeRegressor(labelCol=label, featuresCol="features", seed=SEED), spark),
+    "GBTRegressor": lambda label, spark: _trees(
+        GBTRegressor(labelCol=label, featuresCol="features", seed=SEED), spark),
 }
 CLASSIFIERS = {
-    "GBTClassifier": lambda label: GBTClassifier(labelCol=label, featuresCol="features", seed=SEED),
-    "LogisticRegression": lambda label: LogisticRegression(labelCol=label, featuresCol="features"),
-    "RandomForest": lambda label: RandomForestClassifier(labelCol=label, featuresCol="features", seed=SEED),
+    "GBTClassifier": lambda label, spark: _trees(
+        GBTClassifier(labelCol=label, featuresCol="features", seed=SEED), spark),
+    "LogisticRegression": lambda label, spark: LogisticRegression(labelCol=label, featuresCol="features"),
+    "RandomForest": lambda label, spark: _trees(
+        RandomForestClassifier(labelCol=label, featuresCol="features", seed=SEED), spark),
 }
 
 
@@ -191,7 +225,7 @@ def predict_regression(df: DataFrame, label: str, algo: str = "LinearRegression"
     try:
         if train.isEmpty() or test.isEmpty():
             return _empty_like(df.withColumn("prediction", F.lit(0.0)), out)
-        model = REGRESSORS[algo](label).fit(train)
+        model = REGRESSORS[algo](label, df.sparkSession).fit(train)
     finally:
         train.unpersist()
     return model.transform(test).select(*out)
@@ -205,7 +239,7 @@ def predict_failure(df: DataFrame, algo: str = "RandomForest", features: list[st
     try:
         if train.isEmpty() or test.isEmpty():
             return _empty_like(data.withColumns({"prediction": F.lit(0.0), "score": F.lit(0.0)}), out)
-        model = CLASSIFIERS[algo]("failed").fit(train)
+        model = CLASSIFIERS[algo]("failed", df.sparkSession).fit(train)
     finally:
         train.unpersist()
     return model.transform(test).withColumn("score", vector_to_array("probability")[1]).select(*out)
@@ -228,8 +262,8 @@ def predict_label(df: DataFrame, label: str, features: list[str] = FS12, scaled:
     stages = [StringIndexer(inputCol=label, outputCol=idx, handleInvalid="skip")]
     if scaled:
         stages.append(StandardScaler(inputCol="raw_features", outputCol="features", withMean=True, withStd=True))
-    stages.append(RandomForestClassifier(labelCol=idx, featuresCol="features", seed=SEED,
-                                         numTrees=num_trees, maxDepth=max_depth))
+    stages.append(_trees(RandomForestClassifier(labelCol=idx, featuresCol="features", seed=SEED,
+                                                numTrees=num_trees, maxDepth=max_depth), df.sparkSession))
     train = train.persist(StorageLevel.MEMORY_AND_DISK)
     try:
         model = Pipeline(stages=stages).fit(train)
@@ -247,11 +281,12 @@ def model_scores(df: DataFrame, features: list[str] = FS12) -> DataFrame:
     try:
         for task in ("heat", "energy", "duration"):
             for name, make in REGRESSORS.items():
-                pred = make(task).fit(train).transform(test)
+                pred = make(task, df.sparkSession).fit(train).transform(test)
                 parts.append(regression_metrics_long(pred, task).select(
                     F.lit(f"{task}_prediction").alias("task"), F.lit(name).alias("model"), "metric", "value"))
         for name, make in CLASSIFIERS.items():
-            pred = make("failed").fit(train).transform(test).withColumn("score", vector_to_array("probability")[1])
+            pred = make("failed", df.sparkSession).fit(train).transform(test) \
+                .withColumn("score", vector_to_array("probability")[1])
             parts.append(auc(pred, "failed", "score")
                          .select(F.lit("failure_prediction").alias("task"), F.lit(name).alias("model"),
                                  F.lit("auc").alias("metric"), F.col("auc").alias("value")))
