@@ -81,3 +81,9 @@ def test_predict_class_labels_indexed(spark, sf_dir):
     p = E.queries()["predict_class"](spark, sf_dir)
     assert p.count() > 0
     assert p.filter(F.col("prediction") < 0).count() == 0
+
+
+def test_tree_memory_budget(spark):
+    from heatwise.operators.ml import _mb, tree_memory_mb
+    assert (_mb("1g"), _mb("512m"), _mb("2048M"), _mb("1gb"), _mb(str(64 * 1024 * 1024))) == (1024, 512, 2048, 1024, 64)
+    assert 16 <= tree_memory_mb(spark) <= 256
