@@ -43,8 +43,7 @@ def write_all_reports(spark: SparkSession, sf_dir: str, out: str, models: bool =
     for name, (fn, display) in SUMMARIES.items():
         rep = fn(lin)
         K.write_report(rep, f"{out}/{name}", display)
-        head = spark.createDataFrame([(K.header_line(rep),)], "value string")
-        K.write_text(head.unionByName(K.aligned_lines(rep)).coalesce(1), f"{out}/{name}_txt")
+        K.write_table_text(rep, f"{out}/{name}_txt")
         written += [name, f"{name}_txt"]
 
     raw = star.land(spark, sf_dir, "dirty")

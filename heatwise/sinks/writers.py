@@ -54,6 +54,20 @@ def write_text(lines: DataFrame, path: str, mode: str = "overwrite") -> None:
     lines.select("value").write.mode(mode).text(path)
 
 
+def write_table_text(report: DataFrame, path: str, mode: str = "overwrite") -> None:
+    """K3 as one file: a header line, then the report's lines in the report's order.
+
+    For small final reports only (bounded by their key count): the lines are
+    numbered in their current order, moved to one partition and sorted there,
+    since merging partitions does not keep their order.
+    """
+    spark = report.sparkSession
+    lines = aligned_lines(report).select(F.lit(1).alias("k"), F.monotonically_increasing_id().alias("pos"), "value")
+    head = spark.createDataFrame([(0, 0, header_line(report))], "k int, pos long, value string")
+    (head.unionByName(lines).repartition(1).sortWithinPartitions("k", "pos")
+     .select("value").write.mode(mode).text(path))
+
+
 def metric_lines(metrics: DataFrame, name: Column, value: str = "value") -> DataFrame:
     """K4: ``NAME: 0.1234`` lines."""
     return metrics.select(F.format_string("%s: %.4f", name, F.round(F.col(value), 4)).alias("value"))
