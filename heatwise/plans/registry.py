@@ -231,12 +231,14 @@ def q_failure_outcome_counts(spark, d):
 _MACHINE_MEM = "m AS (SELECT machine_id, sum(eff_mem) / count(*) AS x FROM comp GROUP BY machine_id)"
 
 
-@register("memory_histogram", W(T_, D_, P_, C_, _MACHINE_MEM, body="""
-, b AS (SELECT min(x) AS lo, max(x) AS hi, (max(x) - min(x)) / 20 AS w FROM m)
+_BOUNDS = "b AS (SELECT min(x) AS lo, max(x) AS hi, (max(x) - min(x)) / 20 AS w FROM m)"
+
+
+@register("memory_histogram", W(T_, D_, P_, C_, _MACHINE_MEM, _BOUNDS, body="""
 SELECT bin, round(lo + bin * w, 6) AS bin_start, round(lo + (bin + 1) * w, 6) AS bin_end, count(*) AS machines
 FROM (SELECT CASE WHEN w = 0 THEN 0 ELSE least(CAST(floor((x - lo) / w) AS INT), 19) END AS bin, lo, w
       FROM m, b WHERE x IS NOT NULL)
-GROUP BY bin, lo, w""").replace("\n\n, b AS", "\n, b AS").replace(")\n, b AS", "), b AS"))
+GROUP BY bin, lo, w"""))
 def q_memory_histogram(spark, d):
     # one row per machine, checkpointed: the rollup runs once for bounds and bins
     shared_dir(spark)
@@ -244,12 +246,14 @@ def q_memory_histogram(spark, d):
     return r6(V.histogram(per_machine, "avg_memory_usage", 20))
 
 
-@register("cpu_box_stats", W(T_, D_, P_, C_, body="""
-, m AS (SELECT machine_id, sum(eff_cpu) / count(*) AS x FROM comp GROUP BY machine_id
-        ORDER BY machine_id LIMIT 20)
+_FIRST20 = ("m AS (SELECT machine_id, sum(eff_cpu) / count(*) AS x FROM comp GROUP BY machine_id "
+            "ORDER BY machine_id LIMIT 20)")
+
+
+@register("cpu_box_stats", W(T_, D_, P_, C_, _FIRST20, body="""
 SELECT round(quantile_cont(x, 0.0), 6) AS min, round(quantile_cont(x, 0.25), 6) AS q1,
   round(quantile_cont(x, 0.5), 6) AS median, round(quantile_cont(x, 0.75), 6) AS q3,
-  round(quantile_cont(x, 1.0), 6) AS max FROM m""").replace("\n\n, m AS", "\n, m AS").replace(")\n, m AS", "), m AS"))
+  round(quantile_cont(x, 1.0), 6) AS max FROM m"""))
 def q_cpu_box_stats(spark, d):
     """V2: box statistics of per-machine CPU over the first 20 machines (by id as text)."""
     machines = rollup(spark, d).filter(F.col("dimension") == "machine").orderBy("key").limit(20)
@@ -267,12 +271,13 @@ _SUMMARY_COLS = ["total_tasks", "avg_cpu_usage", "peak_cpu", "assigned_memory",
                  "total_energy", "avg_duration", "total_heat", "failure_rate_pct"]
 
 
-@register("overall_unpivot", W(T_, L_, body="""
-, s AS (SELECT CAST(count(*) AS DOUBLE) AS total_tasks, avg(average_usage_cpu) AS avg_cpu_usage,
+_SUMMARY = """s AS (SELECT CAST(count(*) AS DOUBLE) AS total_tasks, avg(average_usage_cpu) AS avg_cpu_usage,
   avg(maximum_usage) AS peak_cpu, avg(assigned_memory) AS assigned_memory, avg(avg_usage_memory) AS memory_usage,
   avg(heat) AS avg_heat, sum(energy) AS total_energy, avg(CAST(duration AS DOUBLE)) AS avg_duration,
-  sum(heat) AS total_heat, avg(CAST(failed AS DOUBLE))*100 AS failure_rate_pct FROM lin)
-""".replace("\n, s AS", ", s AS") + " UNION ALL ".join(
+  sum(heat) AS total_heat, avg(CAST(failed AS DOUBLE))*100 AS failure_rate_pct FROM lin)"""
+
+
+@register("overall_unpivot", W(T_, L_, _SUMMARY, body=" UNION ALL ".join(
     f"SELECT '{c}' AS metric, round({c}, 6) AS value FROM s" for c in _SUMMARY_COLS)))
 def q_overall_unpivot(spark, d):
     return r6(V.unpivot_row(R.overall_summary(lin(spark, d))))

@@ -99,29 +99,33 @@ def q_metric_lines(spark, d):
     return K.metric_lines(m, F.format_string("%s (%s)", F.upper("metric"), F.col("task")))
 
 
-@register("classification_metrics", W(T_, L_, body=f"""
-, c AS (SELECT CAST(scheduling_class AS DOUBLE) AS l, {_RULE_CLASS} AS p, count(*) AS n FROM lin GROUP BY 1, 2),
+_CONFUSION = f"""c AS (SELECT CAST(scheduling_class AS DOUBLE) AS l, {_RULE_CLASS} AS p, count(*) AS n FROM lin GROUP BY 1, 2),
 bl AS (SELECT l, sum(n) AS n_l, sum(CASE WHEN l = p THEN n ELSE 0 END) AS tp FROM c GROUP BY l),
 bp AS (SELECT p AS l, sum(n) AS n_p FROM c GROUP BY p),
 per AS (SELECT bl.l, n_l, tp, CASE WHEN coalesce(n_p, 0) > 0 THEN tp / n_p ELSE 0.0 END AS prec,
-        tp / n_l AS rec FROM bl LEFT JOIN bp ON bl.l = bp.l)
+        tp / n_l AS rec FROM bl LEFT JOIN bp ON bl.l = bp.l)"""
+
+
+@register("classification_metrics", W(T_, L_, _CONFUSION, body="""
 SELECT round(sum(tp) / sum(n_l), 6) AS accuracy,
   round(sum(CASE WHEN prec + rec > 0 THEN 2*prec*rec/(prec + rec) ELSE 0.0 END * n_l) / sum(n_l), 6) AS f1,
   round(sum(prec * n_l) / sum(n_l), 6) AS weighted_precision,
   round(sum(rec * n_l) / sum(n_l), 6) AS weighted_recall
-FROM per""".replace("\n, c AS", ", c AS")))
+FROM per"""))
 def q_classification_metrics(spark, d):
     pred = lin(spark, d).withColumn("prediction", rule_class_prediction())
     return r6(M.classification_metrics(pred, "scheduling_class", "prediction"))
 
 
-@register("auc_metric", W(T_, L_, body="""
-, r AS (SELECT failed, (2 * rank() OVER (ORDER BY cpu_usage_distribution)
-         + count(*) OVER (PARTITION BY cpu_usage_distribution) - 1) / 2.0 AS ar FROM lin)
+_RANKS = ("r AS (SELECT failed, (2 * rank() OVER (ORDER BY cpu_usage_distribution) "
+          "+ count(*) OVER (PARTITION BY cpu_usage_distribution) - 1) / 2.0 AS ar FROM lin)")
+
+
+@register("auc_metric", W(T_, L_, _RANKS, body="""
 SELECT round((sum(CASE WHEN failed = 1 THEN ar ELSE 0.0 END)
         - CAST(sum(failed) AS DOUBLE) * (CAST(sum(failed) AS DOUBLE) + 1) / 2.0)
        / (CAST(sum(failed) AS DOUBLE) * CAST(count(*) - sum(failed) AS DOUBLE)), 6) AS auc
-FROM r""".replace("\n, r AS", ", r AS")))
+FROM r"""))
 def q_auc_metric(spark, d):
     """Exact AUC of a fixed score (cpu_usage_distribution) for the failed flag."""
     return r6(M.auc(lin(spark, d), "failed", "cpu_usage_distribution"))
@@ -150,12 +154,11 @@ def candidate_metrics(spark, d):
     return M.regression_metrics_many(base, specs)
 
 
-@register("best_models", W(T_, L_, _PRED_SQL, _CANDIDATES_SQL, body=f"""
-, long AS ({_long('q', 'task, model')})
+@register("best_models", W(T_, L_, _PRED_SQL, _CANDIDATES_SQL, f"long AS ({_long('q', 'task, model')})", body="""
 SELECT task, model, metric, round(value, 6) AS value FROM (
   SELECT *, rank() OVER (PARTITION BY task, metric
                          ORDER BY CASE WHEN metric IN ('rmse', 'mae') THEN value ELSE -value END) AS rk
-  FROM long) WHERE rk = 1""".replace("\n, long AS", ", long AS")))
+  FROM long) WHERE rk = 1"""))
 def q_best_models(spark, d):
     return r6(M.best_models(candidate_metrics(spark, d)))
 
