@@ -122,3 +122,13 @@ def test_grouping_ids(raw):
     keys = ["machine_id", "scheduling_class", "collection_type", "priority"]
     g = d.groupingSets([[k] for k in keys] + [[]], *keys).agg(F.grouping_id().alias("g"))
     assert sorted({r.g for r in g.collect()}) == [7, 11, 13, 14, 15]
+
+
+def test_prefix_stripped_only_at_start(spark):
+    rows = [("machine_m1", 1), ("machine_xmachine_2", 2), ("class_machine_3", 3), ("overall", 4)]
+    entries = spark.createDataFrame(rows, "result_key string, count long").withColumns(
+        {c: F.lit(0.0) for c in ("avg_cpu_usage", "avg_max_cpu", "avg_memory", "avg_memory_usage",
+                                 "avg_heat_generation", "total_energy_consumption", "avg_duration",
+                                 "failure_rate")}).withColumn("failed_tasks", F.lit(0).cast("long"))
+    got = [r["Machine ID"] for r in U.dimension_view(entries, "machine").collect()]
+    assert got == ["m1", "xmachine_2"]
