@@ -38,3 +38,13 @@ def test_auc_all_tied_and_separated(spark):
     assert M.auc(tied, "y", "s").first().auc == 0.5
     sep = spark.range(1000).select((F.col("id") % 2).alias("y"), (F.col("id") % 2 + F.rand(7) * 0.5).alias("s"))
     assert M.auc(sep, "y", "s").first().auc == 1.0
+
+
+def test_approx_box_stats_close_to_exact(spark):
+    from heatwise.operators import charts as V
+    df = spark.range(100_000).select((F.col("id") % 997 / 10.0).alias("x"))
+    exact = V.box_stats(df, "x").first()
+    approx = V.approx_box_stats(df, "x").first()
+    assert approx["min"] == exact["min"] and approx["max"] == exact["max"]
+    for k in ("q1", "median", "q3"):
+        assert abs(approx[k] - exact[k]) <= 0.2
