@@ -35,7 +35,7 @@ def box_stats(df: DataFrame, value: str) -> DataFrame:
 
 def approx_box_stats(df: DataFrame, value: str, accuracy: int = 10000) -> DataFrame:
     """V2 for groups too large for an exact percentile: bounded-memory sketch."""
-    q = F.percentile_approx(F.col(value), [F.lit(p) for p in QUARTILES], accuracy)
+    q = F.percentile_approx(F.col(value), QUARTILES, accuracy)
     return df.agg(q.alias("q")).select(
         *[F.col("q")[i].alias(n) for i, n in enumerate(["min", "q1", "median", "q3", "max"])])
 
