@@ -22,6 +22,51 @@ def register(key: str, sql: str | None = None):
     return deco
 
 
+OP5_SQL = r"""
+WITH d AS (SELECT doc_id, string_split(coalesce(text, ''), chr(10)) AS ls FROM documents),
+l AS (SELECT doc_id, unnest(ls) AS line, unnest(range(len(ls))) AS pos FROM d),
+k AS (SELECT doc_id, pos, line,
+             translate(trim(line, chr(32) || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)),
+                       'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS key FROM l),
+r AS (SELECT key, max(doc_id) AS keeper FROM k WHERE length(key) >= 20
+      GROUP BY key HAVING count(DISTINCT doc_id) >= 3),
+m AS (SELECT k.doc_id, k.pos, k.line, r.key IS NOT NULL AND k.doc_id <> r.keeper AS gone
+      FROM k LEFT JOIN r ON k.key = r.key)
+SELECT doc_id, count(*) AS n_lines, count(*) FILTER (gone) AS n_dropped,
+       sha256(coalesce(string_agg(line, chr(10) ORDER BY pos) FILTER (NOT gone), '')) AS kept_sha256
+FROM m GROUP BY doc_id
+"""
+
+
+@register("op5_line_dedup", OP5_SQL)
+def op5_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from heatwise.llm.line_dedup import dedup_lines, digest
+
+    return digest(dedup_lines(table(spark, sf_dir, "documents").select("doc_id", "text"), min_chars=20, min_docs=3))
+
+
+@register("op6_simhash_near_dedup")
+def op6_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from heatwise.llm.simhash_dedup import near_duplicates
+
+    return near_duplicates(table(spark, sf_dir, "documents"), shingle=3)
+
+
+@register("op7_secret_scan")
+def op7_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from heatwise.llm.secret_scan import scan_secrets
+
+    return scan_secrets(table(spark, sf_dir, "documents"))
+
+
+@register("op8_quality_rules")
+def op8_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from heatwise.llm.quality_gbt import score_documents, train
+
+    docs = table(spark, sf_dir, "documents")
+    return score_documents(docs, train(docs, table(spark, sf_dir, "labels"), max_labels=20_000))
+
+
 @register("op9_bpe_codec")
 def op9_bpe_codec(spark: SparkSession, sf_dir: str) -> DataFrame:
     from heatwise.llm.bpe_trie import encode_documents
