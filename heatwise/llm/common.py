@@ -35,28 +35,31 @@ def broadcast_checked(df: DataFrame, max_rows: int = BROADCAST_ROWS) -> DataFram
     return F.broadcast(df) if df.count() <= max_rows else df
 
 
-def text_or_empty(col: str = "text") -> Column:
-    return F.coalesce(F.col(col).cast("string"), F.lit(""))
-
+def plain_words(text: Column) -> Column:
+    """Lower-case runs of letters and digits; none gives an empty array."""
+    spaced = F.trim(F.regexp_replace(F.lower(text), r"[^\p{L}\p{N}]+", " "))
+    return F.filter(F.split(spaced, " "), lambda w: w != "")
 
-def document_key(text: Column, doc_id: str = "doc_id") -> Column:
-    """Identity of a document row: its id and its text, so that a repeated id is told apart."""
-    return F.struct(F.col(doc_id).alias("id"), F.xxhash64(text).alias("th"))
 
+def shingles(words: str, size: int, of) -> Column:
+    """``of(run of size words)`` for each place of the array column ``words``.
 
-def plain_words(text: Column) -> Column:
-    """Lower-case runs of letters and digits."""
-    spaced = F.trim(F.regexp_replace(F.lower(text), r"[^\p{L}\p{N}]+", " "))
-    return F.when(spaced == "", F.array().cast("array<string>")).otherwise(F.split(spaced, " "))
+    Fewer words give the whole sequence as one shingle, no words give none.
+    """
+    n = F.size(F.col(words))
+    places = F.when(n > 0, F.sequence(F.lit(0), F.greatest(n - size, F.lit(0)))).otherwise(
+        F.array().cast("array<int>"))
+    return F.transform(places, lambda i: of(F.slice(F.col(words), i + 1, size)))
 
 
-def word_shingles(words: Column, size: int = 5) -> Column:
-    """Shingles of ``size`` words in order; fewer words give the whole sequence, none gives none."""
-    last = F.size(words) - F.lit(size)
-    run = F.transform(F.sequence(F.lit(0), F.greatest(last, F.lit(0))),
-                      lambda i: F.array_join(F.slice(words, i + 1, size), " "))
-    return F.when(F.size(words) > 0, run).otherwise(F.array().cast("array<string>"))
+def with_shingle_hashes(df: DataFrame, text: str, size: int = 5) -> DataFrame:
+    """``df`` with ``sh``: the 64-bit hashes of the word shingles of column ``text``, in order."""
+    return (df.withColumn("words", plain_words(F.col(text)))
+            .withColumn("words", F.transform("words", lambda w: F.xxhash64(w)))
+            .withColumn("sh", shingles("words", size, lambda run: F.xxhash64(run))).drop("words"))
 
 
-def no_rows(spark: SparkSession, schema: str) -> DataFrame:
-    return spark.createDataFrame([], schema)
+def keyed_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """(doc_id, th, text): the id, a hash of the text that tells rows of one id apart, and the text, null as empty."""
+    text = F.coalesce(docs[text_col].cast("string"), F.lit(""))
+    return docs.select(docs[id_col].cast("long").alias("doc_id"), F.xxhash64(text).alias("th"), text.alias("text"))
