@@ -51,6 +51,9 @@ class TrieEncoder:
         pairs = [tuple(m.split(" ")) if isinstance(m, str) else tuple(m) for m in model["merges"]]
         self.rank = {(self.vocab[a], self.vocab[b]): (r, self.vocab[a + b]) for r, (a, b) in enumerate(pairs)}
         self.letters = byte_letters()
+        # symbol of each byte inside a word and at its end
+        self.inner = {b: chr(self.vocab[x]) for b, x in self.letters.items()}
+        self.ending = {b: chr(self.vocab[x + self.suffix]) for b, x in self.letters.items()}
         # the two tokens that each merged token is made of
         self.halves = {whole: pair for pair, (_, whole) in sorted(self.rank.items(), key=lambda x: -x[1][0])}
         self.born = {whole: r for r, whole in sorted(self.rank.values(), reverse=True)}
@@ -74,9 +77,8 @@ class TrieEncoder:
         return "".join(chr(self.vocab[u]) for u in units)
 
     def word_symbols(self, word: str) -> str:
-        units = [self.letters[b] for b in word.encode()]
-        units[-1] += self.suffix
-        return "".join([chr(self.vocab[u]) for u in units])
+        raw = word.encode()
+        return raw[:-1].decode("latin-1").translate(self.inner) + self.ending[raw[-1]]
 
     def merge(self, symbols: list[int]) -> list[int]:
         """Plain BPE of a short run of symbols."""
@@ -132,7 +134,8 @@ class TrieEncoder:
         # by depth on the path: last token of the prefix that ends there, and its length
         token_at, size_at = [0] * 64, [0] * 64
         before = ""
-        for path, word in sorted((self.word_symbols(w), w) for w in words):
+        word_of = {self.word_symbols(w): w for w in words}
+        for path in sorted(word_of):
             end, shared = len(path), 0
             for x, y in zip(before, path):  # nodes that this word shares with the one before it
                 if x != y:
@@ -156,52 +159,64 @@ class TrieEncoder:
                 ids.append(token_at[end])
                 end -= size_at[end]
             ids.reverse()
-            out[word] = ids
+            out[word_of[path]] = ids
         return out
 
-    def normalise(self, text: str) -> str:
-        """NFC, white space to one space, lower case letter by letter (no final sigma)."""
-        if text.isascii():
-            return _SPACES.sub(" ", text).lower()
-        return _SPACES.sub(" ", unicodedata.normalize("NFC", text)).replace("Σ", "σ").lower()
-
-    def words(self, text: str) -> list[str]:
-        return _WORD.findall(self.normalise(text))
+    def words(self, chunk: str) -> list[str]:
+        """Words of a chunk without white space: NFC, lower case letter by letter (no final sigma), then the pattern."""
+        if chunk.isascii():
+            chunk = chunk.lower()
+            if chunk.isalpha():
+                return [chunk]
+            if chunk[-1] in ".,;:!?" and chunk[:-1].isalpha():
+                return [chunk[:-1], chunk[-1]]
+        else:
+            chunk = unicodedata.normalize("NFC", chunk).replace("Σ", "σ").lower()
+        return _WORD.findall(chunk)
 
     def decode(self, ids: Iterable[int]) -> str:
         """Token strings joined by a space: the file names no decoder."""
         return " ".join(self.tokens[i] for i in ids)
 
 
-_LOADED: dict[int, TrieEncoder] = {}
-
-
-def _encoder(raw: _Vocabulary) -> TrieEncoder:
-    if raw.id not in _LOADED:
-        _LOADED[raw.id] = TrieEncoder(raw.value)
-    return _LOADED[raw.id]
-
-
 class _Chunks:
-    """Encoded white-space-free chunks: a word never crosses white space."""
+    """Encoded white-space-free chunks: a word never crosses white space.
+
+    Two generations of at most ``CACHE_WORDS`` chunks: what is asked for again moves to
+    the younger one, so that frequent chunks stay and memory is bounded.
+    """
 
     def __init__(self, encoder: TrieEncoder):
         self.encoder = encoder
-        self.ids: dict[str, tuple[bytes, str]] = {}
-
-    def add(self, chunks: set[str]) -> None:
-        new = [c for c in chunks if c not in self.ids]
-        if len(self.ids) + len(new) > CACHE_WORDS:
-            self.ids = {}
-            new = list(chunks)
-        split = {c: self.encoder.words(c) for c in new}
-        ids = self.encoder.encode_words({w for ws in split.values() for w in ws})
-        done = {w: (struct.pack(f"<{len(run)}I", *run), self.encoder.decode(run)) for w, run in ids.items()}
+        self.young: dict[str, tuple[bytes, str]] = {}
+        self.old: dict[str, tuple[bytes, str]] = {}
+
+    def add(self, chunks: set[str]) -> dict[str, tuple[bytes, str]]:
+        """(ids as bytes, decoded text) of chunks, these among them."""
+        if len(self.young) + len(chunks) > CACHE_WORDS:
+            self.old, self.young = self.young, {}
+        young, old = self.young, self.old
+        new = [c for c in chunks if c not in young]
+        young.update([(c, old[c]) for c in new if c in old])
+        split = {c: self.encoder.words(c) for c in new if c not in old}
+        encoded = self.encoder.encode_words({w for ws in split.values() for w in ws})
+        done = {w: (struct.pack(f"<{len(run)}I", *run), self.encoder.decode(run)) for w, run in encoded.items()}
         for c, ws in split.items():
             if len(ws) == 1:
-                self.ids[c] = done[ws[0]]
+                young[c] = done[ws[0]]
             else:
-                self.ids[c] = (b"".join([done[w][0] for w in ws]), " ".join([done[w][1] for w in ws]))
+                young[c] = (b"".join([done[w][0] for w in ws]), " ".join([done[w][1] for w in ws]))
+        return young
+
+
+_LOADED: dict[int, _Chunks] = {}  # of a Python worker, across the tasks that it runs
+
+
+def _encoded_chunks(raw: _Vocabulary) -> _Chunks:
+    if raw.id not in _LOADED:
+        _LOADED.clear()
+        _LOADED[raw.id] = _Chunks(TrieEncoder(raw.value))
+    return _LOADED[raw.id]
 
 
 def _chunks_of(text: str) -> list[str]:
@@ -221,10 +236,10 @@ def encode_documents(docs: DataFrame, vocabulary_path: str, keep_ids: bool = Tru
     raw = _Vocabulary(docs.sparkSession, vocabulary_path)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = _encoder(raw)
+        known = _encoded_chunks(raw)
+        encoder = known.encoder
         special = re.compile("(" + ("|".join(map(re.escape, sorted(encoder.specials, key=len, reverse=True)))
                                     or r"(?!)") + ")")
-        known = _Chunks(encoder)
         own = {s: (np.array([i], dtype="<u4").tobytes(), s) for s, i in encoder.specials.items()}
         for batch in batches:
             for at in range(0, batch.num_rows, 512):
@@ -237,9 +252,8 @@ def encode_documents(docs: DataFrame, vocabulary_path: str, keep_ids: bool = Tru
                                     for x in ([(True, p)] if i % 2 else [(False, c) for c in _chunks_of(p)])])
                     else:
                         cut.append(_chunks_of(text))
-                known.add({c if isinstance(c, str) else c[1] for d in cut for c in d
-                           if isinstance(c, str) or not c[0]})
-                look = known.ids
+                look = known.add({c if isinstance(c, str) else c[1] for d in cut for c in d
+                                  if isinstance(c, str) or not c[0]})
                 rows = []
                 for chunks in cut:
                     got = [look[c] if isinstance(c, str) else own[c[1]] if c[0] else look[c[1]] for c in chunks]
@@ -266,7 +280,7 @@ def decode_documents(encoded: DataFrame, vocabulary_path: str) -> DataFrame:
     raw = _Vocabulary(encoded.sparkSession, vocabulary_path)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = _encoder(raw)
+        encoder = _encoded_chunks(raw).encoder
         for batch in batches:
             texts = [encoder.decode(ids or []) for ids in batch.column(1).to_pylist()]
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(texts, pa.string())],

@@ -27,7 +27,7 @@ from pyspark.sql import types as T
 from heatwise.llm.common import land
 
 STRIP = b" \t\n\x0b\x0c\r"
-SHARD_KEYS = 1 << 18
+SHARD_KEYS = 1 << 14
 BUCKET_KEYS = 4
 NO_DOC = np.iinfo(np.int64).min  # stands for a null id, below every other id
 
@@ -230,7 +230,7 @@ def dropped_lines(docs: DataFrame, arrays: DataFrame, shards: int, min_chars: in
             .mapInArrow(answer, "row long, line int"))
 
 
-def dedup_lines(docs: DataFrame, min_chars: int = 20, min_docs: int = 3, salts: int = 4,
+def dedup_lines(docs: DataFrame, min_chars: int = 20, min_docs: int = 3, salts: int = 8,
                 id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``docs`` with the text of the lines that stay and two counts, ``n_lines`` and ``n_dropped``.
 

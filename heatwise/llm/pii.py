@@ -18,7 +18,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from heatwise.llm.common import broadcast_checked, keyed_documents, land
@@ -93,8 +93,6 @@ def entity_spans(rows: DataFrame) -> DataFrame:
     """(doc_id, th, kind, start, end, hit, left, right) of the base findings of keyed documents."""
     pieces = rows.select("doc_id", "th", *[_pieces(k).alias(k) for k in BASE_KINDS])
     flat = pieces.select("doc_id", "th", F.explode(F.concat(*BASE_KINDS)).alias("p")).select("doc_id", "th", "p.*")
-    from pyspark.sql import Window
-
     # text before a match: all gaps and matches before it in the same document
     upto = Window.partitionBy("doc_id", "th", "kind").orderBy("at")
     end = F.sum(F.col("gap") + F.coalesce(F.length("hit"), F.lit(0))).over(upto)
@@ -165,8 +163,6 @@ def term_spans(rows: DataFrame, terms: DataFrame) -> DataFrame:
         "pii-term-documents"))
     here = rows.join(holders, F.col("doc_id").eqNullSafe(F.col("d")) & (F.col("th") == F.col("t")), "left_semi")
     gaps, hits = F.split(F.col("text"), _WORD, -1), F.regexp_extract_all(F.col("text"), F.lit(_WORD), F.lit(0))
-    from pyspark.sql import Window
-
     flat = (here.select("doc_id", "th", F.posexplode(F.arrays_zip(F.transform(gaps, F.length).alias("gap"), hits.alias("hit")))
                         .alias("at", "x")).select("doc_id", "th", "at", "x.gap", "x.hit").where("hit IS NOT NULL")
             .dropDuplicates(["doc_id", "th", "at"]))
@@ -210,7 +206,10 @@ def find_pii(docs: DataFrame, rule: Disclosure = Disclosure(), id_col: str = "do
 
 def digest(found: DataFrame) -> DataFrame:
     """Counts per base kind, the digest of the base spans, and all spans."""
-    counts = [F.size(F.filter("found", lambda s, k=k: s["kind"] == k)).cast("long").alias(f"n_{k}") for k in BASE_KINDS]
+    def count(kind: str) -> Column:
+        return F.size(F.filter("found", lambda s: s["kind"] == kind)).cast("long").alias(f"n_{kind}")
+
+    counts = [count(k) for k in BASE_KINDS]
     return found.select("doc_id", *counts, F.sha2(_joined(F.col("found"), BASE_KINDS).cast("binary"), 256).alias("base_sha256"),
                         _joined(F.col("found"), BASE_KINDS + TERM_KINDS).alias("spans"))
 

@@ -22,6 +22,66 @@ def register(key: str, sql: str | None = None):
     return deco
 
 
+_PLAIN_SQL = r"trim(regexp_replace(lower(coalesce(text, '')), '[^\p{L}\p{N}]+', ' ', 'g'))"
+
+
+def _shingles_sql(name: str, source: str, key: str) -> str:
+    """CTEs that end in ``name`` (key, pos, sh): the five-word shingles in order, or the whole of fewer words."""
+    return f"""{name}_w AS (SELECT {key}, string_split({_PLAIN_SQL}, ' ') AS w FROM {source} WHERE {_PLAIN_SQL} <> ''),
+{name} AS (SELECT {key}, i AS pos, array_to_string(w[i + 1:i + 5], ' ') AS sh
+           FROM (SELECT {key}, w, unnest(range(greatest(len(w) - 5, 0) + 1)) AS i FROM {name}_w))"""
+
+
+OP2_SQL = f"""
+WITH {_shingles_sql("d", "documents", "doc_id")},
+{_shingles_sql("b", "benchmark", "item_id")},
+n AS (SELECT item_id, count(DISTINCT sh) AS n_shingles FROM b GROUP BY item_id),
+m AS (SELECT d.doc_id, b.item_id, count(DISTINCT d.sh) AS n_shared FROM d JOIN b USING (sh) GROUP BY ALL)
+SELECT doc_id, item_id, n_shingles, n_shared, n_shared / n_shingles AS containment
+FROM m JOIN n USING (item_id) WHERE n_shared >= ceil(round(n_shingles * 0.8, 9))
+"""
+
+
+@register("op2_decontamination", OP2_SQL)
+def op2_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from heatwise.llm.decontaminate import find_leaks
+
+    return find_leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), threshold=0.8, size=5)
+
+
+@register("op3_pii_sanitisation")
+def op3_pii_sanitisation(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from heatwise.llm.pii import digest, find_pii
+
+    return digest(find_pii(table(spark, sf_dir, "documents")))
+
+
+def _op4_sql() -> str:
+    from heatwise.llm.licenses import TEMPLATES
+
+    rows = ", ".join("('{}', '{}')".format(k, v.replace("'", "''")) for k, v in sorted(TEMPLATES.items()))
+    return f"""
+WITH t(license, text) AS (VALUES {rows}),
+{_shingles_sql("k", "t", "license")},
+kn AS (SELECT license, sh, count(*) OVER (PARTITION BY license) AS n_shingles FROM (SELECT DISTINCT license, sh FROM k)),
+ks AS (SELECT *, CAST(power(2, ceil(log2(n_shingles))) AS BIGINT) AS span FROM kn),
+{_shingles_sql("d", "documents", "doc_id")},
+h AS (SELECT d.doc_id, d.pos, d.sh, ks.license, ks.n_shingles, ks.span FROM d JOIN ks USING (sh)),
+w AS (SELECT *, pos // span AS win FROM h UNION ALL SELECT *, pos // span - 1 AS win FROM h WHERE pos >= span),
+c AS (SELECT doc_id, license, n_shingles, win, count(DISTINCT sh) AS n_shared, min(pos) AS first_word FROM w GROUP BY ALL)
+SELECT doc_id, license, n_shingles, n_shared, first_word FROM c
+WHERE n_shared >= ceil(round(n_shingles * 0.8, 9))
+QUALIFY row_number() OVER (PARTITION BY doc_id, license ORDER BY n_shared DESC, first_word) = 1
+"""
+
+
+@register("op4_license_scan", _op4_sql())
+def op4_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from heatwise.llm.licenses import scan_licenses
+
+    return scan_licenses(table(spark, sf_dir, "documents"), threshold=0.8, size=5)
+
+
 OP5_SQL = r"""
 WITH d AS (SELECT doc_id, string_split(coalesce(text, ''), chr(10)) AS ls FROM documents),
 l AS (SELECT doc_id, unnest(ls) AS line, unnest(range(len(ls))) AS pos FROM d),
