@@ -64,8 +64,9 @@ class TrieEncoder:
             s = self._spell(token)
             if self.merge([ord(c) for c in s]) == [token]:
                 self.spelled[s] = token
-                sizes.setdefault(s[-2:], set()).add(len(s))
-        self.sizes = {end: sorted(n, reverse=True) for end, n in sizes.items()}
+                sizes.setdefault(s[-3:], set()).add(len(s))
+        # lengths of the tokens that end in three symbols, the longest first
+        self.sizes = {end: sorted(n, reverse=True) for end, n in sizes.items() if len(end) == 3}
         self._beside: dict[tuple[int, int], bool] = {}
 
     def _spell(self, token: int) -> str:
@@ -147,12 +148,17 @@ class TrieEncoder:
                 size_at += [0] * end
             for depth in range(shared + 1, end + 1):
                 token, size = ord(path[depth - 1]), 1
-                for n in sizes_of.get(path[max(0, depth - 2):depth], ()):
-                    if n <= depth:
-                        t = spelled.get(path[depth - n:depth])
-                        if t is not None and (n == depth or fits(token_at[depth - n], t)):
-                            token, size = t, n
-                            break
+                if depth > 2:
+                    for n in sizes_of.get(path[depth - 3:depth], ()):
+                        if n <= depth:
+                            t = spelled.get(path[depth - n:depth])
+                            if t is not None and (n == depth or fits(token_at[depth - n], t)):
+                                token, size = t, n
+                                break
+                if size == 1 and depth > 1:
+                    t = spelled.get(path[depth - 2:depth])
+                    if t is not None and (depth == 2 or fits(token_at[depth - 2], t)):
+                        token, size = t, 2
                 token_at[depth], size_at[depth] = token, size
             ids = []
             while end:
