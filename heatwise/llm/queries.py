@@ -22,6 +22,13 @@ def register(key: str, sql: str | None = None):
     return deco
 
 
+@register("op1_html_extraction")
+def op1_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from heatwise.llm.html_extract import extract_pages
+
+    return extract_pages(table(spark, sf_dir, "pages"))
+
+
 _PLAIN_SQL = r"trim(regexp_replace(lower(coalesce(text, '')), '[^\p{L}\p{N}]+', ' ', 'g'))"
 
 

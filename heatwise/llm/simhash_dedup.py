@@ -24,7 +24,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from heatwise.llm.common import land
+from heatwise.llm.common import keyed_documents, land
 
 SEED = 42
 MAX_DISTANCE = 3
@@ -52,14 +52,16 @@ def fingerprint(text: bytes, size: int = 3) -> int:
 
 
 def fingerprints(docs: DataFrame, size: int = 3, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(doc_id, fp) of every row; ``fp`` is the fingerprint as a signed 64-bit integer."""
+    """(doc_id, th, fp) of every row: a hash of the text, and the fingerprint as a signed 64-bit integer."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            fps = np.array([fingerprint(t or b"", size) for t in batch.column(1).to_pylist()], dtype=np.uint64)
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(fps.view(np.int64))], names=["doc_id", "fp"])
+            fps = np.array([fingerprint(t, size) for t in batch.column(2).to_pylist()], dtype=np.uint64)
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(fps.view(np.int64))],
+                                             names=["doc_id", "th", "fp"])
 
-    return docs.select(docs[id_col].cast("long").alias("doc_id"),
-                       docs[text_col].cast("string").cast("binary").alias("text")).mapInArrow(run, "doc_id long, fp long")
+    rows = keyed_documents(docs, id_col, text_col)
+    return rows.select("doc_id", "th", F.col("text").cast("binary").alias("text")).mapInArrow(
+        run, "doc_id long, th long, fp long")
 
 
 def _runs(keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -195,6 +197,18 @@ def components(edges: DataFrame) -> DataFrame:
         now.select(F.col("v").alias("node"), F.col("v").alias("grp")).distinct())
 
 
+def _grouped(docs: DataFrame, shingle: int, id_col: str, text_col: str) -> tuple[DataFrame, DataFrame]:
+    """(doc_id, th, fp) of every row, and (fp, grp) of every distinct fingerprint."""
+    fps = land(fingerprints(docs, shingle, id_col, text_col), "fingerprints")
+    points = fps.select("fp").distinct().checkpoint()
+    close = components(ball_links(points))
+    grouped = points.join(close, points.fp == close.node, "left").select(
+        "fp", F.coalesce("grp", "fp").alias("grp")).checkpoint()
+    merged = components(half_links(grouped)).withColumnsRenamed({"grp": "top"})
+    return fps, grouped.join(merged, grouped.grp == merged.node, "left").select(
+        "fp", F.coalesce("top", "grp").alias("grp")).checkpoint()
+
+
 def near_duplicates(docs: DataFrame, shingle: int = 3, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(doc_id, fingerprint, component_id) of every row.
 
@@ -204,15 +218,32 @@ def near_duplicates(docs: DataFrame, shingle: int = 3, id_col: str = "doc_id", t
     the least, and a component with null ids only has a null ``component_id``; other
     columns are left out.
     """
-    fps = land(fingerprints(docs, shingle, id_col, text_col), "fingerprints")
-    points = fps.groupBy("fp").agg(F.min("doc_id").alias("least")).checkpoint()
-    close = components(ball_links(points))
-    grouped = points.join(close, points.fp == close.node, "left").select(
-        "fp", "least", F.coalesce("grp", "fp").alias("grp")).checkpoint()
-    merged = components(half_links(grouped))
-    final = grouped.join(merged.withColumnsRenamed({"grp": "top"}), grouped.grp == F.col("node"), "left").select(
-        "fp", "least", F.coalesce("top", "grp").alias("grp")).checkpoint()
-    named = final.groupBy("grp").agg(F.min("least").alias("component_id"))
-    of = final.join(named, "grp").select("fp", "component_id")
-    return fps.join(of, "fp").select(
+    fps, of = _grouped(docs, shingle, id_col, text_col)
+    least = fps.groupBy("fp").agg(F.min("doc_id").alias("least")).join(of, "fp")
+    named = least.groupBy("grp").agg(F.min("least").alias("component_id"))
+    named = of.join(named, "grp").select("fp", "component_id")
+    return fps.join(named, "fp").select(
         "doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
+
+
+def keep_one(docs: DataFrame, shingle: int = 3, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """One row of ``docs`` for each group, with the least id, all columns as they are.
+
+    Of rows that share the least id the one with the smallest text hash stays, of rows
+    that share the text too any one; a null id comes after all others.
+    """
+    fps, of = _grouped(docs, shingle, id_col, text_col)
+    order = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "th")
+    first = fps.groupBy("fp").agg(F.min(order).alias("first"))
+    first = land(first.join(of, "fp").groupBy("grp").agg(F.min("first").alias("first")).select(
+        F.col("first.doc_id").alias("_d"), F.col("first.th").alias("_t")), "group-heads")
+    doc_id, th = docs[id_col].cast("long"), F.xxhash64(F.coalesce(docs[text_col].cast("string"), F.lit("")))
+    kept = docs.join(first, doc_id.eqNullSafe(F.col("_d")) & (th == F.col("_t")), "left_semi")
+    # rows that repeat id and text: only these are compared again
+    again = land(fps.groupBy("doc_id", "th").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select(
+        F.col("doc_id").alias("_d"), F.col("th").alias("_t")), "repeated-rows")
+    if again.isEmpty():
+        return kept
+    repeats = doc_id.eqNullSafe(F.col("_d")) & (th == F.col("_t"))
+    single, several = kept.join(again, repeats, "left_anti"), kept.join(again, repeats, "left_semi")
+    return single.unionByName(several.withColumns({"_d": doc_id, "_t": th}).dropDuplicates(["_d", "_t"]).drop("_d", "_t"))
