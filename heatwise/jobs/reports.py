@@ -46,7 +46,7 @@ def write_all_reports(spark: SparkSession, sf_dir: str, out: str, models: bool =
         K.write_table_text(rep, f"{out}/{name}_txt")
         written += [name, f"{name}_txt"]
 
-    raw = star.land(spark, sf_dir, "dirty")
+    raw = star.strings_of(star.land(spark, sf_dir, "tasks"))
     entries = U.with_result_key(U.composite_rollup(C.with_composite(C.parse_composite(raw))))
     K.write_results(entries, raw.select(F.count(F.lit(1))).scalar(), list(raw.columns), f"{out}/results")
     written.append("results")

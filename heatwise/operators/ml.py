@@ -107,12 +107,16 @@ def classification_metrics(pred: DataFrame, label: str, prediction: str = "predi
     The confusion table has one row per (label, prediction) pair, so everything
     after the first aggregate works on a handful of rows.
     """
-    cnt = pred.groupBy(F.col(label).cast("double").alias("l"), F.col(prediction).cast("double").alias("p")) \
-        .agg(F.count(F.lit(1)).alias("n"))
-    by_label = cnt.groupBy("l").agg(F.sum("n").alias("n_l"),
-                                    F.sum(F.when(F.col("l") == F.col("p"), F.col("n")).otherwise(0)).alias("tp"))
-    by_pred = cnt.groupBy(F.col("p").alias("l")).agg(F.sum("n").alias("n_p"))
-    per = by_label.join(by_pred, "l", "left")
+    pairs = pred.select(F.col(label).cast("double").alias("l"), F.col(prediction).cast("double").alias("p"))
+    cnt = pairs.where("l IS NOT NULL AND p IS NOT NULL").groupBy("l", "p").agg(F.count(F.lit(1)).alias("n"))
+    # each pair counts once for its label and once for its prediction: one scan, one more small aggregate
+    zero = F.lit(0).cast("long")
+    sides = F.array(
+        F.struct(F.col("l").alias("l"), F.col("n").alias("n_l"), zero.alias("n_p"),
+                 F.when(F.col("l") == F.col("p"), F.col("n")).otherwise(zero).alias("tp")),
+        F.struct(F.col("p").alias("l"), zero.alias("n_l"), F.col("n").alias("n_p"), zero.alias("tp")))
+    per = cnt.select(F.explode(sides).alias("s")).groupBy("s.l").agg(
+        F.sum("s.n_l").alias("n_l"), F.sum("s.n_p").alias("n_p"), F.sum("s.tp").alias("tp")).where("n_l > 0")
     prec = F.when(F.coalesce(F.col("n_p"), F.lit(0)) > 0, F.col("tp") / F.col("n_p")).otherwise(0.0)
     rec = F.col("tp") / F.col("n_l")
     per = per.withColumns({"prec": prec, "rec": rec})
@@ -126,7 +130,7 @@ def classification_metrics(pred: DataFrame, label: str, prediction: str = "predi
         (F.sum(F.col("rec") * F.col("n_l")) / total).alias("weighted_recall"))
 
 
-def auc(df: DataFrame, label: str, score: str, buckets: int = 1024) -> DataFrame:
+def auc(df: DataFrame, label: str, score: str, buckets: int | None = None) -> DataFrame:
     """Exact area under the ROC curve (ties count one half).
 
     AUC = Σ over positives of (negatives scored lower + ½ negatives tied) / (P·N).
@@ -144,7 +148,9 @@ def auc(df: DataFrame, label: str, score: str, buckets: int = 1024) -> DataFrame
     # shared checkpoint folder and the ranges, offsets and running sums read it
     shared_dir(df.sparkSession)
     g = g.checkpoint(eager=True)
-    ranges = QuantileDiscretizer(inputCol="s", outputCol="b", numBuckets=max(2, buckets), relativeError=1e-3,
+    # a range per 100,000 distinct scores, with borders exact to a tenth of a range
+    buckets = max(2, buckets or -(-g.count() // 100_000))
+    ranges = QuantileDiscretizer(inputCol="s", outputCol="b", numBuckets=buckets, relativeError=0.1 / buckets,
                                  handleInvalid="keep").fit(g)
     g = ranges.transform(g).withColumn("b", F.col("b").cast("int"))
     before = Window.orderBy("b").rowsBetween(Window.unboundedPreceding, -1)
@@ -159,49 +165,29 @@ def auc(df: DataFrame, label: str, score: str, buckets: int = 1024) -> DataFrame
 
 # ---- M5-M9, M13: fitted models ---------------------------------------------------------
 
-def _mb(text: str) -> int:
-    text = text.strip().lower()
-    units = {"k": 1 / 1024, "m": 1, "g": 1024, "t": 1024 * 1024}
-    if text[-1:] == "b":
-        text = text[:-1]
-    return int(float(text[:-1]) * units[text[-1]]) if text[-1:] in units else int(text) // (1024 * 1024)
+# Split statistics per running task of a tree learner.  The value decides how many nodes
+# are split in one pass and with it which feature subsets are drawn, so it is fixed: the
+# same data give the same trees on every cluster.  Size executors to it (slots x 32 MB).
+TREE_MEMORY_MB = 32
 
 
-def tree_memory_mb(spark) -> int:
-    """Per-task budget for tree split statistics (``maxMemoryInMB``).
-
-    Every running task of a tree learner may hold this much; a quarter of an
-    executor's heap is shared by its task slots (in local mode the driver's heap
-    and all cores), bounded to 16..256 MB.
-    """
-    sc = spark.sparkContext
-    conf = sc.getConf()
-    if sc.master.startswith("local"):
-        heap = sc._jvm.java.lang.Runtime.getRuntime().maxMemory() // (1024 * 1024)
-        slots = sc.defaultParallelism
-    else:
-        heap = _mb(conf.get("spark.executor.memory", "1g"))
-        slots = int(conf.get("spark.executor.cores", "1")) // max(1, int(conf.get("spark.task.cpus", "1")))
-    return int(max(16, min(256, heap * 0.25 / max(1, slots))))
-
-
-def _trees(est, spark):
-    return est.setMaxMemoryInMB(tree_memory_mb(spark))
+def _trees(est):
+    return est.setMaxMemoryInMB(TREE_MEMORY_MB)
 
 
 REGRESSORS = {
-    "LinearRegression": lambda label, spark: LinearRegression(labelCol=label, featuresCol="features"),
-    "DecisionTree": lambda label, spark: _trees(
-        DecisionTreeRegressor(labelCol=label, featuresCol="features", seed=SEED), spark),
-    "GBTRegressor": lambda label, spark: _trees(
-        GBTRegressor(labelCol=label, featuresCol="features", seed=SEED), spark),
+    "LinearRegression": lambda label: LinearRegression(labelCol=label, featuresCol="features"),
+    "DecisionTree": lambda label: _trees(
+        DecisionTreeRegressor(labelCol=label, featuresCol="features", seed=SEED)),
+    "GBTRegressor": lambda label: _trees(
+        GBTRegressor(labelCol=label, featuresCol="features", seed=SEED)),
 }
 CLASSIFIERS = {
-    "GBTClassifier": lambda label, spark: _trees(
-        GBTClassifier(labelCol=label, featuresCol="features", seed=SEED), spark),
-    "LogisticRegression": lambda label, spark: LogisticRegression(labelCol=label, featuresCol="features"),
-    "RandomForest": lambda label, spark: _trees(
-        RandomForestClassifier(labelCol=label, featuresCol="features", seed=SEED), spark),
+    "GBTClassifier": lambda label: _trees(
+        GBTClassifier(labelCol=label, featuresCol="features", seed=SEED)),
+    "LogisticRegression": lambda label: LogisticRegression(labelCol=label, featuresCol="features"),
+    "RandomForest": lambda label: _trees(
+        RandomForestClassifier(labelCol=label, featuresCol="features", seed=SEED)),
 }
 
 
@@ -209,10 +195,10 @@ def _empty_like(df: DataFrame, cols: list[str]) -> DataFrame:
     return df.select(*cols).limit(0)
 
 
-def _prepared(df: DataFrame, features: list[str]):
-    data = assemble(df, features)
-    train, test = hash_split(data)
-    return train.persist(StorageLevel.MEMORY_AND_DISK), test
+def _prepared(df: DataFrame, features: list[str], labels: list[str]):
+    """Persisted training side (features and labels only) and test side."""
+    train, test = hash_split(assemble(df, features))
+    return train.select("features", *labels).persist(StorageLevel.MEMORY_AND_DISK), test
 
 
 def predict_regression(df: DataFrame, label: str, algo: str = "LinearRegression",
@@ -221,11 +207,11 @@ def predict_regression(df: DataFrame, label: str, algo: str = "LinearRegression"
     out = ["sl_no", "machine_id", label, "prediction"]
     if label not in df.columns:
         return _empty_like(df.withColumn("prediction", F.lit(0.0)), [c for c in out if c in df.columns])
-    train, test = _prepared(df, features)
+    train, test = _prepared(df, features, [label])
     try:
         if train.isEmpty() or test.isEmpty():
             return _empty_like(df.withColumn("prediction", F.lit(0.0)), out)
-        model = REGRESSORS[algo](label, df.sparkSession).fit(train)
+        model = REGRESSORS[algo](label).fit(train)
     finally:
         train.unpersist()
     return model.transform(test).select(*out)
@@ -235,11 +221,11 @@ def predict_failure(df: DataFrame, algo: str = "RandomForest", features: list[st
     """M6: failure classifier: (sl_no, machine_id, failed, prediction, score)."""
     out = ["sl_no", "machine_id", "failed", "prediction", "score"]
     data = df.withColumn("failed", F.col("failed").cast("double"))
-    train, test = _prepared(data, features)
+    train, test = _prepared(data, features, ["failed"])
     try:
         if train.isEmpty() or test.isEmpty():
             return _empty_like(data.withColumns({"prediction": F.lit(0.0), "score": F.lit(0.0)}), out)
-        model = CLASSIFIERS[algo]("failed", df.sparkSession).fit(train)
+        model = CLASSIFIERS[algo]("failed").fit(train)
     finally:
         train.unpersist()
     return model.transform(test).withColumn("score", vector_to_array("probability")[1]).select(*out)
@@ -247,45 +233,48 @@ def predict_failure(df: DataFrame, algo: str = "RandomForest", features: list[st
 
 def predict_label(df: DataFrame, label: str, features: list[str] = FS12, scaled: bool = False,
                   num_trees: int = 20, max_depth: int = 5) -> DataFrame:
-    """Index the label (new labels skipped), optionally scale, random forest.
+    """Index the label, optionally scale, random forest.
 
-    Returns (label, label_idx, prediction) on the 20 % side; empty when the label
-    column is missing or a side of the split is empty.
+    The label index is fitted on the whole table, so a label that only the test side has
+    is predicted like any other; rows without a label are left out.  Returns (sl_no,
+    label, label_idx, prediction) on the 20 % side; empty when the label column is
+    missing or a side of the split is empty.
     """
     idx = f"{label}_idx"
     if label not in df.columns:
-        return df.sparkSession.createDataFrame([], f"{label} string, {idx} double, prediction double")
-    data = assemble(df, features, "raw_features" if scaled else "features")
+        return df.sparkSession.createDataFrame([], f"sl_no long, {label} string, {idx} double, prediction double")
+    raw = "raw_features" if scaled else "features"
+    data = assemble(df, features, raw).filter(F.col(label).isNotNull())
     train, test = hash_split(data)
+    out = ["sl_no", label, idx, "prediction"]
     if train.isEmpty() or test.isEmpty():
-        return _empty_like(data.withColumns({idx: F.lit(0.0), "prediction": F.lit(0.0)}), [label, idx, "prediction"])
-    stages = [StringIndexer(inputCol=label, outputCol=idx, handleInvalid="skip")]
-    if scaled:
-        stages.append(StandardScaler(inputCol="raw_features", outputCol="features", withMean=True, withStd=True))
+        return _empty_like(data.withColumns({idx: F.lit(0.0), "prediction": F.lit(0.0)}), out)
+    indexer = StringIndexer(inputCol=label, outputCol=idx, stringOrderType="frequencyDesc").fit(data.select(label))
+    stages = [StandardScaler(inputCol=raw, outputCol="features", withMean=True, withStd=True)] if scaled else []
     stages.append(_trees(RandomForestClassifier(labelCol=idx, featuresCol="features", seed=SEED,
-                                                numTrees=num_trees, maxDepth=max_depth), df.sparkSession))
-    train = train.persist(StorageLevel.MEMORY_AND_DISK)
+                                                numTrees=num_trees, maxDepth=max_depth)))
+    train = indexer.transform(train.select(raw, label)).select(raw, idx).persist(StorageLevel.MEMORY_AND_DISK)
     try:
         model = Pipeline(stages=stages).fit(train)
     finally:
         train.unpersist()
-    return model.transform(test).select(label, idx, "prediction")
+    return model.transform(indexer.transform(test)).select(*out)
 
 
 def model_scores(df: DataFrame, features: list[str] = FS12) -> DataFrame:
     """M9: every regressor on heat, energy and duration (rmse, mae, r2) and every
     classifier on failure (auc), as a long (task, model, metric, value) table."""
     data = df.withColumn("failed", F.col("failed").cast("double"))
-    train, test = _prepared(data, features)
+    train, test = _prepared(data, features, ["heat", "energy", "duration", "failed"])
     parts = []
     try:
         for task in ("heat", "energy", "duration"):
             for name, make in REGRESSORS.items():
-                pred = make(task, df.sparkSession).fit(train).transform(test)
+                pred = make(task).fit(train).transform(test)
                 parts.append(regression_metrics_long(pred, task).select(
                     F.lit(f"{task}_prediction").alias("task"), F.lit(name).alias("model"), "metric", "value"))
         for name, make in CLASSIFIERS.items():
-            pred = make("failed", df.sparkSession).fit(train).transform(test) \
+            pred = make("failed").fit(train).transform(test) \
                 .withColumn("score", vector_to_array("probability")[1])
             parts.append(auc(pred, "failed", "score")
                          .select(F.lit("failure_prediction").alias("task"), F.lit(name).alias("model"),
@@ -304,7 +293,8 @@ LOWER_IS_BETTER = ("rmse", "mae")
 
 
 def best_models(metrics: DataFrame) -> DataFrame:
-    """The best model(s) per (task, metric); ties are all kept."""
+    """The best model(s) per (task, metric); ties are all kept, a null or NaN value is never best."""
+    metrics = metrics.filter(F.col("value").isNotNull() & ~F.isnan(F.col("value").cast("double")))
     signed = F.when(F.col("metric").isin(*LOWER_IS_BETTER), F.col("value")).otherwise(-F.col("value"))
     w = Window.partitionBy("task", "metric").orderBy(signed)
     return metrics.withColumn("rank", F.rank().over(w)).filter(F.col("rank") == 1).drop("rank")

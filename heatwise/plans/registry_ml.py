@@ -6,6 +6,7 @@ from __future__ import annotations
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import functions as F
 
+from heatwise.operators import clean as C
 from heatwise.operators import ml as M
 from heatwise.operators import reports as R
 from heatwise.plans import oracle as O
@@ -218,3 +219,75 @@ def q_sample_predictions(spark, d):
 @register("model_scores")
 def q_model_scores(spark, d):
     return M.model_scores(lin(spark, d))
+
+
+# ---- what of the fitted models SQL can say: the rows, labels and label indices of the test side ----
+
+_TEST_SIDE = "('0x' || substr(md5(CAST(sl_no AS VARCHAR)), 1, 4))::INTEGER % 100 >= 80"
+
+for _label in ("heat", "energy", "duration"):
+    def _rows(spark, d, label=_label):
+        """The test side of the fitted regression: every row once, with its label and a prediction."""
+        p = M.predict_regression(lin(spark, d), label)
+        return r6(p.select("sl_no", "machine_id", F.col(label).cast("double").alias("label"),
+                           F.col("prediction").isNotNull().alias("predicted")))
+
+    register(f"predict_{_label}_rows", W(T_, L_, body=f"""
+SELECT sl_no, machine_id, round(CAST({_label} AS DOUBLE), 6) AS label, true AS predicted FROM lin WHERE {_TEST_SIDE}"""))(_rows)
+
+
+@register("predict_failure_rows", W(T_, L_, body=f"""
+SELECT sl_no, machine_id, CAST(failed AS DOUBLE) AS label, true AS predicted FROM lin WHERE {_TEST_SIDE}"""))
+def q_predict_failure_rows(spark, d):
+    p = M.predict_failure(lin(spark, d))
+    ok = F.col("prediction").isin(0.0, 1.0) & F.col("score").between(0, 1)
+    return p.select("sl_no", "machine_id", F.col("failed").alias("label"), ok.alias("predicted"))
+
+
+for _label in ("collection_type", "scheduling_class", "priority"):
+    def _rows(spark, d, label=_label):
+        """The test side of the fitted classifier, with label indices over the whole table."""
+        p = M.predict_label(lin(spark, d), label)
+        return p.select("sl_no", F.col(label).cast("string").alias("label"), F.col(f"{label}_idx").alias("label_idx"),
+                        (F.col("prediction") >= 0).alias("predicted"))
+
+    register(f"predict_{_label}_rows", W(T_, L_, body=f"""
+SELECT sl_no, CAST(lin.{_label} AS VARCHAR) AS label, label_idx, true AS predicted
+FROM lin JOIN (SELECT {_label}, CAST(row_number() OVER (ORDER BY count(*) DESC, CAST({_label} AS VARCHAR)) - 1 AS DOUBLE)
+                 AS label_idx FROM lin GROUP BY {_label}) i ON lin.{_label} = i.{_label}
+WHERE {_TEST_SIDE}"""))(_rows)
+
+
+@register("linear_fit_check", W(T_, L_, body="""
+SELECT unnest(['heat', 'energy', 'duration']) AS label, count(*) > 0 AS has_rows, true AS beats_mean FROM lin"""))
+def q_linear_fit_check(spark, d):
+    """Fitted regressions hold to their definition: on the test side they beat the label's mean."""
+    base = lin(spark, d)
+    out = None
+    for label in ("heat", "energy", "duration"):
+        m = M.regression_metrics(M.predict_regression(base, label), label).select(
+            F.lit(label).alias("label"), (F.col("n") > 0).alias("has_rows"), (F.col("r2") > 0).alias("beats_mean"))
+        out = m if out is None else out.unionByName(m)
+    return out
+
+
+@register("model_comparison", W(T_, L_, _PRED_SQL, _CANDIDATES_SQL, f"long AS ({_long('q', 'task, model')})", body="""
+SELECT task, model, round(max(value) FILTER (metric = 'rmse'), 6) AS rmse,
+  round(max(value) FILTER (metric = 'mae'), 6) AS mae, round(max(value) FILTER (metric = 'r2'), 6) AS r2
+FROM long GROUP BY task, model"""))
+def q_model_comparison(spark, d):
+    """Models down, metrics across."""
+    return r6(M.compare_models(candidate_metrics(spark, d), ["rmse", "mae", "r2"]))
+
+
+@register("feature_presence", W(T_, L_, body=" UNION ALL ".join(
+    f"SELECT '{c}' AS feature, true AS present, count({c}) AS non_null FROM lin" for c in FS12)
+    + " UNION ALL SELECT 'gpu_usage', false, 0"))
+def q_feature_presence(spark, d):
+    """P10: one row per wanted feature; a missing one is reported with no values."""
+    df = lin(spark, d)
+    have, missing = C.present_features(df, FS12 + ["gpu_usage"])
+    rows = [F.struct(F.lit(c).alias("feature"), F.lit(True).alias("present"), F.col(c).alias("non_null")) for c in have]
+    rows += [F.struct(F.lit(c).alias("feature"), F.lit(False).alias("present"), F.lit(0).cast("long").alias("non_null"))
+             for c in missing]
+    return df.agg(*[F.count(c).alias(c) for c in have]).select(F.explode(F.array(*rows)).alias("f")).select("f.*")

@@ -49,12 +49,14 @@ def shared_dir(spark: SparkSession) -> str:
     """The shared folder named by ``spark.checkpoint.dir``.
 
     Lineage cuts, landed traces, streaming checkpoints and intermediate tables go
-    below it, so they survive the loss of an executor.  Only when the session names
-    no folder (local tests) a scratch folder is registered as the checkpoint folder.
+    below it, so they survive the loss of an executor.  Only a local session that names
+    no folder (tests) gets a scratch folder; a cluster must name one that all share.
     """
     sc = spark.sparkContext
     configured = spark.conf.get("spark.checkpoint.dir", None) or sc.getCheckpointDir()
     if not configured:
+        if not sc.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         configured = tempfile.mkdtemp(prefix="heatwise-ckpt-")
     if sc.getCheckpointDir() is None:
         sc.setCheckpointDir(configured)
@@ -64,6 +66,16 @@ def shared_dir(spark: SparkSession) -> str:
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh, unique path below the shared folder."""
     base = shared_dir(spark)
-    if "://" not in base:
-        os.makedirs(base, exist_ok=True)
+    folder = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(base)
+    folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).mkdirs(folder)
     return f"{base.rstrip('/')}/heatwise/{name}-{uuid.uuid4().hex[:12]}"
+
+
+def release(spark: SparkSession) -> None:
+    """Remove everything that this library has written below the shared folder.
+
+    For the end of a job: landed tables and stream folders of all its queries go, so no
+    frame that reads them may be used any more.
+    """
+    folder = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{shared_dir(spark).rstrip('/')}/heatwise")
+    folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(folder, True)

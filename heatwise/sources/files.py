@@ -8,18 +8,31 @@ from pyspark.sql import types as T
 
 from heatwise.functions import text as X
 from heatwise.operators.clean import rename_legacy
-from heatwise.schema import TASKS
+from heatwise.schema import RAW_NAME, TASKS
+
+
+def _by_name(strings: DataFrame, schema: T.StructType) -> DataFrame:
+    """The columns of ``schema`` taken by header name; absent or unreadable values are null."""
+    have = set(strings.columns)
+    return strings.select(*[
+        (F.trim(strings[f.name]) if f.dataType != T.StringType() else strings[f.name]).try_cast(f.dataType).alias(f.name)
+        if f.name in have else F.lit(None).cast(f.dataType).alias(f.name) for f in schema.fields])
 
 
 def read_tasks_csv(spark: SparkSession, path: str, schema: T.StructType | None = TASKS,
                    infer: bool = False) -> DataFrame:
-    """Header CSV with an explicit schema (inference costs an extra pass; opt-in)."""
-    reader = spark.read.option("header", True)
-    if schema is not None and not infer:
-        reader = reader.schema(schema)
-    else:
-        reader = reader.option("inferSchema", True)
-    return rename_legacy(reader.csv(path))
+    """Header CSV with an explicit schema, bound by header name.
+
+    The order of the file's columns does not matter, further columns are left out, and
+    a column that the file lacks is null.  Inference costs an extra pass; opt-in.
+    """
+    if schema is None or infer:
+        return rename_legacy(spark.read.option("header", True).option("inferSchema", True).csv(path))
+    strings = rename_legacy(read_strings_csv(spark, path))
+    for name, header in RAW_NAME.items():
+        if header in strings.columns and name not in strings.columns:
+            strings = strings.withColumnRenamed(header, name)
+    return _by_name(strings, schema)
 
 
 def read_strings_csv(spark: SparkSession, path: str) -> DataFrame:
@@ -45,7 +58,7 @@ def read_report_csv(spark: SparkSession, path: str, schema: T.StructType) -> Dat
         import warnings
         warnings.warn(f"report not found: {path}")
         return spark.createDataFrame([], schema)
-    return spark.read.option("header", True).schema(schema).csv(path)
+    return _by_name(read_strings_csv(spark, path), schema)
 
 
 ENTRY_SCHEMA = T.StructType([

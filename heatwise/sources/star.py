@@ -27,9 +27,12 @@ def _days_since(c: str) -> Column:
     return F.datediff(F.col(c), F.lit(EPOCH_DAY).cast("date")).cast("bigint")
 
 
-def tasks_from_star(spark: SparkSession, sf_dir: str) -> DataFrame:
+def tasks_from_star(spark: SparkSession, sf_dir: str, spread: bool = False) -> DataFrame:
     """lineitem ⋈ orders ⋈ customer projected to the 27 task columns.
 
+    With ``spread`` lineitem is dealt out by its order key first, which a sort-merge
+    join on that key uses as it is.
+
     The joins are plain equi-joins: Spark sizes each side from file statistics and
     at run time (AQE) and broadcasts only a side under the broadcast threshold,
     otherwise shuffles both on the key; skewed customer or order keys are split
@@ -41,6 +44,8 @@ def tasks_from_star(spark: SparkSession, sf_dir: str) -> DataFrame:
     od = read_table(spark, sf_dir, "orders").select(
         "o_orderkey", "o_custkey", "o_orderstatus", "o_orderdate", "o_orderpriority")
     cu = read_table(spark, sf_dir, "customer").select("c_custkey", "c_nationkey", "c_mktsegment")
+    if spread:
+        li = li.repartition("l_orderkey")
     j = li.join(od, li.l_orderkey == od.o_orderkey).join(cu, od.o_custkey == cu.c_custkey)
 
     pk, sk, qty, disc, tax = (F.col("l_partkey"), F.col("l_suppkey"), F.col("l_quantity"),
@@ -142,16 +147,18 @@ def dirty_of(t: DataFrame) -> DataFrame:
 # ---- landing: derived traces written once, read by every report -------------------
 
 _BUILDERS = {
-    "tasks": tasks_from_star,
-    "strings": lambda spark, sf_dir: strings_of(land(spark, sf_dir, "tasks")),
-    "dirty": lambda spark, sf_dir: dirty_of(land(spark, sf_dir, "tasks")),
-    "linear": lambda spark, sf_dir: _linear(land(spark, sf_dir, "tasks")),
+    "tasks": lambda spark, sf_dir, stamp: tasks_from_star(spark, sf_dir, spread=True),
+    "strings": lambda spark, sf_dir, stamp: strings_of(_land(spark, sf_dir, "tasks", stamp)),
+    "dirty": lambda spark, sf_dir, stamp: dirty_of(_land(spark, sf_dir, "tasks", stamp)),
+    "linear": lambda spark, sf_dir, stamp: _linear(_land(spark, sf_dir, "tasks", stamp)),
 }
 
 
 def _linear(t: DataFrame) -> DataFrame:
     from heatwise.operators.clean import linear_tasks
     return linear_tasks(t)
+
+
 _LANDED: dict[tuple, str] = {}
 
 
@@ -163,7 +170,11 @@ def _input_stamp(spark: SparkSession, sf_dir: str) -> tuple:
     for name in ("lineitem", "orders", "customer"):
         p = jvm.org.apache.hadoop.fs.Path(f"{sf_dir.rstrip('/')}/{name}.parquet")
         fs = p.getFileSystem(conf)
-        stamp.append(fs.getFileStatus(p).getModificationTime() if fs.exists(p) else -1)
+        if fs.exists(p):  # the folder's time, and what is in it: a part rewritten in place changes the length
+            inside = fs.getContentSummary(p)
+            stamp.append((fs.getFileStatus(p).getModificationTime(), inside.getLength(), inside.getFileCount()))
+        else:
+            stamp.append(None)
     return tuple(stamp)
 
 
@@ -180,22 +191,18 @@ def land(spark: SparkSession, sf_dir: str, kind: str = "tasks") -> DataFrame:
     reading only its own columns.  The write is an ordinary Spark job, so a lost
     executor only re-runs its tasks, and the table cuts the lineage of the join.
     """
+    return _land(spark, sf_dir, kind, _input_stamp(spark, sf_dir))
+
+
+def _land(spark: SparkSession, sf_dir: str, kind: str, stamp: tuple) -> DataFrame:
+    """``land`` with the inputs' stamp, which is read once for a table and what it is made of."""
     from heatwise.session import scratch_path
     from heatwise.sources.files import _exists
 
-    key = (spark.sparkContext.applicationId, sf_dir.rstrip("/"), kind, _input_stamp(spark, sf_dir))
+    key = (spark.sparkContext.applicationId, sf_dir.rstrip("/"), kind, stamp)
     path = _LANDED.get(key)
     if path is None or not _exists(spark, path):
-        df = _BUILDERS[kind](spark, sf_dir)
-        # Parallelism of the write follows the driving scan (lineitem, or the landed
-        # task table).  A plain file scan reports its splits without running
-        # anything; the final plan would first execute its broadcast stages.
-        driver = (read_table(spark, sf_dir, "lineitem") if kind == "tasks"
-                  else spark.read.parquet(_LANDED[key[:2] + ("tasks",) + key[3:]]))
-        par = spark.sparkContext.defaultParallelism
-        if driver.rdd.getNumPartitions() < par:
-            df = df.repartition(par)
         path = scratch_path(spark, f"landed-{kind}")
-        df.write.parquet(path)
+        _BUILDERS[kind](spark, sf_dir, stamp).write.parquet(path)
         _LANDED[key] = path
     return spark.read.parquet(path)

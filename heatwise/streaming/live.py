@@ -15,6 +15,8 @@ where it stopped.
 
 from __future__ import annotations
 
+import warnings
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
@@ -26,10 +28,20 @@ def _epoch():
     return F.lit("1970-01-01 00:00:00").cast("timestamp_ntz")
 
 
+def _is_folder(spark: SparkSession, path: str) -> bool:
+    if "*" in path:
+        return False
+    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    fs = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    return fs.exists(p) and fs.getFileStatus(p).isDirectory()
+
+
 def event_stream(spark: SparkSession, source_dir: str, glob: str = "events*.parquet",
                  files_per_trigger: int | None = None) -> DataFrame:
     """Parquet files of ``events`` arriving in ``source_dir`` as a stream.
 
+    ``glob`` names the files, or the table's folder, whose part files are then streamed.
+
     By default a micro-batch takes every new file; ``files_per_trigger`` caps it
     (tests use 1 to force many batches).
 
@@ -37,6 +49,8 @@ def event_stream(spark: SparkSession, source_dir: str, glob: str = "events*.parq
     files) becomes a TIMESTAMP via epoch microseconds, independent of the session
     time zone, so it can carry a watermark.
     """
+    if _is_folder(spark, f"{source_dir.rstrip('/')}/{glob}"):
+        source_dir, glob = f"{source_dir.rstrip('/')}/{glob}", "*.parquet"  # a table of part files
     schema = spark.read.option("pathGlobFilter", glob).parquet(source_dir).schema
     reader = spark.readStream.schema(schema).option("pathGlobFilter", glob)
     if files_per_trigger:
@@ -64,9 +78,13 @@ def heat_windows_of(events: DataFrame, window: str = "1 day", watermark: str | N
 
 def start_live_rollup(events: DataFrame, sink: str, checkpoint: str,
                       trigger: dict | None = None) -> StreamingQuery:
-    """L1 as a running query; ``trigger`` defaults to every 30 seconds."""
-    def write(batch: DataFrame, _epoch: int) -> None:
-        batch.write.mode("overwrite").parquet(sink)
+    """L1 as a running query; ``trigger`` defaults to every 30 seconds.
+
+    Each batch is a version of its own, one small file that appears at once; readers
+    take the last (``latest_rollup``).
+    """
+    def write(batch: DataFrame, epoch: int) -> None:
+        batch.coalesce(1).write.mode("overwrite").parquet(f"{sink}/batch={epoch}")
 
     return (rollup_of(events).writeStream.outputMode("complete").foreachBatch(write)
             .option("checkpointLocation", checkpoint)
@@ -84,6 +102,18 @@ def start_heat_windows(events: DataFrame, sink: str, checkpoint: str, window: st
             .trigger(**(trigger or {"processingTime": "30 seconds"})).start())
 
 
+def latest_rollup(spark: SparkSession, sink: str) -> DataFrame:
+    """The rows of the last complete version."""
+    rows = spark.read.parquet(sink)
+    last = rows.agg(F.max("batch").alias("batch"))
+    return rows.join(F.broadcast(last), "batch", "left_semi").drop("batch")
+
+
+def late_rows(query: StreamingQuery) -> int:
+    """Rows that came after the watermark had passed them and are in no result."""
+    return sum(op.get("numRowsDroppedByWatermark", 0) for p in query.recentProgress for op in p["stateOperators"])
+
+
 def latest_windows(spark: SparkSession, sink: str) -> DataFrame:
     """The current value of every window: the row of its highest batch id."""
     rows = spark.read.parquet(sink)
@@ -106,15 +136,20 @@ def stream_rollup(spark: SparkSession, source_dir: str, glob: str = "events*.par
     q = start_live_rollup(event_stream(spark, source_dir, glob, files_per_trigger), sink,
                           scratch_path(spark, "live-rollup-ckpt"), {"availableNow": True})
     run_until_caught_up(q)
-    return spark.read.parquet(sink)
+    return latest_rollup(spark, sink)
 
 
 def stream_heat_windows(spark: SparkSession, source_dir: str, glob: str = "events*.parquet",
                         window: str = "1 day", watermark: str = "1 hour",
                         files_per_trigger: int | None = None) -> DataFrame:
-    """L2 over everything present now, latest emission per window."""
+    """L2 over everything present now, latest emission per window.
+
+    ``watermark`` is how late a sample may come; later ones are counted and warned of.
+    """
     sink = scratch_path(spark, "heat-windows")
     q = start_heat_windows(event_stream(spark, source_dir, glob, files_per_trigger), sink,
                            scratch_path(spark, "heat-windows-ckpt"), window, watermark, {"availableNow": True})
     run_until_caught_up(q)
+    if late := late_rows(q):
+        warnings.warn(f"{late} samples came more than {watermark} late and are left out")
     return latest_windows(spark, sink)

@@ -83,7 +83,27 @@ def test_predict_class_labels_indexed(spark, sf_dir):
     assert p.filter(F.col("prediction") < 0).count() == 0
 
 
-def test_tree_memory_budget(spark):
-    from heatwise.operators.ml import _mb, tree_memory_mb
-    assert (_mb("1g"), _mb("512m"), _mb("2048M"), _mb("1gb"), _mb(str(64 * 1024 * 1024))) == (1024, 512, 2048, 1024, 64)
-    assert 16 <= tree_memory_mb(spark) <= 256
+def test_trees_do_not_depend_on_the_session():
+    for make in (*M.REGRESSORS.values(), *M.CLASSIFIERS.values()):
+        model = make("y")
+        if model.hasParam("maxMemoryInMB"):
+            assert model.getMaxMemoryInMB() == M.TREE_MEMORY_MB
+
+
+def test_a_label_of_the_test_side_only_is_kept(spark, lin):
+    rare = lin.withColumn("priority", F.when(~M.split_flag("sl_no") & (F.col("sl_no") % 7 == 0), 99).otherwise(F.col("priority")))
+    p = M.predict_label(rare, "priority")
+    want = rare.where(~M.split_flag("sl_no"))
+    assert p.count() == want.count() and p.where("priority = 99").count() == want.where("priority = 99").count() > 0
+
+
+def test_null_metric_is_never_best(spark):
+    rows = [("t", "a", "rmse", 1.0), ("t", "b", "rmse", None), ("t", "c", "r2", float("nan")), ("t", "a", "r2", 0.5)]
+    best = M.best_models(spark.createDataFrame(rows, "task string, model string, metric string, value double"))
+    assert {(r.metric, r.model) for r in best.collect()} == {("rmse", "a"), ("r2", "a")}
+
+
+def test_class_metrics_read_their_input_once(spark):
+    pred = spark.range(10).selectExpr("CAST(id % 3 AS double) AS l", "CAST(id % 2 AS double) AS prediction")
+    plan = M.classification_metrics(pred, "l")._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("Range (") == 1

@@ -68,3 +68,19 @@ def test_heat_log_csv_round_trip(spark, sf_dir, tmp_path):
     K.write_heat_log(m, str(tmp_path / "heat"))
     back = spark.read.option("header", True).schema(m.schema).csv(str(tmp_path / "heat"))
     assert back.exceptAll(m).count() == 0 and m.exceptAll(back).count() == 0
+
+
+def test_typed_csv_is_bound_by_name(spark, scratch):
+    import os
+
+    from heatwise.schema import TASKS
+    from heatwise.sources.files import read_tasks_csv
+
+    os.makedirs(f"{scratch}/named")
+    with open(f"{scratch}/named/a.csv", "w") as f:
+        f.write("user,assigned_memory,average_usage_cpu,SL.No\nx,0.9,0.04,7\ny,bad,,8\n")
+    df = read_tasks_csv(spark, f"{scratch}/named")
+    assert df.columns == TASKS.fieldNames()
+    rows = {r.sl_no: r for r in df.collect()}
+    assert (rows[7].average_usage_cpu, rows[7].assigned_memory, rows[7].machine_id) == (0.04, 0.9, None)
+    assert rows[8].assigned_memory is None and rows[8].average_usage_cpu is None

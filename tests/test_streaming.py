@@ -56,3 +56,10 @@ def test_late_row_is_dropped(spark, sf_dir, tmp_path):
     L.run_until_caught_up(q)
     after = L.latest_windows(spark, sink).toPandas()
     assert_same(after, before)
+
+
+def test_a_table_of_part_files_streams(spark, sf_dir, scratch):
+    spark.read.parquet(f"{sf_dir}/events.parquet").repartition(4).write.parquet(f"{scratch}/tables/events.parquet")
+    got = {r.event_type: r.events for r in L.stream_rollup(spark, f"{scratch}/tables", "events.parquet").collect()}
+    want = {r.event_type: r["count"] for r in spark.read.parquet(f"{sf_dir}/events.parquet").groupBy("event_type").count().collect()}
+    assert got == want
