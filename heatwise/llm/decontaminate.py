@@ -29,7 +29,7 @@ def item_sketches(items: DataFrame, threshold: float = 0.8, size: int = 5) -> Da
     n = F.size("sh")
     upper = F.pow(F.lit(2.0), F.ceil(F.log2(n)))
     minima = F.floor(F.round(upper * (1 - threshold), 9)).cast("int") + 1
-    return (with_shingle_hashes(items, "text", size).withColumn("sh", F.array_sort(F.array_distinct("sh"))).where(n > 0)
+    return (with_shingle_hashes(items, "text", size).withColumn("sh", F.array_sort(F.array_distinct("sh")))
             .select("item", F.explode(F.slice("sh", 1, minima)).alias("h")))
 
 

@@ -95,15 +95,19 @@ def scan_licenses(docs: DataFrame, license_texts: DataFrame | None = None, thres
     texts = templates(docs.sparkSession) if license_texts is None else license_texts.select(
         license_texts["license"].cast("string").alias("license"), license_texts["text"].cast("string").alias("text"))
     known = _with_shingles(texts.where("license IS NOT NULL").dropDuplicates(["license"]), "text", size)
-    known = known.withColumn("sh", F.array_distinct("sh")).where(F.size("sh") > 0)
+    known = known.withColumn("sh", F.array_distinct("sh"))
     upper = F.pow(F.lit(2.0), F.ceil(F.log2(F.size("sh")))).cast("int")
     known = land(known.select("license", F.size("sh").alias("n_shingles"), upper.alias("span"),
-                              F.explode("sh").alias("sh")).select("*", "sh.h", "sh.g").drop("sh"), "license-shingles")
+                              F.explode_outer("sh").alias("sh")).select("*", "sh.h", "sh.g").drop("sh")
+                 .where("h IS NOT NULL"), "license-shingles")
     spans = [r[0] for r in known.select("span").distinct().orderBy("span").collect()]  # at most one per power of two
     small = broadcast_checked(known)
 
     rows = _with_shingles(keyed_documents(docs, id_col, text_col), "text", size)
-    places = rows.select("doc_id", "th", F.posexplode("sh").alias("pos", "sh")).select("doc_id", "th", "pos", "sh.h", "sh.g")
+    # the outer form: the plain one adds a filter on the array's size, which would be pushed below the
+    # projections and there work out all shingles once per shingle; the join leaves empty arrays out
+    places = rows.select("doc_id", "th", F.posexplode_outer("sh").alias("pos", "sh")).select(
+        "doc_id", "th", "pos", "sh.h", "sh.g")
     hits = land(places.join(broadcast_checked(known.select("h", "g").distinct()), ["h", "g"], "left_semi"), "license-hits")
 
     # every hit stands in two windows of each class
