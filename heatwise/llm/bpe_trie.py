@@ -25,6 +25,7 @@ import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame
 
+from heatwise.llm.common import text_slices
 from heatwise.llm.token_count import SPACES, _Vocabulary, byte_letters
 
 # Fixed value: the pattern whose matches are the words.
@@ -248,8 +249,7 @@ def encode_documents(docs: DataFrame, vocabulary_path: str, keep_ids: bool = Tru
                                     or r"(?!)") + ")")
         own = {s: (np.array([i], dtype="<u4").tobytes(), s) for s, i in encoder.specials.items()}
         for batch in batches:
-            for at in range(0, batch.num_rows, 512):
-                part = batch.slice(at, 512)
+            for part in text_slices(batch, 1):
                 cut = []
                 for text in part.column(1).to_pylist():
                     text = text or ""

@@ -2,6 +2,11 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -63,3 +68,14 @@ def keyed_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     """(doc_id, th, text): the id, a hash of the text that tells rows of one id apart, and the text, null as empty."""
     text = F.coalesce(docs[text_col].cast("string"), F.lit(""))
     return docs.select(docs[id_col].cast("long").alias("doc_id"), F.xxhash64(text).alias("th"), text.alias("text"))
+
+
+def text_slices(batch: pa.RecordBatch, column: int, rows: int = 2048, size: int = 8 << 20) -> Iterator[pa.RecordBatch]:
+    """Parts of a batch with at most ``rows`` rows and about ``size`` bytes of text, one row at least."""
+    ends = np.cumsum(pc.fill_null(pc.binary_length(batch.column(column)), 0).to_numpy(zero_copy_only=False))
+    at = 0
+    while at < batch.num_rows:
+        before = int(ends[at - 1]) if at else 0
+        end = max(at + 1, min(at + rows, int(np.searchsorted(ends, before + size, side="right"))))
+        yield batch.slice(at, end - at)
+        at = end

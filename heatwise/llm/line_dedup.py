@@ -180,11 +180,10 @@ def unpack(arrays: bytes, n: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, n
 def dropped_lines(docs: DataFrame, arrays: DataFrame, shards: int, min_chars: int, salts: int) -> DataFrame:
     """(row, line) of every line to drop: documents probe the arrays of their lines' shards.
 
-    Probes and arrays meet in partition ``shard * salts + salt``, arrays first (their
-    line number is -1), and are read as a stream: a task holds one shard and one batch.
+    Probes and arrays meet under the key ``shard * salts + salt``, arrays first (their
+    line number is -1), and are read as a stream: a task goes through its keys one after
+    the other and holds one shard and one batch.
     """
-    parts = shards * salts
-
     def probes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             all_rows, all_ids = batch.column(1).to_numpy(), batch.column(0).fill_null(NO_DOC).to_numpy()
@@ -226,7 +225,7 @@ def dropped_lines(docs: DataFrame, arrays: DataFrame, shards: int, min_chars: in
                     yield pa.RecordBatch.from_arrays([pa.array(row[a:b][hit]), pa.array(line[a:b][hit])],
                                                      names=["row", "line"])
 
-    return (asked.unionByName(held).repartition(parts, "part").sortWithinPartitions("part", "line")
+    return (asked.unionByName(held).repartition("part").sortWithinPartitions("part", "line")
             .mapInArrow(answer, "row long, line int"))
 
 

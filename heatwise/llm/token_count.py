@@ -20,6 +20,8 @@ import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame
 
+from heatwise.llm.common import text_slices
+
 # White space as the vocabularies' pattern engine has it, and the
 # pattern that cuts text into pre-tokens before merging.
 SPACES = "\t-\r \x85\xa0  -     　"
@@ -183,8 +185,7 @@ def count_tokens(docs: DataFrame, vocabulary_path: str, limit: int = 512,
         special = re.compile("|".join(map(re.escape, sorted(ranks.specials, key=len, reverse=True))) or r"(?!)")
         known: dict[str, int] = {}
         for batch in batches:
-            for at in range(0, batch.num_rows, 1024):
-                part = batch.slice(at, 1024)
+            for part in text_slices(batch, 1):
                 ids, n_bytes, n_tokens = part.column(0), [], []
                 cut = []
                 for text in part.column(1).to_pylist():
