@@ -26,7 +26,7 @@ from dataclasses import dataclass
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -281,8 +281,8 @@ def _nearest(keys: DataFrame) -> DataFrame:
                  .select("*", F.shiftright("at", 33).alias("part"), F.col("at").bitwiseAND((1 << 33) - 1).alias("place")),
                  "page-order")
     sizes = order.groupBy("part").agg(F.count(F.lit(1)).alias("n"))  # one row per partition
-    before = sizes.alias("x").join(F.broadcast(sizes.alias("y")), F.col("y.part") < F.col("x.part"), "left").groupBy(
-        F.col("x.part").alias("part")).agg(F.coalesce(F.sum("y.n"), F.lit(0)).alias("offset"))
+    before = sizes.select("part", F.coalesce(F.sum("n").over(
+        Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("offset"))
     placed = order.join(F.broadcast(before), "part").select("host", "path", "page", (F.col("offset") + F.col("place")).alias("rank"))
     after = placed.select(F.col("host").alias("h"), F.col("path").alias("q"), F.col("page").alias("other"),
                           (F.col("rank") - 1).alias("rank"))
