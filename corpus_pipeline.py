@@ -39,10 +39,10 @@ def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The documents that hold no test item."""
+    """The documents that hold no test item; rows that share an id, or have none, are judged each."""
     from heatwise.llm.decontaminate import drop_leaky
 
-    return drop_leaky(docs, table(spark, sf_dir, "benchmark"), threshold=0.8, size=5)
+    return drop_leaky(docs, table(spark, sf_dir, "benchmark"), threshold=0.8, size=5, per_row=True)
 
 
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

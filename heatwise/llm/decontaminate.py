@@ -33,17 +33,8 @@ def item_sketches(items: DataFrame, threshold: float = 0.8, size: int = 5) -> Da
             .select("item", F.explode(F.slice("sh", 1, minima)).alias("h")))
 
 
-def find_leaks(docs: DataFrame, items: DataFrame, threshold: float = 0.8, size: int = 5,
-               id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(doc_id, item_id, n_shingles, n_shared, containment) of every leak.
-
-    ``items`` has item_id and text.  Words are lower-case runs of letters and digits; an
-    item of fewer than ``size`` words is one shingle of all its words, and is found only
-    in a document of the same words.  Null, empty or wordless texts leak nothing and
-    hold nothing.  Rows that repeat an id are told apart by their text, and a pair of
-    ids comes out once, with its largest containment; null ids come out as null; other
-    columns are left out.
-    """
+def _leaks(docs: DataFrame, items: DataFrame, threshold: float, size: int, id_col: str, text_col: str) -> DataFrame:
+    """(doc_id, th, item_id, n_shingles, n_shared) of every leak; rows that repeat an id are told apart by their text's hash."""
     text = F.coalesce(items["text"].cast("string"), F.lit(""))
     items = items.select(items["item_id"].cast("long").alias("item_id"), text.alias("text")).distinct()
     items = land(items.withColumn("item", F.xxhash64("item_id", "text")), "test-items")
@@ -69,18 +60,41 @@ def find_leaks(docs: DataFrame, items: DataFrame, threshold: float = 0.8, size:
               .groupBy("doc_id", "th", "item", "item_id", "n_shingles").agg(F.count_distinct("run").alias("n_shared"))
               .where(F.col("n_shared") >= F.ceil(F.round(F.col("n_shingles") * threshold, 9))))
     pairs = met.withColumnsRenamed({"doc_id": "d", "th": "t", "item": "i"})
-    found = shared.join(pairs, F.col("doc_id").eqNullSafe(F.col("d")) & (F.col("th") == F.col("t"))
-                        & (F.col("item") == F.col("i")), "left_semi")
+    return shared.join(pairs, F.col("doc_id").eqNullSafe(F.col("d")) & (F.col("th") == F.col("t"))
+                       & (F.col("item") == F.col("i")), "left_semi")
+
+
+def find_leaks(docs: DataFrame, items: DataFrame, threshold: float = 0.8, size: int = 5,
+               id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """(doc_id, item_id, n_shingles, n_shared, containment) of every leak.
+
+    ``items`` has item_id and text.  Words are lower-case runs of letters and digits; an
+    item of fewer than ``size`` words is one shingle of all its words, and is found only
+    in a document of the same words.  Null, empty or wordless texts leak nothing and
+    hold nothing.  Rows that repeat an id are told apart by their text, and a pair of
+    ids comes out once, with its largest containment; null ids come out as null; other
+    columns are left out.
+    """
     best = F.max(F.struct((F.col("n_shared") / F.col("n_shingles")).alias("containment"),
                           F.col("n_shared").cast("long").alias("n_shared"),
                           F.col("n_shingles").cast("long").alias("n_shingles"))).alias("best")
+    found = _leaks(docs, items, threshold, size, id_col, text_col)
     return found.groupBy("doc_id", "item_id").agg(best).select(
         "doc_id", "item_id", "best.n_shingles", "best.n_shared", "best.containment")
 
 
 def drop_leaky(docs: DataFrame, items: DataFrame, threshold: float = 0.8, size: int = 5,
-               id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """The rows of ``docs`` whose id has no leak, all columns as they are."""
-    leaky = land(find_leaks(docs, items, threshold, size, id_col, text_col)
-                 .select(F.col("doc_id").alias("_leaky")).distinct(), "leaky-documents")
-    return docs.join(broadcast_checked(leaky), docs[id_col].cast("long").eqNullSafe(F.col("_leaky")), "left_anti")
+               id_col: str = "doc_id", text_col: str = "text", per_row: bool = False) -> DataFrame:
+    """The rows of ``docs`` whose id has no leak, all columns as they are.
+
+    With ``per_row`` the rows that leak nothing themselves: a clean row stays beside a
+    leaking one of the same id, and null ids, which name no document, don't fall together.
+    """
+    found = _leaks(docs, items, threshold, size, id_col, text_col)
+    same_id = docs[id_col].cast("long").eqNullSafe(F.col("_leaky"))
+    if per_row:
+        leaky = land(found.select(F.col("doc_id").alias("_leaky"), F.col("th").alias("_leaky_text")).distinct(), "leaky-rows")
+        th = F.xxhash64(F.coalesce(docs[text_col].cast("string"), F.lit("")))
+        return docs.join(broadcast_checked(leaky), same_id & (th == F.col("_leaky_text")), "left_anti")
+    leaky = land(found.select(F.col("doc_id").alias("_leaky")).distinct(), "leaky-documents")
+    return docs.join(broadcast_checked(leaky), same_id, "left_anti")

@@ -55,6 +55,16 @@ def test_leaks_are_brute_force(spark):
     assert sorted(repr(r.doc_id) for r in kept) == sorted(repr(i) for i, _ in docs if i not in leaky)
 
 
+def test_clean_rows_stay_beside_leaking_rows_of_their_id(spark, tmp_path):
+    import corpus_pipeline
+
+    item, clean = "one two three four five six seven", "nothing of the test stands in this text"
+    rows = [(None, clean, 1), (None, f"x {item} y", 2), (None, None, 3), (5, clean, 4), (5, item, 5), (5, item, 6), (6, clean, 7)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, n int")
+    spark.createDataFrame([(1, item)], "item_id long, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
+    assert sorted(r.n for r in corpus_pipeline.leaks(spark, df, str(tmp_path)).collect()) == [1, 3, 4, 7]
+
+
 def test_leaks_of_empty_tables(spark):
     docs = spark.createDataFrame([(1, "a b c d e f")], "doc_id long, text string")
     none = spark.createDataFrame([], "item_id long, text string")
