@@ -4,7 +4,9 @@ Pattern matches (assignments, access keys, hex runs) are the base findings.  On
 them every base64 or hex run is decoded and its structure parsed: DER key encodings
 with nested lengths that must tile exactly, OpenSSH private key containers with their
 counted fields, and signed tokens whose header and claims are JSON objects.  Only a
-run whose structure holds is reported as a key or a token.
+run whose structure holds is reported as a key or a token.  Lines of a key are joined
+before, also where their ends are escaped; a key under an RFC 1421 encryption header has
+no structure that shows, so its header and its length in cipher blocks are checked.
 
 Map-only: a row needs nothing but its own text.
 """
@@ -31,9 +33,16 @@ BASE_KINDS = ("assign", "access", "hex")
 ADDED_KINDS = ("pem_key", "der_key", "ssh_key", "jwt")
 _RANK = {k: i for i, k in enumerate(BASE_KINDS + ADDED_KINDS)}
 
-_PEM = re.compile(r"-----BEGIN ((?:[A-Z0-9]+ )*PRIVATE KEY)-----([^-]*)-----END \1-----")
+_PEM = re.compile(r"-----BEGIN ((?:[A-Z0-9]+ )*PRIVATE KEY)-----((?:[^-]|-(?!----))*+)-----END \1-----")
+_DEK = re.compile(r"DEK-Info:\s*[A-Z0-9-]+,\s*([0-9A-Fa-f]+)")
 _JWT = re.compile(r"(?<![A-Za-z0-9_-])(eyJ[A-Za-z0-9_-]+)\.(eyJ[A-Za-z0-9_-]+)\.([A-Za-z0-9_-]*)")
 _RUN = re.compile(r"[A-Za-z0-9+/_-]{40,}={0,2}")
+# runs over line ends, which may be escaped as in JSON; the letter of an escape isn't part of the run
+_LINE_END = r"[\x20\t]*+(?:(?:\\++[rn]|[\r\n])[\x20\t]*+)++"
+_BLOCK = re.compile(r"(?:(?<=\\[nr])|(?<![A-Za-z0-9+/_-])(?!(?<=\\)[nr]))[A-Za-z0-9+/_-]{40,}+"
+                    rf"(?:{_LINE_END}[A-Za-z0-9+/_-]++)*+={{0,2}}")
+_BLOCK_LINE = re.compile(rf"{_LINE_END}|([A-Za-z0-9+/_-]++)")
+_SSH_HEAD = base64.b64encode(b"openssh-key-v1\x00").decode()
 _HEX_RUN = re.compile(r"(?:[0-9A-Fa-f]{2}){24,}")
 
 SCHEMA = "doc_id long, n_assign long, n_access long, n_hex long, base_sha256 string, spans string"
@@ -125,6 +134,63 @@ def key_kind(data: bytes | None) -> str | None:
     return "der_key" if is_der_private_key(data) else None
 
 
+def is_pem_key(body: str) -> bool:
+    """Whether the text between the BEGIN and END lines is a key, or an encrypted one by its header and length.
+
+    Line ends may be escaped; RFC 1421 headers are left out.
+    """
+    lines = re.split(r"(?:\\+[rn]|[\r\n])+", body.replace("\\/", "/"))
+    first = max((i + 1 for i, x in enumerate(lines) if ":" in x), default=0)
+    data = from_base64("".join("".join(lines[first:]).split()))
+    if any(x.split() == ["Proc-Type:", "4,ENCRYPTED"] for x in lines[:first]):
+        vector = next((m[1] for x in lines[:first] if (m := _DEK.match(x.strip()))), "")
+        block = len(vector) // 2  # the vector is one block of the cipher
+        return block in (8, 16) and bool(data) and len(data) >= 32 and len(data) % block == 0
+    return key_kind(data) is not None
+
+
+def claimed_size(head: str) -> int | None:
+    """Bytes of the DER element or OpenSSH container that begins ``head`` (base64), by its own lengths."""
+    if head.startswith("M"):  # SEQUENCE
+        data = from_base64(head[:8]) or b""
+        if len(data) < 6:
+            return None
+        n = data[1] & 0x7F if data[1] & 0x80 else 0
+        return 2 + n + int.from_bytes(data[2:2 + n], "big") if 1 <= n <= 4 else 2 + data[1] if not n else None
+    if head.startswith(_SSH_HEAD):
+        data, at = from_base64(head[:len(head) // 4 * 4]) or b"", 15
+        for i in range(6):
+            if at + 4 > len(data) + 2:
+                return None
+            at += 4 + (int.from_bytes(data[at:at + 4], "big") if i != 3 else 0)
+        return at
+    return None
+
+
+def wrapped_keys(text: str) -> list[tuple[int, int, str]]:
+    """Keys in base64 lines without BEGIN and END: from a line's start, as long as they say, to a line's end."""
+    found = []
+    for m in _BLOCK.finditer(text):
+        lines = [x.span() for x in _BLOCK_LINE.finditer(text, m.start(), m.end()) if x[1]]
+        run = "".join(text[a:b] for a, b in lines)
+        at, starts, ends = 0, [], {}
+        for a, b in lines:
+            starts.append((at, a))
+            at += b - a
+            ends[at] = b
+        ends[at] = m.end()  # with its padding
+        done = 0
+        for at, start in starts:
+            if at < done or run[at] != "M" and not run.startswith(_SSH_HEAD, at):
+                continue
+            size = claimed_size(run[at:at + 8] if run[at] == "M" else run[at:])
+            end = at + -(-size * 4 // 3) if size else 0
+            if end in ends and (kind := key_kind(from_base64(run[at:end]))):
+                found.append((start, ends[end], kind))
+                done = end
+    return found
+
+
 def is_signed_token(header: str, claims: str) -> bool:
     """Header names its algorithm and both parts are JSON objects."""
     parts = []
@@ -147,7 +213,7 @@ def base_spans(text: str) -> list[tuple[int, int, str]]:
 def confirmed_spans(text: str) -> list[tuple[int, int, str]]:
     """Runs whose decoded structure is a key or a signed token."""
     found = [(m.start(), m.end(), "pem_key") for m in _PEM.finditer(text)
-             if key_kind(from_base64("".join(m[2].split())))]
+             if is_pem_key(m[2])]
     inside = [(a, b) for a, b, _ in found]
     for m in _JWT.finditer(text):
         if is_signed_token(m[1], m[2]):
@@ -156,6 +222,7 @@ def confirmed_spans(text: str) -> list[tuple[int, int, str]]:
         kind = key_kind(from_base64(m[0]))
         if kind and not any(a <= m.start() < b for a, b in inside):
             found.append((m.start(), m.end(), kind))
+    found += [(a, b, kind) for a, b, kind in wrapped_keys(text) if not any(x <= a < y for x, y in inside)]
     for m in _HEX_RUN.finditer(text):
         kind = key_kind(bytes.fromhex(m[0]))
         if kind:

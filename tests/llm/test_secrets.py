@@ -63,6 +63,27 @@ def test_broken_structures_are_not():
     assert kinds(b64(SSH[:-3])) == []
 
 
+def wrapped(b, width=64, end="\n"):
+    return end.join(re.findall(f".{{1,{width}}}", b64(b)))
+
+
+def test_keys_in_several_lines():
+    escaped = wrapped(PKCS8, end="\\n")
+    doc = f'{{"private_key": "-----BEGIN PRIVATE KEY-----\\n{escaped}\\n-----END PRIVATE KEY-----\\n"}}'
+    assert S.confirmed_spans(doc) == [(doc.index("-----B"), doc.index('\\n"}'), "pem_key")]
+    head = "Proc-Type: 4,ENCRYPTED\nDEK-Info: AES-128-CBC,00112233445566778899AABBCCDDEEFF\n\n"
+    pem = "-----BEGIN RSA PRIVATE KEY-----\n{}{}\n-----END RSA PRIVATE KEY-----"
+    assert kinds(pem.format(head, wrapped(bytes(range(64))))) == ["pem_key"]
+    assert kinds(pem.format(head, wrapped(bytes(range(65))))) == [] and kinds(pem.format("", wrapped(bytes(64)))) == []
+    for key, kind in ((RSA, "der_key"), (PKCS8, "der_key"), (SSH, "ssh_key")):
+        for width, end in ((64, "\n"), (76, "\r\n"), (64, "\\n"), (64, "\n    ")):
+            lines = wrapped(key, width, end)
+            for doc in (f"key:\n{lines}\nEnd of it", f'"{end}{lines}{end}"', f"{lines}\n{'x' * 50}"):
+                at = doc.index(lines)
+                assert S.confirmed_spans(doc) == [(at, at + len(lines), kind)], (kind, width, end)
+        assert kinds(wrapped(key[:-1])) == [] and kinds(f"{wrapped(RSA)}\n{wrapped(key)}") == ["der_key", kind]
+
+
 def brute(text):
     out = []
     for i, (kind, p, test) in enumerate([
