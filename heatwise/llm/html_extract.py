@@ -9,8 +9,9 @@ articles may share a paragraph.  So the lines carry what their markup says.  A l
 page landmark (menu, header, footer, sidebar, form, notice, advert, comments) is aligned
 by its landmark instead of its words, and goes whether a partner has it or not; a line in
 an article body is aligned by its words and stays.  All other lines stand or fall by the
-alignment.  A partner of which nearly all open text is shared is a copy and says nothing
-about the template; the other neighbour is asked then.
+alignment, also those outside the article of a page that marks one.  A partner of which
+nearly all text is shared is a copy and says nothing about the template; the other
+neighbour is asked then.
 
 Only hashes and lengths of lines are shuffled for pairing; the order over all hosts is a
 range-partitioned sort, so a host with a third of all pages is spread like any other.
@@ -34,6 +35,7 @@ from heatwise.llm.common import land
 
 COPY_SHARE = 0.8
 BODY, OPEN, CHROME = 2, 1, 0
+OUTSIDE = "outside"
 
 # Elements and names by which pages mark what isn't article text.
 _RAW = {"script", "style", "textarea", "title", "xmp", "iframe", "noembed", "noframes"}
@@ -72,6 +74,11 @@ class Line:
     scope: int
     mark: str  # landmark of a line that isn't text of the article
 
+    @property
+    def role(self) -> int:
+        """Scope for the alignment, which decides the lines outside a marked article."""
+        return OPEN if self.mark == OUTSIDE else self.scope
+
 
 def _named(value: str, names: set[str]) -> str | None:
     """The first class or id name that is one of ``names``, by itself or by its first or last part."""
@@ -191,10 +198,10 @@ def page_lines(source: str) -> list[Line]:
             heading_only = True
         stack.append((tag, scope, mark, heading_only))
     end_line()
-    if any(x.scope == BODY for x in lines):  # a page that marks its article has no open text
+    if any(x.scope == BODY for x in lines):  # by the markup alone they are no text of the article
         for x in lines:
             if x.scope == OPEN:
-                x.scope, x.mark = CHROME, "outside"
+                x.scope, x.mark = CHROME, OUTSIDE
     return lines
 
 
@@ -202,12 +209,12 @@ def line_keys(lines: list[Line]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np
     """(key, scope, length, number of first line); lines that follow each other in a landmark are one."""
     keys, scopes, sizes, first = [], [], [], []
     for i, x in enumerate(lines):
-        name = f"\x00{x.mark}" if x.scope == CHROME else x.text
-        if x.scope == CHROME and i and lines[i - 1].scope == CHROME and lines[i - 1].mark == x.mark:
+        name = f"\x00{x.mark}" if x.role == CHROME else x.text
+        if x.role == CHROME and i and lines[i - 1].role == CHROME and lines[i - 1].mark == x.mark:
             sizes[-1] += len(x.text)
             continue
         keys.append(xxhash.xxh64_intdigest(name))
-        scopes.append(x.scope)
+        scopes.append(x.role)
         sizes.append(len(x.text))
         first.append(i)
     return (np.array(keys, dtype=np.uint64), np.array(scopes, dtype=np.int64), np.array(sizes, dtype=np.int64),
@@ -259,9 +266,8 @@ def template_lines(own: tuple, partner: np.ndarray) -> tuple[np.ndarray, bool]:
     """(numbers of the open lines that the partner shares, whether the partner is a copy)."""
     keys, scopes, sizes, first = own
     shared = common_lines(keys, partner)
-    open_ = scopes == OPEN
-    total = sizes[open_].sum()
-    copy = bool(total and sizes[open_ & shared].sum() >= COPY_SHARE * total)
+    open_, text = scopes == OPEN, scopes != CHROME
+    copy = bool(open_.any() and sizes[text & shared].sum() >= COPY_SHARE * sizes[text].sum())
     return first[open_ & shared], copy
 
 
@@ -352,8 +358,8 @@ def extract_pages(pages: DataFrame) -> DataFrame:
             for h, drop in zip(batch.column(2).to_pylist(), batch.column(3).to_pylist()):
                 drop = set(drop or ())
                 lines = page_lines(h)
-                texts.append("\n\n".join(x.text for i, x in enumerate(lines) if x.scope != CHROME and i not in drop))
-                counts.append(sum(x.scope == CHROME for x in lines) + len(drop))
+                texts.append("\n\n".join(x.text for i, x in enumerate(lines) if x.role != CHROME and i not in drop))
+                counts.append(sum(x.role == CHROME for x in lines) + len(drop))
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), batch.column(1), pa.array(texts, pa.string()),
                  pa.array([len(t) for t in texts], pa.int64()), pa.array(counts, pa.int64())],

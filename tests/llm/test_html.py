@@ -70,6 +70,21 @@ def test_pages_without_landmarks_are_differenced(spark):
     assert H.extract_pages(df.limit(0)).count() == 0
 
 
+def test_lines_outside_a_marked_article_are_differenced(spark):
+    def page(k):
+        return (f"<div>Home | News</div><div>Headline {k}</div><article><p>Text of article {k}, and a line of all.</p><p>Read on</p>"
+                f"</article><div>Lead out of page {k}</div><div>All rights reserved</div><nav>menu {k}</nav>")
+
+    rows = [(k, f"https://a.example/{k}", page(k)) for k in range(3)]
+    rows += [(3, "https://b.example/", "<div>Long own text of a plain page.</div><main>In short.</main>")]
+    df = spark.createDataFrame(rows, "page_id long, url string, html string")
+    out = {r.page_id: r for r in H.extract_pages(df).collect()}
+    for k in range(3):
+        assert out[k].text.split("\n\n") == [f"Headline {k}", f"Text of article {k}, and a line of all.", "Read on", f"Lead out of page {k}"]
+        assert out[k].n_template == 3
+    assert out[3].text == "Long own text of a plain page.\n\nIn short."
+
+
 def test_nearest_is_by_path_over_partitions(spark):
     rows = [(i, "h" if i % 3 else "hot", f"/p/{i:03d}") for i in range(200)]
     df = spark.createDataFrame([(p, h, q) for p, h, q in rows], "page long, host string, path string").repartition(9)
