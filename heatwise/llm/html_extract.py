@@ -35,7 +35,10 @@ from heatwise.llm.common import land
 
 COPY_SHARE = 0.8
 BODY, OPEN, CHROME = 2, 1, 0
+# chrome by a name that may mislead: goes unless a partner lacks it, or only if a partner has it
+LIKELY, UNLIKELY = 3, 4
 OUTSIDE = "outside"
+_FORM = "form\x00"
 
 # Elements and names by which pages mark what isn't article text.
 _RAW = {"script", "style", "textarea", "title", "xmp", "iframe", "noembed", "noframes"}
@@ -54,12 +57,16 @@ _CHROME_NAMES = {"nav", "navbar", "navigation", "menu", "breadcrumb", "breadcrum
 _SIDE_ARTICLE = {"comment", "comments", "reply", "replies", "ad", "ads", "advert", "promo", "related", "sponsored"}
 _BODY_NAMES = {"content", "main-content", "article-body", "article-content", "post-content", "post-body",
                "entry-content", "story-body", "article", "maincontent", "article-text"}
+_HEADINGS = {"h1", "h2", "h3", "h4", "h5", "h6"}
 _BLOCKS = {"address", "article", "aside", "blockquote", "body", "center", "dd", "details", "dialog", "dir", "div", "dl",
            "dt", "fieldset", "figcaption", "figure", "footer", "form", "h1", "h2", "h3", "h4", "h5", "h6", "header",
            "hgroup", "hr", "html", "li", "main", "menu", "nav", "ol", "p", "pre", "section", "summary", "table", "tbody",
            "td", "tfoot", "th", "thead", "tr", "ul", "head", "caption"}
 _VOID = {"area", "base", "br", "col", "embed", "hr", "img", "input", "link", "meta", "param", "source", "track", "wbr"}
-_HEADINGS = {"h1", "h2", "h3", "h4", "h5", "h6"}
+# what a class or id name may mark as chrome; of others only the class counts, outside an article
+_CONTAINERS = _BLOCKS - _HEADINGS - {"p", "li", "dt", "dd", "pre", "hr", "tr", "td", "th", "thead", "tbody", "tfoot", "caption",
+                                     "summary", "figcaption", "address"}
+_DOUBT = {"?": LIKELY, "*": UNLIKELY}  # first letter of a landmark's name
 _NEGATED = ("no", "without", "with", "has", "non", "is")
 
 _TAG = re.compile(r"<!--|<[!?][^>]*>|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']++|\"[^\"]*\"|'[^']*')*+)>"
@@ -76,8 +83,10 @@ class Line:
 
     @property
     def role(self) -> int:
-        """Scope for the alignment, which decides the lines outside a marked article."""
-        return OPEN if self.mark == OUTSIDE else self.scope
+        """Scope for the alignment, which decides the lines outside a marked article and the doubtful landmarks."""
+        if self.scope == CHROME:
+            return OPEN if self.mark == OUTSIDE else _DOUBT.get(self.mark[:1], CHROME)
+        return self.scope
 
 
 def _named(value: str, names: set[str]) -> str | None:
@@ -92,7 +101,11 @@ def _named(value: str, names: set[str]) -> str | None:
 
 
 def _kind(tag: str, attributes: str, in_body: bool) -> tuple[int | None, str]:
-    """(scope that the element opens, landmark), None if it leaves the scope as it is."""
+    """(scope that the element opens, landmark), None if it leaves the scope as it is.
+
+    A name marks a block container.  In an article body only its class does, and in doubt;
+    outside, a name of which only a part is known is in doubt.
+    """
     found = {k.lower(): a or b or c for k, a, b, c in _ATTRIBUTE.findall(attributes)} if "=" in attributes else {}
     role = found.get("role", "").strip().lower()
     names = f"{found.get('class', '')} {found.get('id', '')}"
@@ -116,17 +129,43 @@ def _kind(tag: str, attributes: str, in_body: bool) -> tuple[int | None, str]:
     if names.strip():
         if any(n in _BODY_NAMES for n in names.lower().split()):
             return BODY, ""
+        if tag not in _CONTAINERS or in_body:
+            names = "" if in_body and tag not in _CONTAINERS else found.get("class", "")
         if side := _named(names, _CHROME_NAMES):
-            return CHROME, side
+            return CHROME, f"*{side}" if in_body else side if side in _CHROME_NAMES else f"?{side}"
     return None, ""
 
 
 def page_lines(source: str) -> list[Line]:
     """Text lines (blocks) of a page in order, with scope and landmark.
 
-    White space inside a line is one space; a line break element is white space.
+    White space inside a line is one space; a line break element is white space.  A form
+    that wraps the page is no landmark: one that holds an article, or, on a page without,
+    more text than stands outside of it and of other landmarks.
     """
+    lines, around = _lines(source, frozenset())
+    sizes: dict[str, int] = {}
+    for x in lines:
+        name = x.mark if x.mark.startswith(_FORM) else "" if x.scope == OPEN else None
+        if name is not None:
+            sizes[name] = sizes.get(name, 0) + len(x.text)
+    if not any(x.scope == BODY for x in lines):
+        around |= {k for k, n in sizes.items() if k and n > sizes.get("", 0)}
+    if around:
+        lines = _lines(source, frozenset(around))[0]
+    marked = any(x.scope == BODY for x in lines)
+    for x in lines:
+        if x.mark.startswith(_FORM):
+            x.mark = "form"
+        if marked and x.scope == OPEN:  # by the markup alone they are no text of the article
+            x.scope, x.mark = CHROME, OUTSIDE
+    return lines
+
+
+def _lines(source: str, around: frozenset[str]) -> tuple[list[Line], set[str]]:
+    """Lines with the forms as landmarks by number, but for those in ``around``; and the forms that hold an article."""
     lines: list[Line] = []
+    forms, holding = 0, set()
     text: list[str] = []
     stack: list[tuple[str, int, str, bool]] = []  # element, scope, landmark, inside the header of an article
     scope, mark, heading_only = OPEN, "", False
@@ -182,35 +221,41 @@ def page_lines(source: str) -> list[Line]:
         if tag in _VOID:
             continue
         new, landmark = _kind(tag, attributes, any(x[1] == BODY for x in stack))
+        if tag == "form":
+            forms += 1
+            if landmark == "form":
+                landmark = f"{_FORM}{forms}"
+                if landmark in around:
+                    new, landmark = None, ""
         if tag in ("article", "main") and new == BODY and scope == CHROME:
             # an unclosed landmark doesn't reach into the article
             while stack and stack[-1][1] == CHROME and stack[-1][0] not in ("aside", "article", "main"):
+                if stack[-1][2].startswith(_FORM):
+                    holding.add(stack[-1][2])
                 stack.pop()
             _, scope, mark, heading_only = stack[-1] if stack else ("", OPEN, "", False)
         if tag == "p" or tag in _HEADINGS:
             while stack and (stack[-1][0] == "p" or stack[-1][0] not in _BLOCKS and any(x[0] == "p" for x in stack)):
                 stack.pop()
             _, scope, mark, heading_only = stack[-1] if stack else ("", OPEN, "", False)
-        if new is not None and scope != CHROME and not (scope == BODY and new == BODY):
+        sure = new == CHROME and landmark[:1] not in _DOUBT and mark[:1] in _DOUBT
+        if new is not None and (scope != CHROME or sure) and not (scope == BODY and new == BODY):
             end_line()
             scope, mark = new, landmark
         elif landmark == "header" and new is None and scope == BODY:
             heading_only = True
         stack.append((tag, scope, mark, heading_only))
     end_line()
-    if any(x.scope == BODY for x in lines):  # by the markup alone they are no text of the article
-        for x in lines:
-            if x.scope == OPEN:
-                x.scope, x.mark = CHROME, OUTSIDE
-    return lines
+    return lines, holding
 
 
 def line_keys(lines: list[Line]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     """(key, scope, length, number of first line); lines that follow each other in a landmark are one."""
     keys, scopes, sizes, first = [], [], [], []
     for i, x in enumerate(lines):
-        name = f"\x00{x.mark}" if x.role == CHROME else x.text
-        if x.role == CHROME and i and lines[i - 1].role == CHROME and lines[i - 1].mark == x.mark:
+        landmark = x.role not in (OPEN, BODY)
+        name = f"\x00{x.mark.lstrip('?*')}" if landmark else x.text
+        if landmark and i and lines[i - 1].role == x.role and lines[i - 1].mark == x.mark:
             sizes[-1] += len(x.text)
             continue
         keys.append(xxhash.xxh64_intdigest(name))
@@ -263,12 +308,30 @@ def common_lines(a: np.ndarray, b: np.ndarray) -> np.ndarray:
 
 
 def template_lines(own: tuple, partner: np.ndarray) -> tuple[np.ndarray, bool]:
-    """(numbers of the open lines that the partner shares, whether the partner is a copy)."""
+    """(numbers of the open lines and doubtful landmarks that the partner shares, whether the partner is a copy)."""
     keys, scopes, sizes, first = own
     shared = common_lines(keys, partner)
-    open_, text = scopes == OPEN, scopes != CHROME
-    copy = bool(open_.any() and sizes[text & shared].sum() >= COPY_SHARE * sizes[text].sum())
-    return first[open_ & shared], copy
+    text = (scopes == OPEN) | (scopes == BODY)
+    asked = (scopes == OPEN) | (scopes >= LIKELY)
+    copy = bool(asked.any() and text.any() and sizes[text & shared].sum() >= COPY_SHARE * sizes[text].sum())
+    return first[asked & shared], copy
+
+
+def kept_lines(lines: list[Line], shared: list[int] | None) -> tuple[list[Line], int]:
+    """(lines of the text, number of the others) from the shared lines' numbers, None if no partner says anything.
+
+    A doubtful landmark is shared by the number of the first of its lines.
+    """
+    kept, had, first = [], set(shared or ()), 0
+    for i, x in enumerate(lines):
+        role = x.role
+        if not (i and lines[i - 1].role == role and lines[i - 1].mark == x.mark):
+            first = i
+        gone = (role == CHROME or role == OPEN and i in had or role in (LIKELY, UNLIKELY) and first in had
+                or role == LIKELY and shared is None)
+        if not gone:
+            kept.append(x)
+    return kept, len(lines) - len(kept)
 
 
 def _host_path(url: str) -> tuple[str, str]:
@@ -350,16 +413,15 @@ def extract_pages(pages: DataFrame) -> DataFrame:
     compared = (pairs.join(keys, "page").join(theirs, "partner")
                 .select("page", "turn", "keys", "scopes", "sizes", "first", "other")
                 .mapInArrow(differ, "page long, turn int, gone array<long>"))
-    gone = land(compared.groupBy("page").agg(F.min_by("gone", "turn").alias("gone")).where(F.size("gone") > 0), "page-template")
+    gone = land(compared.groupBy("page").agg(F.min_by("gone", "turn").alias("gone")), "page-template")
 
     def finish(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             texts, counts = [], []
             for h, drop in zip(batch.column(2).to_pylist(), batch.column(3).to_pylist()):
-                drop = set(drop or ())
-                lines = page_lines(h)
-                texts.append("\n\n".join(x.text for i, x in enumerate(lines) if x.role != CHROME and i not in drop))
-                counts.append(sum(x.role == CHROME for x in lines) + len(drop))
+                left = kept_lines(page_lines(h), drop)
+                texts.append("\n\n".join(x.text for x in left[0]))
+                counts.append(left[1])
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), batch.column(1), pa.array(texts, pa.string()),
                  pa.array([len(t) for t in texts], pa.int64()), pa.array(counts, pa.int64())],

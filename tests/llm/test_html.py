@@ -85,6 +85,37 @@ def test_lines_outside_a_marked_article_are_differenced(spark):
     assert out[3].text == "Long own text of a plain page.\n\nIn short."
 
 
+@pytest.mark.parametrize("source, want", [
+    ("<article><h2 id='search'>a</h2><section id='related-work'><p id='how-to-reply'>b<h3 id='share-of-market'>c</section></article>",
+     ["a", "b", "c"]),
+    ("<h2 id='search'>a</h2><p id='how-to-reply'>b</p><span id='alert'>c</span>", ["a", "b", "c"]),
+    ("<body><form id='aspnet'><div>a<nav>m</nav><div>b</div></div></form></body>", ["a", "b"]),
+    ("<form><div>Head</div><article>a</article></form>", ["a"]), ("<div>Some text</div><form><p>Mail</p></form>", ["Some text"]),
+])
+def test_names_and_forms_that_are_no_landmark(source, want):
+    assert kept(source) == want
+
+
+def test_form_around_an_article_is_open():
+    assert [(x.text, x.role) for x in H.page_lines("<form><div>Head</div><article>a</article></form>")] == [("Head", H.OPEN), ("a", H.BODY)]
+
+
+def test_alignment_confirms_chrome_names(spark):
+    def page(k, extra=""):
+        return (f"<article><p>Text of article {k}.</p>{extra}<div class='ad-slot'>Buy {k}</div><p>More of {k}.</p></article>"
+                f"<div class='page-footer'>foot {k}</div>")
+
+    rows = [(k, f"https://a.example/{k}", page(k, "<div class='alert-levels'><p>Levels</p><p>of alert</p></div>" * (k == 1))) for k in range(3)]
+    rows += [(3, "https://b.example/", page(3)), (4, "https://c.example/1", "<div class='alert-levels'>One<nav>x</nav></div><p>Own one"),
+             (5, "https://c.example/2", "<p>Own text of another page")]
+    out = {r.page_id: r for r in H.extract_pages(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()}
+    for k in range(3):
+        assert out[k].text.split("\n\n") == [f"Text of article {k}.", *["Levels", "of alert"] * (k == 1), f"More of {k}."]
+        assert out[k].n_template == 2
+    assert out[3].text == "Text of article 3.\n\nBuy 3\n\nMore of 3." and out[3].n_template == 1  # nobody confirms
+    assert out[4].text == "One\n\nOwn one" and out[4].n_template == 1
+
+
 def test_nearest_is_by_path_over_partitions(spark):
     rows = [(i, "h" if i % 3 else "hot", f"/p/{i:03d}") for i in range(200)]
     df = spark.createDataFrame([(p, h, q) for p, h, q in rows], "page long, host string, path string").repartition(9)
