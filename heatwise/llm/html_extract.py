@@ -10,8 +10,11 @@ page landmark (menu, header, footer, sidebar, form, notice, advert, comments) is
 by its landmark instead of its words, and goes whether a partner has it or not; a line in
 an article body is aligned by its words and stays.  All other lines stand or fall by the
 alignment, also those outside the article of a page that marks one.  A partner of which
-nearly all text is shared is a copy and says nothing about the template; the other
-neighbour is asked then.
+nearly all text is shared is a copy and says nothing about the template.  Pages of equal
+lines are one page for the pairing; a page between copies is compared with the nearest
+pages before and after the run of copies.  Where nothing but copies is on the host, short
+pages may share their template only: lines that two further pages at other paths share
+are set aside, and if the rest is the page's own, they are the template.
 
 Only hashes and lengths of lines are shuffled for pairing; the order over all hosts is a
 range-partitioned sort, so a host with a third of all pages is spread like any other.
@@ -31,7 +34,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from heatwise.llm.common import land
+from heatwise.llm.common import broadcast_checked, land
 
 COPY_SHARE = 0.8
 BODY, OPEN, CHROME = 2, 1, 0
@@ -339,11 +342,21 @@ def _host_path(url: str) -> tuple[str, str]:
     return m[1].lower(), m[2]
 
 
-def _nearest(keys: DataFrame) -> DataFrame:
-    """(page, partner, turn): each page's neighbours in path order on its host, the nearer one (turn 0) first.
+def shared_by_three(own: tuple, one: np.ndarray, two: np.ndarray) -> np.ndarray | None:
+    """Numbers of the open lines and doubtful landmarks that both pages share, None if ``one`` is a copy apart from them."""
+    keys, scopes, sizes, first = own
+    with_one, with_two = common_lines(keys, one), common_lines(keys, two)
+    text = (scopes == OPEN) | (scopes == BODY)
+    rest = text & ~(with_one & with_two)
+    if not rest.any() or max(sizes[rest & with_one].sum(), sizes[rest & with_two].sum()) >= COPY_SHARE * sizes[rest].sum():
+        return None
+    return first[((scopes == OPEN) | (scopes >= LIKELY)) & with_one & with_two]
 
-    A position over all pages comes from a range-partitioned sort: partition offsets plus
-    the place in the partition; neighbours then meet by an equi-join on the position.
+
+def _ranked(keys: DataFrame) -> DataFrame:
+    """(host, path, page, rank, part): a position over all pages in order of host and path.
+
+    It comes from a range-partitioned sort: partition offsets plus the place in the partition.
     """
     order = land(keys.select("host", "path", "page").repartitionByRange("host", "path", "page")
                  .sortWithinPartitions("host", "path", "page").withColumn("at", F.monotonically_increasing_id())
@@ -352,18 +365,77 @@ def _nearest(keys: DataFrame) -> DataFrame:
     sizes = order.groupBy("part").agg(F.count(F.lit(1)).alias("n"))  # one row per partition
     before = sizes.select("part", F.coalesce(F.sum("n").over(
         Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("offset"))
-    placed = order.join(F.broadcast(before), "part").select("host", "path", "page", (F.col("offset") + F.col("place")).alias("rank"))
+    return order.join(F.broadcast(before), "part").select(
+        "host", "path", "page", (F.col("offset") + F.col("place")).alias("rank"), "part")
+
+
+def _near(path: str, other: str):
+    """Length of the common start of two paths."""
+    return F.length(F.regexp_extract(F.concat(path, F.lit("\n"), other), r"^([^\n]*)[^\n]*\n\1", 1))
+
+
+def _nearest(keys: DataFrame) -> DataFrame:
+    """(page, partner, turn): each page's neighbours in path order on its host, the nearer one (turn 0) first.
+
+    Neighbours meet by an equi-join on the position.
+    """
+    return _neighbours(_ranked(keys))
+
+
+def _neighbours(placed: DataFrame) -> DataFrame:
     after = placed.select(F.col("host").alias("h"), F.col("path").alias("q"), F.col("page").alias("other"),
                           (F.col("rank") - 1).alias("rank"))
-    pairs = placed.join(after, "rank").where("host = h").withColumn("near", F.length(F.regexp_extract(
-        F.concat("path", F.lit("\n"), "q"), r"^([^\n]*)[^\n]*\n\1", 1)))
+    pairs = placed.join(after, "rank").where("host = h").withColumn("near", _near("path", "q"))
     both = pairs.select("page", F.col("other").alias("partner"), "near", F.lit(1).alias("side")).unionByName(
         pairs.select(F.col("other").alias("page"), F.col("page").alias("partner"), "near", F.lit(0).alias("side")))
+    return _in_turn(both)
+
+
+def _in_turn(both: DataFrame) -> DataFrame:
+    """(page, partner, turn) of at most two partners a page, the nearer one first."""
     best = F.sort_array(F.collect_list(F.struct((-F.col("near")).alias("far"), "side", "partner")))  # two at most
     return both.groupBy("page").agg(best.alias("p")).select("page", F.posexplode("p").alias("turn", "p")).select(
         "page", "p.partner", "turn")
 
 
+def _beyond(placed: DataFrame, linked: DataFrame, stuck: DataFrame) -> DataFrame:
+    """(page, partner, turn) of ``stuck`` pages: the nearest pages before and after their run of copies.
+
+    ``linked`` has the pages that are a copy of the one before them.  The first page of
+    each run is carried on by running values per range partition and over the partitions.
+    """
+    known = placed.join(linked.select("page", F.lit(True).alias("linked")), "page", "left")
+    begins = land(known.select("host", "path", "page", "rank", "part",
+                               F.when(F.col("linked").isNull(), F.col("rank")).alias("begin")), "page-runs")
+    of_parts = begins.groupBy("part").agg(F.max("begin").alias("last"), F.min("begin").alias("first"))  # one row per partition
+    by_part = Window.orderBy("part")
+    carried = of_parts.select("part", F.max("last").over(by_part.rowsBetween(Window.unboundedPreceding, -1)).alias("before"),
+                              F.min("first").over(by_part.rowsBetween(1, Window.unboundedFollowing)).alias("behind"))
+    here = Window.partitionBy("part").orderBy("rank")
+    runs = begins.join(F.broadcast(carried), "part").select(
+        "host", "path", "page",
+        F.coalesce(F.max("begin").over(here.rowsBetween(Window.unboundedPreceding, 0)), "before").alias("first"),
+        F.coalesce(F.min("begin").over(here.rowsBetween(1, Window.unboundedFollowing)), "behind").alias("next"))
+    asked = runs.join(stuck, "page", "left_semi").select("host", "path", "page", F.explode(F.array(
+        F.struct(F.lit(0).alias("side"), (F.col("first") - 1).alias("rank")),
+        F.struct(F.lit(1).alias("side"), F.col("next").alias("rank")))).alias("t")).select("host", "path", "page", "t.*")
+    wanted = asked.select("rank").where("rank IS NOT NULL").distinct()
+    targets = land(placed.join(wanted, "rank", "left_semi").select(
+        "rank", F.col("host").alias("h"), F.col("path").alias("q"), F.col("page").alias("partner")), "page-targets")
+    pairs = asked.join(broadcast_checked(targets), "rank").where("host = h").withColumn("near", _near("path", "q"))
+    return _in_turn(pairs.select("page", "partner", "near", "side"))
+
+
+def _thirds(placed: DataFrame, stuck: DataFrame) -> DataFrame:
+    """(page, one, two) of ``stuck`` pages that have two near pages on their host, all three at different paths."""
+    asked = placed.join(stuck, "page", "left_semi").select("host", "path", "page", F.posexplode(
+        F.array(*[F.col("rank") + k for k in (-1, 1, -2, 2)])).alias("turn", "rank"))
+    others = placed.select("rank", F.col("host").alias("h"), F.col("path").alias("q"), F.col("page").alias("other"))
+    met = asked.join(others, "rank").where("host = h AND path <> q").groupBy("page", "q").agg(  # four at most
+        F.min(F.struct("turn", "other")).alias("x")).groupBy("page").agg(F.sort_array(F.collect_list("x")).alias("x"))
+    return met.where(F.size("x") >= 2).select("page", F.col("x")[0]["other"].alias("one"), F.col("x")[1]["other"].alias("two"))
+
+
 def extract_pages(pages: DataFrame) -> DataFrame:
     """(page_id, url, text, n_chars, n_template) of every page row.
 
@@ -385,16 +457,21 @@ def extract_pages(pages: DataFrame) -> DataFrame:
             for key, u, h in zip(*(batch.column(i).to_pylist() for i in range(3))):
                 keys, scopes, sizes, first = line_keys(page_lines(h))
                 out.append((key, *_host_path(u or ""), keys.tobytes(), scopes.astype(np.int8).tobytes(),
-                            sizes.tobytes(), first.tobytes()))
-            cols = list(zip(*out)) or [()] * 7
-            kinds = [pa.int64(), pa.string(), pa.string(), *[pa.binary()] * 4]
+                            sizes.tobytes(), first.tobytes(), bool(((scopes == OPEN) | (scopes >= LIKELY)).any())))
+            cols = list(zip(*out)) or [()] * 8
+            kinds = [pa.int64(), pa.string(), pa.string(), *[pa.binary()] * 4, pa.bool_()]
             yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(cols, kinds)],
-                                             names=["page", "host", "path", "keys", "scopes", "sizes", "first"])
+                                             names=["page", "host", "path", "keys", "scopes", "sizes", "first", "asking"])
 
+    # asking: has open lines or doubtful landmarks, which alone are decided
     keys = land(rows.select("page", "url", "html").mapInArrow(
-        keyed, "page long, host string, path string, keys binary, scopes binary, sizes binary, first binary"
-    ).dropDuplicates(["page"]), "page-lines")
-    pairs = _nearest(keys)
+        keyed, "page long, host string, path string, keys binary, scopes binary, sizes binary, first binary, asking boolean"
+    ).dropDuplicates(["page"]).withColumn("same", F.xxhash64("host", "keys", "scopes", "first")), "page-lines")
+    # pages of a host with equal lines are one, the first by path
+    chosen = land(keys.groupBy("host", "same").agg(F.min(F.struct("path", "page")).alias("x"))
+                  .select("host", "same", "x.path", "x.page"), "page-groups")
+    placed = land(_ranked(chosen), "page-ranks")
+    own = land(keys.where("asking").join(chosen.select("page"), "page", "left_semi"), "page-asking")
     theirs = keys.select(F.col("page").alias("partner"), F.col("keys").alias("other"))
 
     def differ(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -404,16 +481,55 @@ def extract_pages(pages: DataFrame) -> DataFrame:
                 own = (np.frombuffer(k, np.uint64), np.frombuffer(c, np.int8).astype(np.int64),
                        np.frombuffer(z, np.int64), np.frombuffer(f, np.int64))
                 gone, copy = template_lines(own, np.frombuffer(other, np.uint64))
-                if not copy:
-                    out.append((p, turn, gone.tolist()))
+                out.append((p, turn, None if copy else gone.tolist()))
             cols = list(zip(*out)) or [()] * 3
             yield pa.RecordBatch.from_arrays([pa.array(cols[0], pa.int64()), pa.array(cols[1], pa.int32()),
                                               pa.array(cols[2], pa.list_(pa.int64()))], names=["page", "turn", "gone"])
 
-    compared = (pairs.join(keys, "page").join(theirs, "partner")
-                .select("page", "turn", "keys", "scopes", "sizes", "first", "other")
-                .mapInArrow(differ, "page long, turn int, gone array<long>"))
-    gone = land(compared.groupBy("page").agg(F.min_by("gone", "turn").alias("gone")), "page-template")
+    def differ_three(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            out = []
+            for p, k, c, z, f, one, two in zip(*(batch.column(i).to_pylist() for i in range(7))):
+                own = (np.frombuffer(k, np.uint64), np.frombuffer(c, np.int8).astype(np.int64),
+                       np.frombuffer(z, np.int64), np.frombuffer(f, np.int64))
+                gone = shared_by_three(own, np.frombuffer(one, np.uint64), np.frombuffer(two, np.uint64))
+                if gone is not None:
+                    out.append((p, gone.tolist()))
+            cols = list(zip(*out)) or [()] * 2
+            yield pa.RecordBatch.from_arrays([pa.array(cols[0], pa.int64()), pa.array(cols[1], pa.list_(pa.int64()))],
+                                             names=["page", "gone"])
+
+    def compare(pairs: DataFrame, name: str) -> DataFrame:
+        """(page, partner, turn, gone), null ``gone`` for a copy."""
+        met = land(pairs.join(own.select("page"), "page", "left_semi"), f"{name}-pairs")
+        found = (met.join(own, "page").join(theirs, "partner")
+                 .select("page", "turn", "keys", "scopes", "sizes", "first", "other")
+                 .mapInArrow(differ, "page long, turn int, gone array<long>"))
+        return land(found.join(met, ["page", "turn"]), name)
+
+    def settled(compared: DataFrame) -> DataFrame:
+        return compared.where("gone IS NOT NULL").groupBy("page").agg(F.min_by("gone", "turn").alias("gone"))
+
+    beside = compare(_neighbours(placed), "page-neighbours")
+    stuck = land(beside.groupBy("page").agg(F.count("gone").alias("n")).where("n = 0").select("page"), "page-stuck")
+    # a copy in either direction links a page to the one before it
+    ranks = placed.select("page", "rank")
+    copies = (beside.where("gone IS NULL").select("page", "partner").join(ranks, "page")
+              .join(ranks.withColumnsRenamed({"page": "partner", "rank": "other"}), "partner"))
+    linked = copies.select(F.when(F.col("rank") > F.col("other"), F.col("page")).otherwise(F.col("partner")).alias("page")).distinct()
+    beyond = compare(_beyond(placed, linked, stuck), "page-beyond")
+    alone = land(stuck.join(settled(beyond).select("page"), "page", "left_anti"), "page-alone")
+    three = (_thirds(placed, alone).join(own, "page")
+             .join(keys.select(F.col("page").alias("one"), F.col("keys").alias("key_one")), "one")
+             .join(keys.select(F.col("page").alias("two"), F.col("keys").alias("key_two")), "two")
+             .select("page", "keys", "scopes", "sizes", "first", "key_one", "key_two")
+             .mapInArrow(differ_three, "page long, gone array<long>"))
+    of_chosen = land(settled(beside).unionByName(settled(beyond)).unionByName(three), "page-template")
+    # to all pages with the same lines, by the chosen page
+    groups = chosen.join(of_chosen, "page").select(F.col("host").alias("h"), F.col("same").alias("s"), "gone")
+    gone = keys.select("page", "host", "same").join(
+        broadcast_checked(land(groups, "group-template")), (F.col("host") == F.col("h")) & (F.col("same") == F.col("s"))
+    ).select("page", "gone")
 
     def finish(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:

@@ -116,6 +116,28 @@ def test_alignment_confirms_chrome_names(spark):
     assert out[4].text == "One\n\nOwn one" and out[4].n_template == 1
 
 
+def test_runs_of_copies_are_stepped_over(spark):
+    def page(own, note=""):
+        return f"<div>Home | News | Sport</div><div>{own}</div><div>All rights reserved by us</div><div>{note}</div>"
+
+    text = {k: f"The own and rather long text of page {k}, which no other page of the host has. " * 4 for k in "abcdefg"}
+    rows = [(0, "http://h.example/a", page(text["a"])), (9, "http://h.example/z", page(text["b"]))]
+    rows += [(k, f"http://h.example/m{k}", page(text["c"])) for k in range(1, 5)]  # equal lines
+    rows += [(k, f"http://h.example/n{k}", page(text["d"], f"seen {k}")) for k in range(5, 9)]  # near copies
+    rows += [(k, f"http://h.example/o{k}", page(text["e"], f"seen {k}")) for k in range(20, 26)]  # another run of them
+    rows += [(k, "http://only.example/a", page(text["f"], f"seen {k}")) for k in range(30, 34)]  # recrawls of one URL
+    rows += [(k, f"http://short.example/{k}", page(f"own {k}")) for k in range(40, 44)]  # mostly template
+    df = spark.createDataFrame(rows, "page_id long, url string, html string").repartition(5)
+    out = {r.page_id: r.text for r in H.extract_pages(df).collect()}
+    whole = {k: text[k].strip() for k in text}
+    assert out[0] == whole["a"] and out[9] == whole["b"]
+    assert [out[k] for k in range(1, 5)] == [whole["c"]] * 4
+    assert [out[k] for k in range(5, 9)] == [f"{whole['d']}\n\nseen {k}" for k in range(5, 9)]
+    assert [out[k] for k in range(20, 26)] == [f"{whole['e']}\n\nseen {k}" for k in range(20, 26)]
+    assert all(whole["f"] in out[k] for k in range(30, 34))  # nothing but copies, so nothing is template
+    assert [out[k] for k in range(40, 44)] == [f"own {k}" for k in range(40, 44)]
+
+
 def test_nearest_is_by_path_over_partitions(spark):
     rows = [(i, "h" if i % 3 else "hot", f"/p/{i:03d}") for i in range(200)]
     df = spark.createDataFrame([(p, h, q) for p, h, q in rows], "page long, host string, path string").repartition(9)
