@@ -117,6 +117,19 @@ def test_licenses_are_brute_force(spark):
     assert L.scan_licenses(df, spark.createDataFrame([], "license string, text string")).count() == 0
 
 
+def test_usual_notices_and_several_texts_of_a_license(spark):
+    notices = {"mit-notice-licensed": "licensed under the MIT license", "cc-by-sa-4.0-short": "Licensed under CC BY-SA 4.0",
+               "isc-notice": "Licensed under the ISC License", "agpl-notice": "licensed under the GNU Affero General Public License",
+               "lgpl-2.1-header": L.TEMPLATES["gpl-2.0-header"].replace("program", "library").replace("General", "Lesser General").replace("2 of", "2.1 of")}
+    df = spark.createDataFrame([(k, f"some words and then {t}, with more") for k, t in enumerate(notices.values())], "doc_id long, text string")
+    got = {(r.doc_id, r.license) for r in L.scan_licenses(df).collect()}
+    assert {(i, k) for i, k in enumerate(notices)} <= got
+    texts = [("x", "one two three four five six"), ("x", "alpha beta gamma delta epsilon"), ("x", None), ("y", "un deux trois quatre cinq")]
+    docs = [(1, "so one two three four five six"), (2, "so alpha beta gamma delta epsilon"), (3, "nothing at all stands here")]
+    found = L.scan_licenses(spark.createDataFrame(docs, "doc_id long, text string"), spark.createDataFrame(texts, "license string, text string"))
+    assert sorted(map(tuple, found.collect())) == [(1, "x", 2, 2, 1), (2, "x", 1, 1, 1)]
+
+
 EMAIL = re.compile(r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+")
 IP = re.compile(r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)")
 CARD = re.compile(r"[0-9]([\x20-]?[0-9])+")
