@@ -6,6 +6,7 @@ from collections.abc import Callable
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from heatwise.llm.common import table
 
@@ -148,3 +149,91 @@ def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     from heatwise.llm.token_count import count_tokens
 
     return count_tokens(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"), limit=512)
+
+
+_CRC32 = 0xEDB88320  # the reversed polynomial of CRC-32
+
+
+def _op11_sql() -> str:
+    """Descents as window maxima over one row per child; CRC-32 byte by byte over the text."""
+    from heatwise.llm.hash_tree import grow, layout
+
+    def tree(name: str, rows: list) -> str:
+        values = ", ".join(f"('{r}', '{r}/{k}', '{r}/{k}/{s}', {s}, {w})" for r, k, s, w in rows)
+        draw = "ln((('0x' || substr(md5(key || '|' || {p}), 1, 13))::BIGINT + 0.5) / 4503599627370496.0) / w"
+        level = """{n}{to} AS (SELECT doc_id, key, {path} FROM (SELECT k.doc_id, k.key, t.{path}, t.w FROM {of} k
+JOIN (SELECT {up}{path}, sum(w) AS w FROM {n}t GROUP BY ALL) t ON {on})
+QUALIFY row_number() OVER (PARTITION BY key ORDER BY """ + draw.format(p="{path}") + """ DESC, {path} DESC) = 1)"""
+        steps = [level.format(n=name, to="r", path="region", of="ids", up="", on="true"),
+                 level.format(n=name, to="k", path="rack", of=f"{name}r", up="region, ", on="t.region = k.region"),
+                 level.format(n=name, to="s", path="leaf", of=f"{name}k", up="rack, ", on="t.rack = k.rack")]
+        return (f"{name}t(region, rack, leaf, shard, w) AS (VALUES {values}),\n" + ",\n".join(steps)
+                + f",\n{name} AS (SELECT doc_id, key, shard FROM {name}s JOIN {name}t USING (leaf))")
+
+    tree_now, tree_then = layout(40), grow(layout(40))
+    return f"""
+WITH bits AS (SELECT b, list_reduce(range(8), lambda c, i: CASE WHEN c & 1 = 1 THEN xor(c >> 1, {_CRC32}) ELSE c >> 1 END,
+                                    b) AS c FROM range(256) r(b)),
+crc AS (SELECT list(c ORDER BY b) AS t FROM bits),
+d AS (SELECT doc_id, strlen(coalesce(text, '')) + 16 AS size, coalesce(CAST(doc_id AS VARCHAR), '') AS key,
+             regexp_extract_all(hex(encode(coalesce(text, ''))), '..') AS hx FROM documents),
+s AS (SELECT doc_id, size, key, xor(list_reduce(list_transform(hx, lambda x: ('0x' || x)::BIGINT),
+             lambda c, x: xor(c >> 8, t[(xor(c, x) & 255) + 1]), 4294967295::BIGINT), 4294967295) AS text_crc32 FROM d, crc),
+ids AS (SELECT DISTINCT doc_id, key FROM s),
+{tree("n", tree_now)},
+{tree("g", tree_then)},
+o AS (SELECT s.*, n.shard, g.shard AS grown_shard,
+             ('0x' || substr(md5(s.key || '|' || size || '|' || text_crc32), 1, 13))::BIGINT AS h
+      FROM s JOIN n USING (key) JOIN g USING (key))
+SELECT doc_id, CAST(size AS BIGINT) AS size, CAST(text_crc32 AS BIGINT) AS text_crc32, 'key' AS law, CAST(shard AS INTEGER) AS shard,
+       row_number() OVER (PARTITION BY shard ORDER BY h, doc_id, size, text_crc32) - 1 AS slot,
+       CAST(grown_shard AS INTEGER) AS grown_shard
+FROM o
+"""
+
+
+@register("op11_hash_tree_sharding", _op11_sql())
+def op11_hash_tree_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from heatwise.llm.hash_tree import grow, layout, place
+
+    tree = layout(40)
+    placed = place(table(spark, sf_dir, "documents"), tree, grow(tree))
+    return placed.select("doc_id", "size", "text_crc32", F.lit("key").alias("law"), "shard", "slot", "grown_shard")
+
+
+@register("op12_periodic_runs")
+def op12_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from heatwise.llm.periodic_runs import digest, find_runs, planted
+
+    return digest(find_runs(table(spark, sf_dir, "documents"), min_words=12, rewrite=planted))
+
+
+OP13_SQL = """
+WITH v AS (SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+                  list_transform(embedding, lambda x: floor(256 * CAST(x AS DOUBLE))) AS q
+           FROM embeddings
+           WHERE label IS NOT NULL AND embedding IS NOT NULL AND vec_id IS NOT NULL
+             AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+s AS (SELECT a.vec_id AS anchor_id, v.vec_id, a.label = v.label AS alike,
+             CAST(list_inner_product(a.q, v.q) AS BIGINT) AS score
+      FROM v a JOIN v ON a.vec_id % 50 = 0 AND a.vec_id <> v.vec_id),
+p AS (SELECT anchor_id, vec_id AS positive_id, score AS positive_score FROM s WHERE alike
+      QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, vec_id) <= 5),
+n AS (SELECT p.*, s.vec_id AS negative_id, s.score AS negative_score,
+             row_number() OVER (PARTITION BY p.anchor_id, p.positive_id ORDER BY s.score DESC, s.vec_id) AS rank
+      FROM p JOIN s ON s.anchor_id = p.anchor_id AND NOT s.alike
+       AND 50 * positive_score <= 100 * s.score AND 100 * s.score <= 95 * positive_score)
+SELECT anchor_id, positive_id, CAST(rank AS INTEGER) AS rank, negative_id, positive_score, negative_score
+FROM n WHERE rank <= 3
+"""
+
+
+@register("op13_hard_negatives", OP13_SQL)
+def op13_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from heatwise.llm.hard_negatives import mine
+
+    def label(vec_id, given):
+        return F.when(vec_id % 7 == 0, (given + 1) % 10).otherwise(given)
+
+    return mine(table(spark, sf_dir, "embeddings"), is_anchor=lambda i: i % 50 == 0, positives=5, negatives=3,
+                low=50, high=95, label_of=label)
