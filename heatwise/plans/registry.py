@@ -153,7 +153,7 @@ SELECT host, event_id, ts_us, round((ts_us - prev_ts)/1e6, 6) AS elapsed_s,
   round((prev_cpu + cpu)/2, 6) AS avg_cpu, round((prev_cpu + cpu)/2 * ((ts_us - prev_ts)/1e6), 6) AS heat
 FROM l WHERE prev_ts IS NOT NULL""")
 def q_measured_heat(spark, d):
-    """W2 (H7): heat between consecutive samples per host, skew-split by day buckets."""
+    """W2 (H7): heat between consecutive samples per host, over ranges of (host, ts, id)."""
     return r6(TM.measured_heat(TM.samples_from_events(star.read_table(spark, d, "events"))))
 
 
