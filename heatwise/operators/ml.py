@@ -7,6 +7,11 @@ evaluators of ``pyspark.ml.evaluation`` give the same numbers (see the tests).
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+from dataclasses import dataclass
+
+import numpy as np
+import pyarrow as pa
 from pyspark import StorageLevel
 from pyspark.ml import Pipeline
 from pyspark.ml.classification import GBTClassifier, LogisticRegression, RandomForestClassifier
@@ -163,6 +168,132 @@ def auc(df: DataFrame, label: str, score: str, buckets: int | None = None) -> Da
     return j.agg(F.try_divide(u, F.sum("pos").cast("double") * F.sum("neg")).alias("auc"))
 
 
+# ---- M5: exact least squares -----------------------------------------------------------
+
+@dataclass(frozen=True)
+class Moments:
+    """Row count, means and population covariance matrix of some columns."""
+
+    names: tuple[str, ...]
+    n: int
+    mean: np.ndarray
+    cov: np.ndarray
+
+    def of(self, names: list[str]) -> np.ndarray:
+        return np.array([self.names.index(c) for c in names], dtype=int)
+
+
+def moments(df: DataFrame, columns: dict[str, Column]) -> Moments | None:
+    """Means and covariances of ``columns`` (name to expression) in one pass; None without rows.
+
+    Every partition adds up its rows' products (one matrix product per Arrow batch) around
+    a common origin, a value of each column, so that sums of squares do not cancel; Spark sums the
+    partial matrices by element and only their (k + 1)(k + 2) / 2 elements reach the
+    driver.  Rows with a null, NaN or infinite value in any column are left out.
+    """
+    names = list(columns)
+    rows = df.select(*[c.cast("double").alias(f"c{i}") for i, c in enumerate(columns.values())])
+    few = np.array([[np.nan if v is None else v for v in r] for r in rows.limit(100).collect()]).reshape(-1, len(names))
+    few[~np.isfinite(few)] = np.nan
+    origin = np.array([next((v for v in c if np.isfinite(v)), 0.0) for c in few.T])
+    upper = np.triu_indices(len(names) + 1)
+
+    def products(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total = np.zeros((len(names) + 1,) * 2)
+        for batch in batches:
+            x = np.ones((batch.num_rows, len(names) + 1))
+            for i in range(len(names)):
+                x[:, i] = batch.column(i).to_numpy(zero_copy_only=False) - origin[i]  # null is NaN
+            x = x[np.isfinite(x).all(axis=1)]
+            total += x.T @ x
+        yield pa.RecordBatch.from_arrays([pa.array([total[upper]], pa.list_(pa.float64()))], names=["m"])
+
+    parts = rows.mapInArrow(products, "m array<double>").select(F.posexplode("m").alias("at", "value"))
+    total = np.zeros((len(names) + 1,) * 2)
+    for r in parts.groupBy("at").agg(F.sum("value").alias("value")).collect():
+        i, j = upper[0][r["at"]], upper[1][r["at"]]
+        total[i, j] = total[j, i] = r["value"]
+    n = total[-1, -1]
+    if not n:
+        return None
+    off = total[:-1, -1] / n
+    return Moments(tuple(names), int(n), origin + off, total[:-1, :-1] / n - np.outer(off, off))
+
+
+@dataclass(frozen=True)
+class LinearFit:
+    """Least-squares coefficients of one label: intercept, then one per feature; ``n`` rows used."""
+
+    label: str
+    features: tuple[str, ...]
+    intercept: float
+    coefficients: tuple[float, ...]
+    rank: int
+    n: int
+    r2: float
+
+    def predict(self) -> Column:
+        """The prediction as an expression over the feature columns (null where one is null)."""
+        out = F.lit(self.intercept)
+        for name, c in zip(self.features, self.coefficients):
+            out = out + F.lit(c) * F.col(f"`{name}`").cast("double")
+        return out
+
+
+def solve(m: Moments, features: list[str], label: str, cutoff: float = 1e-10) -> LinearFit:
+    """The normal equations of the standardised columns, by eigenvalues.
+
+    Directions below ``cutoff`` of the largest are left out: the solution of minimum norm
+    over standardised columns where columns depend on each other, zero for a constant one.
+    """
+    at, y = m.of(features), m.of([label])[0]
+    cov, mean = m.cov[np.ix_(at, at)], m.mean[at]
+    spread = np.sqrt(np.clip(np.diag(cov), 0, None))
+    scale = np.where(spread > 1e-12 * np.abs(mean), spread, np.inf)
+    values, vectors = np.linalg.eigh(cov / np.outer(scale, scale))
+    use = values > cutoff * max(values.max(initial=0.0), 1e-300)
+    inverse = (vectors[:, use] / values[use]) @ vectors[:, use].T
+    beta = inverse @ (m.cov[at, y] / scale) / scale
+    r2 = float(beta @ m.cov[at, y] / m.cov[y, y]) if m.cov[y, y] > 0 else 0.0
+    return LinearFit(label, tuple(features), float(m.mean[y] - beta @ mean), tuple(float(b) for b in beta),
+                     int(use.sum()), m.n, r2)
+
+
+def least_squares(df: DataFrame, features: list[str], labels: list[str]) -> dict[str, LinearFit]:
+    """M5: exact linear regression of several labels from one pass over ``df``.
+
+    Nothing depends on the partitions but the last digits of the moments.  Rows with a
+    null or non-finite feature or label are left out; no rows give no fit.
+    """
+    m = moments(df, {c: F.col(f"`{c}`") for c in [*features, *labels]})
+    return {y: solve(m, features, y) for y in labels} if m else {}
+
+
+def normal_equations(df: DataFrame, fits: dict[str, LinearFit]) -> DataFrame:
+    """(label, term, rows, correlation): how far each fit is from its normal equations, in one pass.
+
+    The residual of a least-squares fit has mean zero and no covariance with a feature.
+    ``correlation`` is that covariance (for the term ``intercept`` the mean) over the
+    spreads of label and feature, zero for a constant one.
+    """
+    features = sorted({f for fit in fits.values() for f in fit.features})
+    columns = {f: F.col(f"`{f}`") for f in features}
+    for y, fit in fits.items():
+        columns |= {("label", y): F.col(f"`{y}`"), ("residual", y): F.col(f"`{y}`").cast("double") - fit.predict()}
+    m = moments(df, columns)
+    rows = []
+    for y, fit in fits.items() if m else ():
+        e, = m.of([("residual", y)])
+        own, = m.of([("label", y)])
+        spread = float(np.sqrt(max(m.cov[own, own], 0.0)))
+        rows.append((y, "intercept", m.n, float(m.mean[e]) / spread if spread else 0.0))
+        for f in fit.features:
+            x, = m.of([f])
+            size = spread * float(np.sqrt(max(m.cov[x, x], 0.0)))
+            rows.append((y, f, m.n, float(m.cov[e, x]) / size if size else 0.0))
+    return df.sparkSession.createDataFrame(rows, "label string, term string, rows long, correlation double")
+
+
 # ---- M5-M9, M13: fitted models ---------------------------------------------------------
 
 # Split statistics per running task of a tree learner.  The value decides how many nodes
@@ -203,10 +334,20 @@ def _prepared(df: DataFrame, features: list[str], labels: list[str]):
 
 def predict_regression(df: DataFrame, label: str, algo: str = "LinearRegression",
                        features: list[str] = FS12) -> DataFrame:
-    """M5: fit on the 80 % side, predict the 20 % side: (sl_no, machine_id, label, prediction)."""
+    """M5: fit on the 80 % side, predict the 20 % side: (sl_no, machine_id, label, prediction).
+
+    The linear regression is the exact one (``least_squares``): one aggregate over the
+    training side, and an expression over the test side.
+    """
     out = ["sl_no", "machine_id", label, "prediction"]
     if label not in df.columns:
         return _empty_like(df.withColumn("prediction", F.lit(0.0)), [c for c in out if c in df.columns])
+    if algo == "LinearRegression":
+        train, test = hash_split(df)
+        fits = least_squares(train, present_features(df, features)[0], [label])
+        if not fits:
+            return _empty_like(df.withColumn("prediction", F.lit(0.0)), out)
+        return test.withColumn("prediction", fits[label].predict()).select(*out)
     train, test = _prepared(df, features, [label])
     try:
         if train.isEmpty() or test.isEmpty():

@@ -258,17 +258,38 @@ FROM lin JOIN (SELECT {_label}, CAST(row_number() OVER (ORDER BY count(*) DESC,
 WHERE {_TEST_SIDE}"""))(_rows)
 
 
-@register("linear_fit_check", W(T_, L_, body="""
-SELECT unnest(['heat', 'energy', 'duration']) AS label, count(*) > 0 AS has_rows, true AS beats_mean FROM lin"""))
+_LABELS = ["heat", "energy", "duration"]
+
+
+@register("linear_fit_check", W(T_, L_, body=f"""
+SELECT label, term, rows, 0.0 AS correlation
+FROM (SELECT count(*) AS rows FROM lin WHERE NOT ({_TEST_SIDE})),
+     (SELECT unnest({_LABELS}) AS label), (SELECT unnest({["intercept", *FS12]}) AS term)"""))
 def q_linear_fit_check(spark, d):
-    """Fitted regressions hold to their definition: on the test side they beat the label's mean."""
-    base = lin(spark, d)
-    out = None
-    for label in ("heat", "energy", "duration"):
-        m = M.regression_metrics(M.predict_regression(base, label), label).select(
-            F.lit(label).alias("label"), (F.col("n") > 0).alias("has_rows"), (F.col("r2") > 0).alias("beats_mean"))
-        out = m if out is None else out.unionByName(m)
-    return out
+    """M5: the fits of heat, energy and duration solve the normal equations on their training side.
+
+    Mean zero and no covariance with any feature is what makes a fit the least-squares one.
+    """
+    train, _ = M.hash_split(lin(spark, d))
+    return r6(M.normal_equations(train, M.least_squares(train, FS12, _LABELS)))
+
+
+@register("linear_fit_single", W(T_, L_, body=" UNION ALL ".join(f"""
+SELECT '{y}' AS label, '{x}' AS feature, count(*) AS rows, round(regr_r2({y}, {x}), 6) AS r2,
+  round(regr_slope({y}, {x}) * stddev_pop({x}) / stddev_pop({y}), 6) AS slope,
+  round((regr_intercept({y}, {x}) - avg({y})) / stddev_pop({y}), 6) AS offset
+FROM lin WHERE NOT ({_TEST_SIDE})""" for y in _LABELS for x in FS12)))
+def q_linear_fit_single(spark, d):
+    """M5 with one feature at a time, slope and intercept in units of the columns' spreads; one pass for all."""
+    train, _ = M.hash_split(lin(spark, d))
+    m = M.moments(train, {c: F.col(c) for c in [*FS12, *_LABELS]})
+    rows = []
+    for x in FS12 if m else ():
+        for y in _LABELS:
+            (i, j), fit = m.of([x, y]), M.solve(m, [x], y)
+            sx, sy = m.cov[i, i] ** 0.5, m.cov[j, j] ** 0.5
+            rows.append((y, x, m.n, fit.r2, float(fit.coefficients[0] * sx / sy), float((fit.intercept - m.mean[j]) / sy)))
+    return r6(spark.createDataFrame(rows, "label string, feature string, rows long, r2 double, slope double, offset double"))
 
 
 @register("model_comparison", W(T_, L_, _PRED_SQL, _CANDIDATES_SQL, f"long AS ({_long('q', 'task, model')})", body="""

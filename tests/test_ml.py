@@ -1,5 +1,6 @@
 """Metric aggregates agree with the pyspark.ml evaluators; fitted models within bounds."""
 
+import numpy as np
 import pytest
 from pyspark.ml.evaluation import (
     BinaryClassificationEvaluator, MulticlassClassificationEvaluator, RegressionEvaluator,
@@ -107,3 +108,61 @@ def test_class_metrics_read_their_input_once(spark):
     pred = spark.range(10).selectExpr("CAST(id % 3 AS double) AS l", "CAST(id % 2 AS double) AS prediction")
     plan = M.classification_metrics(pred, "l")._jdf.queryExecution().optimizedPlan().toString()
     assert plan.count("Range (") == 1
+
+
+def _plain_fit(rows, k):
+    x = np.array([[1.0, *r[:k]] for r in rows])
+    return np.linalg.lstsq(x, np.array([r[k:] for r in rows]), rcond=None)[0]
+
+
+def test_least_squares_is_exact(spark):
+    rnd = np.random.default_rng(3)
+    x = rnd.normal(size=(500, 3)) * [1, 1e4, 1e-3] + [5, 1e6, 0]
+    y = np.stack([x @ [2.0, -0.5, 30.0] + 7 + rnd.normal(size=500), rnd.normal(size=500)], axis=1)
+    rows = [tuple(map(float, r)) for r in np.hstack([x, y])]
+    want = _plain_fit(rows, 3)
+    for parts in (1, 9):
+        df = spark.createDataFrame(rows, "a double, b double, c double, y double, z double").repartition(parts)
+        fits = M.least_squares(df, ["a", "b", "c"], ["y", "z"])
+        for i, label in enumerate(("y", "z")):
+            got = [fits[label].intercept, *fits[label].coefficients]
+            assert np.allclose(got, want[:, i], rtol=1e-6, atol=1e-9) and fits[label].rank == 3
+        got = M.normal_equations(df, fits).collect()
+        assert len(got) == 8 and all(abs(r.correlation) < 1e-9 and r.rows == 500 for r in got)
+
+
+def test_dependent_and_constant_columns(spark):
+    rnd = np.random.default_rng(4)
+    a = rnd.normal(size=300)
+    rows = [(float(v), float(2 * v + 1), 4.0, float(3 * v + rnd.normal())) for v in a]
+    df = spark.createDataFrame(rows, "a double, twice double, fixed double, y double")
+    fit = M.least_squares(df, ["a", "twice", "fixed"], ["y"])["y"]
+    alone = M.least_squares(df, ["a"], ["y"])["y"]
+    assert fit.rank == 1 and fit.coefficients[2] == 0
+    assert abs(fit.coefficients[0] - 2 * fit.coefficients[1]) < 1e-8  # equal shares of the standardised columns
+    got = df.select(F.max(F.abs(fit.predict() - alone.predict()))).first()[0]
+    assert got < 1e-8 and abs(fit.r2 - alone.r2) < 1e-9
+
+
+def test_least_squares_edges(spark):
+    df = spark.createDataFrame([(1.0, 1.0), (None, 2.0), (2.0, float("nan")), (3.0, 5.0), (float("inf"), 1.0)], "a double, y double")
+    fit = M.least_squares(df, ["a"], ["y"])["y"]
+    assert fit.n == 2 and abs(fit.coefficients[0] - 2) < 1e-12 and abs(fit.intercept + 1) < 1e-12
+    assert M.least_squares(df.limit(0), ["a"], ["y"]) == {}
+    flat = M.least_squares(df.withColumn("y", F.lit(2.0)), ["a"], ["y"])["y"]
+    assert flat.coefficients == (0.0,) and flat.intercept == 2.0
+
+
+def test_all_linear_keys_at_more_rows(spark):
+    """The fits hold beyond the smallest tables too."""
+    import duckdb
+
+    import __spark_entry__ as E
+    from tests._compare import assert_same
+
+    folder = "/root/testdata/sf0.01"
+    con = duckdb.connect()
+    for t in ("customer", "orders", "lineitem"):
+        con.execute(f"CREATE VIEW {t} AS SELECT * FROM '{folder}/{t}.parquet'")
+    for key in ("linear_fit_check", "linear_fit_single"):
+        assert_same(E.queries()[key](spark, folder).toPandas(), con.execute(E.oracle_sql()[key]).df())
