@@ -28,8 +28,8 @@ def _gid(i: int) -> int:
     return (1 << n) - 1 - (1 << (n - 1 - i))
 
 
-def composite_rollup(derived: DataFrame) -> DataFrame:
-    """(dimension, key, 11 metrics) for every non-blank key and overall."""
+def rollup_sums(derived: DataFrame) -> DataFrame:
+    """C1's mergeable form: (dimension, key, sums and counts) for every non-blank key and overall."""
     keys = [k for _, k in DIMENSIONS]
     sets = [[k] for k in keys] + [[]]
     g = derived.groupingSets(sets, *keys).agg(
@@ -49,9 +49,23 @@ def composite_rollup(derived: DataFrame) -> DataFrame:
     for i, (name, col) in reversed(list(enumerate(DIMENSIONS))):
         dim = F.when(F.col("gid") == _gid(i), F.lit(name)).otherwise(dim)
         key = F.when(F.col("gid") == _gid(i), F.col(col)).otherwise(key)
+    out = g.select(dim.alias("dimension"), key.alias("key"), *[c for c in g.columns if c not in (*keys, "gid")])
+    # A null key of a non-overall set comes from a blank key: not emitted.
+    return out.filter((F.col("dimension") == "overall") | F.col("key").isNotNull())
+
+
+def merge_sums(a: DataFrame, b: DataFrame) -> DataFrame:
+    """The sums of two disjoint sets of tasks as those of both."""
+    both = a.unionByName(b)
+    return both.groupBy("dimension", "key").agg(
+        *[F.sum(c).alias(c) for c in both.columns if c not in ("dimension", "key")]).select(*both.columns)
+
+
+def finish(sums: DataFrame) -> DataFrame:
+    """The eleven metrics out of sums and counts."""
     n = F.col("count")
-    out = g.select(
-        dim.alias("dimension"), key.alias("key"), n.alias("count"),
+    return sums.select(
+        "dimension", "key", n.alias("count"),
         (F.col("s_cpu") / n).alias("avg_cpu_usage"),
         (F.col("s_max_cpu") / n).alias("avg_max_cpu"),
         (F.col("s_memory") / n).alias("avg_memory"),
@@ -63,8 +77,11 @@ def composite_rollup(derived: DataFrame) -> DataFrame:
         (F.col("failed_tasks") / n * 100).alias("failure_rate"),
         F.col("failed_tasks"),
     )
-    # A null key of a non-overall set comes from a blank key: not emitted.
-    return out.filter((F.col("dimension") == "overall") | F.col("key").isNotNull())
+
+
+def composite_rollup(derived: DataFrame) -> DataFrame:
+    """(dimension, key, 11 metrics) for every non-blank key and overall."""
+    return finish(rollup_sums(derived))
 
 
 def with_result_key(rollup: DataFrame) -> DataFrame:
