@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 
 from heatwise.functions import derive as D
 from heatwise.functions import parse as P
+from heatwise.session import shared_dir
 
 
 def _strict_number(c: str) -> Column:
@@ -272,3 +273,31 @@ def outcome_counts(pred: DataFrame, label: str = "failed", prediction: str = "pr
     """Counts per (label, prediction), keys as text."""
     return pred.groupBy(F.col(label).cast("string").alias(label),
                         F.col(prediction).cast("string").alias(prediction)).agg(F.count(F.lit(1)).alias("count"))
+
+
+def top_keys(df: DataFrame, key: str, n: int, buckets: int = 1 << 16) -> DataFrame:
+    """T1-T4 for keys without bound: the n most frequent keys (key, count), ties by key, exact.
+
+    The first pass counts rows by a hash of the key, ``buckets`` sums that merge and are
+    all that is shuffled; a bucket's sum is at least the count of every key in it.  The
+    second counts the keys of the n fullest buckets: at least n keys (or all) have the
+    count of their n-th one, c.  A key with a count of c or more lies in a bucket with a
+    sum of c or more, so the third pass counts the keys of those buckets only, and none of
+    the first n is lost.  The fewer keys stand out, the more buckets are counted; in the
+    end it is the plain aggregate.  A null key is a key.
+    """
+    if n < 1:
+        raise ValueError("n must be positive")
+    k = F.col(f"`{key}`")
+    rows = df.select(k.alias("key"), F.pmod(F.xxhash64(k), F.lit(buckets)).alias("bucket"))
+    shared_dir(df.sparkSession)
+    sums = rows.groupBy("bucket").agg(F.count(F.lit(1)).alias("rows")).checkpoint(eager=True)
+
+    def counted(some: DataFrame) -> DataFrame:
+        keep = rows.join(F.broadcast(some.select("bucket")), "bucket", "left_semi")  # at most ``buckets`` numbers
+        return keep.groupBy("key").agg(F.count(F.lit(1)).alias("count"))
+
+    first = counted(sums.orderBy(F.desc("rows"), "bucket").limit(n)).orderBy(F.desc("count")).limit(n)
+    least = first.agg(F.when(F.count(F.lit(1)) < n, F.lit(0)).otherwise(F.min("count")).alias("c")).first()["c"]
+    found = counted(sums.filter(F.col("rows") >= least))
+    return found.orderBy(F.desc("count"), F.asc("key")).limit(n).select(F.col("key").alias(key), "count")

@@ -90,6 +90,22 @@ _RESULT_KEY = ("CASE dimension WHEN 'overall' THEN 'overall' WHEN 'machine' THEN
                "ELSE 'priority_' || key END")
 
 
+@register("results_object_roundtrip", W(T_, D_, P_, C_, U_, body=f"""
+SELECT {_RESULT_KEY} AS result_key, count, avg_cpu_usage, avg_max_cpu, avg_memory, avg_memory_usage,
+  avg_heat_generation, total_energy_consumption, avg_duration, total_heat, failure_rate, failed_tasks,
+  (SELECT count(*) FROM dirty) AS row_count, '{_HEADERS}' AS headers
+FROM rollup"""))
+def q_results_object_roundtrip(spark, d):
+    """The results document as one JSON object, read back in pieces, with its envelope."""
+    raw = dirty(spark, d)
+    entries = U.with_result_key(U.composite_rollup(C.with_composite(C.parse_composite(raw))))
+    path = scratch_path(spark, "results-object")
+    K.write_results_object(entries, raw.select(F.count(F.lit(1))).scalar(), list(raw.columns), path)
+    meta, back = S.read_results_object(spark, path)
+    return r6(back.withColumns({"row_count": meta.select("row_count").scalar(),
+                                "headers": meta.select(F.array_join("headers", ",")).scalar()}))
+
+
 @register("results_json_roundtrip", W(T_, D_, P_, C_, U_, body=f"""
 SELECT {_RESULT_KEY} AS result_key, count, avg_cpu_usage, avg_max_cpu, avg_memory, avg_memory_usage,
   avg_heat_generation, total_energy_consumption, avg_duration, total_heat, failure_rate, failed_tasks
@@ -196,6 +212,13 @@ def q_label_balance(spark, d):
     return R.label_balance(R.top_machine_tasks(lin(spark, d), 10), "machine_id")
 
 
+@register("top_keys_heavy", W(T_, L_, body="""
+SELECT * FROM (SELECT user_id, count(*) AS count FROM lin GROUP BY user_id ORDER BY count DESC, user_id LIMIT 25)"""))
+def q_top_keys_heavy(spark, d):
+    """T4 for a key without bound: the 25 users with most tasks, over hash buckets."""
+    return R.top_keys(lin(spark, d), "user_id", 25, buckets=1 << 10)
+
+
 def rule_class_prediction():
     """A fixed rule standing in for a fitted class model (SQL-checkable)."""
     return F.pmod(F.floor("cycles_per_instruction"), F.lit(5)).cast("double")
@@ -248,16 +271,51 @@ def q_memory_histogram(spark, d):
 
 _FIRST20 = ("m AS (SELECT machine_id, sum(eff_cpu) / count(*) AS x FROM comp GROUP BY machine_id "
             "ORDER BY machine_id LIMIT 20)")
+_BOX_SQL = ", ".join(f"round(quantile_cont({{x}}, {q}), 6) AS {n}" for q, n in zip(V.QUARTILES, V.BOX))
+
+
+def _machine_box(spark, d, machines: int | None):
+    """Box statistics of per-machine CPU over the first ``machines`` machines by id as text, or all."""
+    per_machine = rollup(spark, d).filter(F.col("dimension") == "machine")
+    if machines is not None:
+        per_machine = per_machine.orderBy("key").limit(machines)
+    return r6(V.group_box_stats(per_machine.withColumn("all", F.lit(1)), "avg_cpu_usage", ["all"]).drop("all", "n"))
 
 
-@register("cpu_box_stats", W(T_, D_, P_, C_, _FIRST20, body="""
-SELECT round(quantile_cont(x, 0.0), 6) AS min, round(quantile_cont(x, 0.25), 6) AS q1,
-  round(quantile_cont(x, 0.5), 6) AS median, round(quantile_cont(x, 0.75), 6) AS q3,
-  round(quantile_cont(x, 1.0), 6) AS max FROM m"""))
+@register("cpu_box_stats", W(T_, D_, P_, C_, _FIRST20, body=f"SELECT {_BOX_SQL.format(x='x')} FROM m"))
 def q_cpu_box_stats(spark, d):
-    """V2: box statistics of per-machine CPU over the first 20 machines (by id as text)."""
-    machines = rollup(spark, d).filter(F.col("dimension") == "machine").orderBy("key").limit(20)
-    return r6(V.box_stats(machines, "avg_cpu_usage"))
+    """V2: box statistics of per-machine CPU over the first 20 machines, the chart's own choice."""
+    return _machine_box(spark, d, 20)
+
+
+@register("cpu_box_stats_all", W(T_, D_, P_, C_, _FIRST20.replace("ORDER BY machine_id LIMIT 20", ""),
+                                 body=f"SELECT {_BOX_SQL.format(x='x')} FROM m"))
+def q_cpu_box_stats_all(spark, d):
+    """V2 over all machines."""
+    return _machine_box(spark, d, None)
+
+
+@register("machine_cpu_box", W(T_, L_, body=f"""
+SELECT machine_id, count(cpu_usage_distribution) AS n, {_BOX_SQL.format(x='cpu_usage_distribution')} FROM lin GROUP BY machine_id"""))
+def q_machine_cpu_box(spark, d):
+    """V2 per machine: exact box statistics of its tasks' CPU, by distributed rank selection."""
+    return r6(V.group_box_stats(lin(spark, d), "cpu_usage_distribution", ["machine_id"]))
+
+
+@register("machine_cpu_box_sketch", W(T_, L_, body=f"""
+SELECT machine_id, quartile, n, true AS within FROM (SELECT machine_id, count(cpu_usage_distribution) AS n FROM lin GROUP BY machine_id),
+  (SELECT unnest({V.BOX}) AS quartile)"""))
+def q_machine_cpu_box_sketch(spark, d):
+    """V2 from merged sketches, one per machine and class: every answer's rank is within 1 % of the one asked for."""
+    parts = V.box_sketches(lin(spark, d), "cpu_usage_distribution", ["machine_id", "scheduling_class"])
+    box = V.box_of_sketches(V.merge_box_sketches(parts, ["machine_id"]), ["machine_id"])
+    asked = box.select("machine_id", "n", F.explode(F.array(*[
+        F.struct(F.lit(n).alias("quartile"), F.lit(q).alias("q"), F.col(n).alias("x")) for q, n in zip(V.QUARTILES, V.BOX)])).alias("a"))
+    ranks = lin(spark, d).join(asked.select("machine_id", "n", "a.*"), "machine_id").groupBy("machine_id", "quartile", "n", "q").agg(
+        F.avg((F.col("cpu_usage_distribution") < F.col("x")).cast("int")).alias("below"),
+        F.avg((F.col("cpu_usage_distribution") <= F.col("x")).cast("int")).alias("upto"))
+    slack = F.lit(0.01) + 1 / F.col("n")
+    return ranks.select("machine_id", "quartile", "n", F.col("q").between(F.col("below") - slack, F.col("upto") + slack).alias("within"))
 
 
 @register("task_share", W(T_, D_, P_, C_, U_, body="""

@@ -92,6 +92,33 @@ def write_results(rollup_entries: DataFrame, row_count: int | Column, headers: l
     meta.coalesce(1).write.mode("overwrite").json(f"{path}/meta")
 
 
+def write_results_object(rollup_entries: DataFrame, row_count: int | Column, headers: list[str], path: str) -> None:
+    """K5: the results document as one JSON object, in text parts that follow each other.
+
+    The parts together are the object: the envelope and the first entry, every further
+    entry on a line that begins with a comma, the closing braces.  Entries are ordered by
+    key over the parts, so no task writes more than its range.
+    """
+    metric_cols = [c for c in rollup_entries.columns if c not in ("result_key", "dimension", "key")]
+    entry = F.concat(F.to_json(F.array("result_key")), F.lit(": "), F.to_json(F.struct(*metric_cols)))
+    entry = F.regexp_replace(entry, r'^\[(.*?)\]: ', "$1: ")
+    entries = rollup_entries.select(F.col("result_key").alias("key"), entry.alias("entry"))
+    first = entries.orderBy("key").limit(1)
+    spark = rollup_entries.sparkSession
+    envelope = spark.range(1).select(F.to_json(F.struct(
+        F.lit(datetime.now(timezone.utc).isoformat()).alias("timestamp"),
+        (row_count if isinstance(row_count, Column) else F.lit(row_count)).cast("bigint").alias("row_count"),
+        F.array(*[F.lit(h) for h in headers]).alias("headers"))).alias("j"))
+    opening = envelope.select(F.lit(0).alias("at"), F.lit("").alias("key"), F.concat(
+        F.expr("substring(j, 1, length(j) - 1)"), F.lit(', "analysis_results": {')).alias("value"))
+    least = first.select("key").scalar()
+    lines = entries.select(F.lit(1).alias("at"), "key", F.when(F.col("key") == least, F.col("entry"))
+                           .otherwise(F.concat(F.lit(", "), "entry")).alias("value"))
+    closing = spark.range(1).select(F.lit(2).alias("at"), F.lit("").alias("key"), F.lit("}}").alias("value"))
+    (opening.unionByName(lines).unionByName(closing).repartitionByRange("at", "key").sortWithinPartitions("at", "key")
+     .select("value").write.mode("overwrite").text(path))
+
+
 def write_heat_log(measured: DataFrame, path: str, mode: str = "errorifexists") -> None:
     """K6: the measured-heat samples (W2) as a header CSV directory, one part per task."""
     measured.write.mode(mode).option("header", True).csv(path)

@@ -96,6 +96,36 @@ def read_results(spark: SparkSession, path: str) -> tuple[DataFrame, DataFrame]:
     return meta, entries
 
 
+_ENTRY = r'"((?:[^"\\]|\\.)*)"\s*:\s*\{([^{}]*)$'
+
+
+def read_results_object(spark: SparkSession, path: str) -> tuple[DataFrame, DataFrame]:
+    """A results document that is one JSON object, ``{…, "analysis_results": {key: {…}, …}}``.
+
+    Returns (meta, entries) like ``read_results``.  The object is never held whole: the text
+    is read as records that end with ``}``, which Spark splits by byte ranges like lines,
+    so an object of a million keys is read by many tasks.  A record holds one entry, since
+    an entry is flat; what stands before the first or after the last one is the envelope,
+    in any order.  Numbers that don't fit and absent metrics are null.  Keys and headers
+    must not hold braces.
+    """
+    pieces = spark.read.option("lineSep", "}").text(path).select(F.col("value").alias("piece"))
+    key, body = F.regexp_extract("piece", _ENTRY, 1), F.regexp_extract("piece", _ENTRY, 2)
+    metrics = ENTRY_SCHEMA["metrics"].dataType
+    found = pieces.withColumns({"key": F.from_json(F.concat(F.lit('["'), key, F.lit('"]')), "array<string>")[0], "body": body})
+    is_entry = F.col("piece").rlike(_ENTRY) & ~((F.col("key") == "analysis_results") & (F.trim("body") == ""))
+    entries = (found.filter(is_entry)
+               .select(F.col("key").alias("result_key"), F.from_json(F.concat(F.lit("{"), "body", F.lit("}")), metrics).alias("m"))
+               .select("result_key", "m.*"))
+    # the envelope's fields: before "analysis_results" (its record opens the object) or after its end
+    head = F.regexp_extract("piece", r'(?s)^\s*\{(.*?),?\s*"analysis_results"', 1)
+    tail = F.regexp_extract("piece", r"^\s*,([^{}]*)$", 1)
+    fields = F.when(F.length(F.trim(head)) > 0, head).when(F.length(F.trim(tail)) > 0, tail)
+    some = pieces.select(F.from_json(F.concat(F.lit("{"), F.regexp_replace(fields, r",\s*$", ""), F.lit("}")), META_SCHEMA).alias("e"))
+    meta = some.filter("e IS NOT NULL").agg(*[F.max(f"e.{f.name}").alias(f.name) for f in META_SCHEMA.fields])
+    return meta, entries
+
+
 def read_lines(spark: SparkSession, path: str) -> DataFrame:
     """Text lines of metric files (column ``value``)."""
     return spark.read.text(path)
