@@ -30,6 +30,8 @@ from heatwise.llm.token_count import SPACES, _Vocabulary, byte_letters
 
 # Fixed value: the pattern whose matches are the words.
 WORD = rf"'s|'t|'re|'ve|'m|'ll|'d|[\p{{L}}]+|[\p{{N}}]|[^{SPACES}\p{{L}}\p{{N}}]+"
+# Fixed value: the same pattern as the vocabulary file states it for its engine.
+ENGINE_WORD = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
 _WORD = regex.compile(WORD)
 _SPACES = re.compile(f"[{SPACES}]+")
 # control characters that Python's split takes as white space and the vocabulary's engine doesn't
@@ -51,6 +53,7 @@ class TrieEncoder:
         self.tokens = {i: t for t, i in self.vocab.items()} | {i: t for t, i in self.specials.items()}
         pairs = [tuple(m.split(" ")) if isinstance(m, str) else tuple(m) for m in model["merges"]]
         self.rank = {(self.vocab[a], self.vocab[b]): (r, self.vocab[a + b]) for r, (a, b) in enumerate(pairs)}
+        self._classes = None
         self.letters = byte_letters()
         # symbol of each byte inside a word and at its end
         self.inner = {b: chr(self.vocab[x]) for b, x in self.letters.items()}
@@ -178,9 +181,25 @@ class TrieEncoder:
             if chunk[-1] in ".,;:!?" and chunk[:-1].isalpha():
                 return [chunk[:-1], chunk[-1]]
         else:
+            if any(unicodedata.category(c) == "Cn" for c in chunk):
+                return self._newer_words(chunk)
             chunk = unicodedata.normalize("NFC", chunk).replace("Σ", "σ").lower()
         return _WORD.findall(chunk)
 
+    def _newer_words(self, chunk: str) -> list[str]:
+        """Words of a chunk with code points that Python's tables don't assign.
+
+        The vocabulary's engine follows other versions of the character tables, so what
+        is a letter or digit there, and its lower case, is asked of the engine's own classes.
+        """
+        if self._classes is None:
+            from tokenizers import Regex, normalizers, pre_tokenizers
+
+            self._classes = (normalizers.Sequence([normalizers.NFC(), normalizers.Lowercase()]),
+                             pre_tokenizers.Split(Regex(ENGINE_WORD), behavior="removed", invert=True))
+        plain, split = self._classes
+        return [w for w, _ in split.pre_tokenize_str(plain.normalize_str(chunk))]
+
     def decode(self, ids: Iterable[int]) -> str:
         """Token strings joined by a space: the file names no decoder."""
         return " ".join(self.tokens[i] for i in ids)

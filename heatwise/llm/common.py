@@ -64,10 +64,29 @@ def with_shingle_hashes(df: DataFrame, text: str, size: int = 5) -> DataFrame:
             .withColumn("sh", shingles("words", size, lambda run: F.xxhash64(run))).drop("words"))
 
 
+def named(column: str) -> Column:
+    """A column by its plain name, whatever characters that holds."""
+    return F.col("`" + column.replace("`", "``") + "`")
+
+
+def packed_rows(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """(doc, doc_id, th): all columns of a row as one struct, its id and text hash as in ``keyed_documents``.
+
+    Columns of ``docs`` can't meet a join's own names that way; ``unpacked`` gives them back.
+    """
+    text = F.coalesce(named(text_col).cast("string"), F.lit(""))
+    return docs.select(F.struct(*[named(c).alias(c) for c in docs.columns]).alias("doc"),
+                       named(id_col).cast("long").alias("doc_id"), F.xxhash64(text).alias("th"))
+
+
+def unpacked(rows: DataFrame, columns: list[str]) -> DataFrame:
+    return rows.select(*[F.col("doc").getField(c).alias(c) for c in columns])
+
+
 def keyed_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(doc_id, th, text): the id, a hash of the text that tells rows of one id apart, and the text, null as empty."""
-    text = F.coalesce(docs[text_col].cast("string"), F.lit(""))
-    return docs.select(docs[id_col].cast("long").alias("doc_id"), F.xxhash64(text).alias("th"), text.alias("text"))
+    text = F.coalesce(named(text_col).cast("string"), F.lit(""))
+    return docs.select(named(id_col).cast("long").alias("doc_id"), F.xxhash64(text).alias("th"), text.alias("text"))
 
 
 def text_slices(batch: pa.RecordBatch, column: int, rows: int = 2048, size: int = 8 << 20) -> Iterator[pa.RecordBatch]:

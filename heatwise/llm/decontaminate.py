@@ -20,7 +20,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from heatwise.llm.common import (broadcast_checked, keyed_documents, land, plain_words, shingles,
+from heatwise.llm.common import (broadcast_checked, keyed_documents, land, packed_rows, plain_words, shingles, unpacked,
                                  with_shingle_hashes)
 
 
@@ -91,10 +91,11 @@ def drop_leaky(docs: DataFrame, items: DataFrame, threshold: float = 0.8, size:
     leaking one of the same id, and null ids, which name no document, don't fall together.
     """
     found = _leaks(docs, items, threshold, size, id_col, text_col)
-    same_id = docs[id_col].cast("long").eqNullSafe(F.col("_leaky"))
+    rows = packed_rows(docs, id_col, text_col)
     if per_row:
-        leaky = land(found.select(F.col("doc_id").alias("_leaky"), F.col("th").alias("_leaky_text")).distinct(), "leaky-rows")
-        th = F.xxhash64(F.coalesce(docs[text_col].cast("string"), F.lit("")))
-        return docs.join(broadcast_checked(leaky), same_id & (th == F.col("_leaky_text")), "left_anti")
-    leaky = land(found.select(F.col("doc_id").alias("_leaky")).distinct(), "leaky-documents")
-    return docs.join(broadcast_checked(leaky), same_id, "left_anti")
+        leaky = land(found.select(F.col("doc_id").alias("d"), F.col("th").alias("t")).distinct(), "leaky-rows")
+        same = F.col("doc_id").eqNullSafe(F.col("d")) & (F.col("th") == F.col("t"))
+    else:
+        leaky = land(found.select(F.col("doc_id").alias("d")).distinct(), "leaky-documents")
+        same = F.col("doc_id").eqNullSafe(F.col("d"))
+    return unpacked(rows.join(broadcast_checked(leaky), same, "left_anti"), docs.columns)

@@ -35,6 +35,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from heatwise.llm.common import broadcast_checked, land
+from heatwise.llm.html_scan import Elements, Tags
 
 COPY_SHARE = 0.8
 BODY, OPEN, CHROME = 2, 1, 0
@@ -72,9 +73,7 @@ _CONTAINERS = _BLOCKS - _HEADINGS - {"p", "li", "dt", "dd", "pre", "hr", "tr", "
 _DOUBT = {"?": LIKELY, "*": UNLIKELY}  # first letter of a landmark's name
 _NEGATED = ("no", "without", "with", "has", "non", "is")
 
-_TAG = re.compile(r"<!--|<[!?][^>]*>|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']++|\"[^\"]*\"|'[^']*')*+)>"
-                  r"|<(/?)([a-zA-Z][^\s/>]*)([^>]*)>")
-_ATTRIBUTE = re.compile(r"([a-zA-Z_:-]+)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+))")
+_ATTRIBUTE = re.compile(r"(?<![a-zA-Z_:-])([a-zA-Z_:-]++)\s*+=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+))")
 _URL = re.compile(r"^(?:[a-zA-Z][a-zA-Z0-9+.-]*:)?(?://)?([^/?#]*)([^?#]*)")
 
 
@@ -170,31 +169,31 @@ def _lines(source: str, around: frozenset[str]) -> tuple[list[Line], set[str]]:
     lines: list[Line] = []
     forms, holding = 0, set()
     text: list[str] = []
-    stack: list[tuple[str, int, str, bool]] = []  # element, scope, landmark, inside the header of an article
+    stack = Elements(_BLOCKS, BODY)
     scope, mark, heading_only = OPEN, "", False
+    tags = Tags(source)
 
     def end_line() -> None:
         if text:
             joined = " ".join(html.unescape("".join(text)).split())
             text.clear()
             if joined:
-                hidden = heading_only and not (stack and stack[-1][0] in _HEADINGS)
+                hidden = heading_only and not (stack and stack.top[0] in _HEADINGS)
                 lines.append(Line(joined, CHROME if hidden else scope, "header" if hidden else mark))
 
+    def state() -> tuple[int, str, bool]:
+        return stack.top[1:4] if stack else (OPEN, "", False)
+
     at = 0
     while True:
-        m = _TAG.search(source, at)
-        if m is None:
+        found = tags.next(at)
+        if found is None:
             text.append(source[at:])
             break
-        if m.start() > at:
-            text.append(source[at:m.start()])
-        at = m.end()
-        if m[0] == "<!--":
-            close = source.find("-->", at)
-            at = len(source) if close < 0 else close + 3
-            continue
-        closing, tag, attributes = (m[1], m[2], m[3]) if m[2] else (m[4], m[5], m[6])
+        start, end, closing, tag, attributes = found
+        if start > at:
+            text.append(source[at:start])
+        at = end
         if not tag:
             continue
         tag = tag.lower()
@@ -205,25 +204,25 @@ def _lines(source: str, around: frozenset[str]) -> tuple[list[Line], set[str]]:
         if block:
             end_line()
         if closing:
-            depth = next((i for i in range(len(stack) - 1, -1, -1) if stack[i][0] == tag), -1)
+            depth = stack.last(tag)
             if depth >= 0:
-                if not block and any(x[0] in _BLOCKS for x in stack[depth + 1:]):
+                if not block and stack.block_inside(depth):
                     continue  # an inline element doesn't end the blocks inside it
-                if any(x[1] != scope for x in stack[depth:]):
+                if not stack.one_scope(depth):
                     end_line()
-                del stack[depth:]
-                _, scope, mark, heading_only = stack[-1] if stack else ("", OPEN, "", False)
+                stack.cut(depth)
+                scope, mark, heading_only = state()
             continue
         if tag in _SKIPPED:  # what is in it is no text of the page, nor does it end a line
-            close = re.compile(rf"</{re.escape(tag)}(?=[\s/>])[^>]*>?", re.IGNORECASE).search(source, at)
-            if close is not None:
-                at = close.end()
+            close = tags.end_of(tag, at)
+            if close >= 0:
+                at = close
             elif tag in _RAW:
                 at = len(source)
             continue
         if tag in _VOID:
             continue
-        new, landmark = _kind(tag, attributes, any(x[1] == BODY for x in stack))
+        new, landmark = _kind(tag, attributes, stack.in_body)
         if tag == "form":
             forms += 1
             if landmark == "form":
@@ -232,22 +231,22 @@ def _lines(source: str, around: frozenset[str]) -> tuple[list[Line], set[str]]:
                     new, landmark = None, ""
         if tag in ("article", "main") and new == BODY and scope == CHROME:
             # an unclosed landmark doesn't reach into the article
-            while stack and stack[-1][1] == CHROME and stack[-1][0] not in ("aside", "article", "main"):
-                if stack[-1][2].startswith(_FORM):
-                    holding.add(stack[-1][2])
+            while stack and stack.top[1] == CHROME and stack.top[0] not in ("aside", "article", "main"):
+                if stack.top[2].startswith(_FORM):
+                    holding.add(stack.top[2])
                 stack.pop()
-            _, scope, mark, heading_only = stack[-1] if stack else ("", OPEN, "", False)
+            scope, mark, heading_only = state()
         if tag == "p" or tag in _HEADINGS:
-            while stack and (stack[-1][0] == "p" or stack[-1][0] not in _BLOCKS and any(x[0] == "p" for x in stack)):
+            while stack and (stack.top[0] == "p" or stack.top[0] not in _BLOCKS and stack.last("p") >= 0):
                 stack.pop()
-            _, scope, mark, heading_only = stack[-1] if stack else ("", OPEN, "", False)
+            scope, mark, heading_only = state()
         sure = new == CHROME and landmark[:1] not in _DOUBT and mark[:1] in _DOUBT
         if new is not None and (scope != CHROME or sure) and not (scope == BODY and new == BODY):
             end_line()
             scope, mark = new, landmark
         elif landmark == "header" and new is None and scope == BODY:
             heading_only = True
-        stack.append((tag, scope, mark, heading_only))
+        stack.push(tag, scope, mark, heading_only)
     end_line()
     return lines, holding
 
@@ -273,7 +272,8 @@ def common_lines(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     """Which elements of ``a`` are in one longest common subsequence of ``a`` and ``b``.
 
     Common ends and lines of one side are cut away, then rows of the table are bit
-    vectors: n rows of m bits, so two pages of 10,000 lines each take some 12 MB.
+    vectors.  Up to ``LCS_BITS`` the n rows of m bits are kept for the walk back; a larger
+    table is halved (Hirschberg), which keeps two rows at a time for twice the work.
     """
     out = np.zeros(len(a), dtype=bool)
     lo, ha, hb = 0, len(a), len(b)
@@ -288,15 +288,55 @@ def common_lines(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     left = a[ia].tolist()
     if not left:
         return out
-    places: dict[int, int] = {}
+    out[ia[_common(left, right)]] = True
+    return out
+
+
+LCS_BITS = 1 << 28
+
+
+def _rows(left: list[int], right: list[int]) -> Iterator[int]:
+    """The table's rows as bits: bit j of row i is zero where the length grows at column j."""
+    places: dict[int, list[int]] = {}
     for j, x in enumerate(right):
-        places[x] = places.get(x, 0) | 1 << j
+        places.setdefault(x, []).append(j)
+
+    def bits(at: list[int]) -> int:
+        out = bytearray(len(right) // 8 + 1)
+        for j in at:
+            out[j >> 3] |= 1 << (j & 7)
+        return int.from_bytes(out, "little")
+
+    held = {x: bits(at) for x, at in places.items()} if len(places) * len(right) <= LCS_BITS else None
     full = (1 << len(right)) - 1
-    row, rows = full, []
-    for x in left:  # a zero bit is a column where the length grows
-        u = row & places[x]
+    row = full
+    for x in left:
+        u = row & (held[x] if held is not None else bits(places[x])) if x in places else 0
         row = ((row + u) | (row - u)) & full
-        rows.append(row)
+        yield row
+
+
+def _lengths(row: int, columns: int) -> np.ndarray:
+    """Length of the common subsequence with the first j columns, j from 0 on, of a row."""
+    bits = np.unpackbits(np.frombuffer(row.to_bytes(columns // 8 + 1, "little"), np.uint8), bitorder="little")[:columns]
+    return np.concatenate([[0], np.cumsum(1 - bits.astype(np.int64))])
+
+
+def _common(left: list[int], right: list[int]) -> list[int]:
+    """Which elements of ``left`` are in one longest common subsequence."""
+    if not left or not right:
+        return []
+    if len(left) * len(right) > LCS_BITS and len(left) > 1:
+        half = len(left) // 2
+        row = (1 << len(right)) - 1
+        for row in _rows(left[:half], right):
+            pass
+        back = (1 << len(right)) - 1
+        for back in _rows(left[half:][::-1], right[::-1]):
+            pass
+        cut = int(np.argmax(_lengths(row, len(right)) + _lengths(back, len(right))[::-1]))
+        return _common(left[:half], right[:cut]) + [half + i for i in _common(left[half:], right[cut:])]
+    rows, out = list(_rows(left, right)), []
     j = len(right) - 1
     for i in range(len(left) - 1, -1, -1):
         # walk back to the column where this row's length is reached
@@ -305,9 +345,9 @@ def common_lines(a: np.ndarray, b: np.ndarray) -> np.ndarray:
         if j < 0:
             break
         if i == 0 or rows[i - 1] >> j & 1:
-            out[ia[i]] = True
+            out.append(i)
             j -= 1
-    return out
+    return out[::-1]
 
 
 def template_lines(own: tuple, partner: np.ndarray) -> tuple[np.ndarray, bool]:

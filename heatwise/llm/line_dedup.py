@@ -24,11 +24,12 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from heatwise.llm.common import land
+from heatwise.llm.common import land, named
 
 STRIP = b" \t\n\x0b\x0c\r"
 SHARD_KEYS = 1 << 14
 BUCKET_KEYS = 4
+SALT_PROBES = 1 << 20  # probes of repeated lines that one salt of a shard gets, about
 NO_DOC = np.iinfo(np.int64).min  # stands for a null id, below every other id
 
 
@@ -177,13 +178,38 @@ def unpack(arrays: bytes, n: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, n
     return np.frombuffer(arrays[:cut], dtype=np.uint32), rest[:n], rest[n:2 * n], rest[2 * n:]
 
 
-def dropped_lines(docs: DataFrame, arrays: DataFrame, shards: int, min_chars: int, salts: int) -> DataFrame:
+def hot_shards(repeated: DataFrame, shards: int, salts: int, probes: int = SALT_PROBES) -> dict[int, int]:
+    """Salts of the shards whose repeated lines are probed more than ``salts * probes`` times.
+
+    The probes of all lines together bound their number: one hot shard for every ``salts *
+    probes`` lines at most, so the list that reaches the driver and the tasks is short.
+    """
+    load = repeated.groupBy(F.pmod(F.col("high"), F.lit(shards)).cast("int").alias("shard")).agg(F.sum("n_docs").alias("n"))
+    return {r["shard"]: -(-r["n"] // probes) for r in load.where(F.col("n") > salts * probes).collect()}
+
+
+def dropped_lines(docs: DataFrame, arrays: DataFrame, shards: int, min_chars: int, salts: int,
+                  hot: dict[int, int] | None = None) -> DataFrame:
     """(row, line) of every line to drop: documents probe the arrays of their lines' shards.
 
-    Probes and arrays meet under the key ``shard * salts + salt``, arrays first (their
-    line number is -1), and are read as a stream: a task goes through its keys one after
-    the other and holds one shard and one batch.
+    Probes and arrays meet under a key for (shard, salt), arrays first (their line number
+    is -1), and are read as a stream: a task goes through its keys one after the other and
+    holds one shard and one batch.  A shard has ``salts`` salts; one of ``hot`` as many as
+    that says, with keys after all others.
     """
+    hot = hot or {}
+    hot_ids = np.array(sorted(hot), dtype=np.int64)
+    hot_salts = np.array([hot[h] for h in sorted(hot)], dtype=np.int64)
+    hot_first = shards * salts + np.cumsum(hot_salts) - hot_salts
+
+    def part_of(shard: np.ndarray, row: np.ndarray) -> np.ndarray:
+        part = shard * salts + (row % np.uint64(salts)).astype(np.int64)
+        if len(hot_ids):
+            at = np.minimum(np.searchsorted(hot_ids, shard), len(hot_ids) - 1)
+            own = hot_first[at] + (row % hot_salts[at].astype(np.uint64)).astype(np.int64)
+            part = np.where(hot_ids[at] == shard, own, part)
+        return part
+
     def probes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             all_rows, all_ids = batch.column(1).to_numpy(), batch.column(0).fill_null(NO_DOC).to_numpy()
@@ -192,9 +218,8 @@ def dropped_lines(docs: DataFrame, arrays: DataFrame, shards: int, min_chars: in
                 sizes = [len(p) for p in per]
                 both = np.frombuffer(b"".join(h for p in per for _, h in p), dtype="<i8").reshape(-1, 2)
                 row = np.repeat(all_rows[at:at + 256], sizes)
-                salt = row.view(np.uint64) % np.uint64(salts)
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array((both[:, 0] % shards * salts + salt.astype(np.int64)).astype(np.int32)),
+                    [pa.array(part_of(both[:, 0] % shards, row.view(np.uint64)).astype(np.int32)),
                      pa.array(np.array([i for p in per for i, _ in p], dtype=np.int32)),
                      pa.array(both[:, 0]), pa.array(both[:, 1]), pa.array(np.repeat(all_ids[at:at + 256], sizes)),
                      pa.array(row)],
@@ -202,8 +227,14 @@ def dropped_lines(docs: DataFrame, arrays: DataFrame, shards: int, min_chars: in
 
     asked = (docs.mapInArrow(probes, "part int, line int, high long, low long, doc_id long, row long")
              .withColumn("arrays", F.lit(None).cast("binary")))
-    held = (arrays.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
-            .select((F.col("shard") * salts + F.col("salt")).cast("int").alias("part"), F.lit(-1).alias("line"),
+    first, many = F.col("shard") * salts, F.lit(salts)
+    if hot:
+        known = docs.sparkSession.createDataFrame(
+            [(int(i), int(f), int(n)) for i, f, n in zip(hot_ids, hot_first, hot_salts)], "shard int, first int, many int")
+        arrays = arrays.join(F.broadcast(known), "shard", "left")
+        first, many = F.coalesce("first", first), F.coalesce("many", many)
+    held = (arrays.withColumn("salt", F.explode(F.sequence(F.lit(0), many - 1)))
+            .select((first + F.col("salt")).cast("int").alias("part"), F.lit(-1).alias("line"),
                     F.col("n").alias("high"), F.col("seed").alias("low"), F.lit(0).cast("long").alias("doc_id"),
                     F.lit(0).cast("long").alias("row"), "arrays"))
 
@@ -238,17 +269,19 @@ def dedup_lines(docs: DataFrame, min_chars: int = 20, min_docs: int = 3, salts:
     Null or empty text is one empty line (kept text empty); each repeated row counts as
     a document of its own, and those with the largest id all keep the line; a null id is
     below every other; all other columns are passed through, but for columns that have
-    the names of the two counts, which are replaced.
+    the names of the two counts, in any case of letters, which are replaced.
     """
-    text = F.coalesce(F.col(text_col).cast("string"), F.lit(""))
-    doc_id = F.col(id_col).cast("long")
+    text = F.coalesce(named(text_col).cast("string"), F.lit(""))
+    doc_id = named(id_col).cast("long")
+    counts = ("n_lines", "n_dropped")
     slim = docs.select(doc_id.alias("doc_id"), F.xxhash64(doc_id, text).alias("row"), text.cast("binary").alias("text"))
     repeated = land(repeated_lines(slim.select("doc_id", "text"), min_chars, min_docs), "repeated-lines")
     shards = max(1, -(-repeated.count() // SHARD_KEYS))
     arrays = land(build_shards(repeated, shards), "line-arrays")
-    drops = dropped_lines(slim, arrays, shards, min_chars, salts).groupBy("row").agg(F.collect_set("line").alias("gone"))
-    others = [c for c in docs.columns if c not in (text_col, "n_lines", "n_dropped")]
-    here = docs.select(F.struct(*[docs[c] for c in others]).alias("doc"), text.alias("text"),
+    hot = hot_shards(repeated, shards, salts)
+    drops = dropped_lines(slim, arrays, shards, min_chars, salts, hot).groupBy("row").agg(F.collect_set("line").alias("gone"))
+    others = [c for c in docs.columns if c != text_col and c.lower() not in counts]
+    here = docs.select(F.struct(*[named(c).alias(c) for c in others]).alias("doc"), text.alias("text"),
                        F.xxhash64(doc_id, text).alias("row"))
     joined = here.join(drops, "row", "left").select("doc", "text", "gone")
 
@@ -272,8 +305,8 @@ def dedup_lines(docs: DataFrame, min_chars: int = 20, min_docs: int = 3, salts:
     schema = T.StructType([joined.schema["doc"], T.StructField("text", T.StringType()),
                            T.StructField("n_lines", T.LongType()), T.StructField("n_dropped", T.LongType())])
     out = joined.mapInArrow(keep, schema)
-    return out.select(*[F.col("text").alias(c) if c == text_col else F.col("doc")[c].alias(c)
-                        for c in docs.columns if c not in ("n_lines", "n_dropped")], "n_lines", "n_dropped")
+    return out.select(*[F.col("text").alias(c) if c == text_col else F.col("doc").getField(c).alias(c)
+                        for c in docs.columns if c == text_col or c.lower() not in counts], *counts)
 
 
 def digest(kept: DataFrame) -> DataFrame:

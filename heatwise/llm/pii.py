@@ -21,7 +21,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from heatwise.llm.common import broadcast_checked, keyed_documents, land
+from heatwise.llm.common import broadcast_checked, keyed_documents, land, packed_rows
 
 # The kinds in the order in which they are listed, and their patterns.  The
 # look-behinds and possessive loops match what the plain patterns match, in linear time:
@@ -220,21 +220,30 @@ def sanitise(docs: DataFrame, rule: Disclosure = Disclosure(), id_col: str = "do
     Of findings that overlap, the one that starts first (then the first listed) is
     replaced.  Null text stays null; other columns are as they are.
     """
-    text = F.coalesce(docs[text_col].cast("string"), F.lit(""))
     found = find_pii(docs, rule, id_col, text_col).where(F.size("found") > 0).dropDuplicates(["doc_id", "th"])
-    found = found.select(F.col("doc_id").alias("_d"), F.col("th").alias("_t"), F.col("found").alias("_found"))
-    joined = docs.join(found, docs[id_col].cast("long").eqNullSafe(F.col("_d")) & (F.xxhash64(text) == F.col("_t")), "left")
-    source = F.col(text_col).cast("string")
-    start = F.struct(F.lit("").alias("done"), F.lit(0).cast("long").alias("at"))
-
-    def step(acc, s):
-        put = F.when(s["kind"] == "general", F.concat(F.substr(source, s["start"].cast("int") + 1, F.lit(rule.stem)), F.lit("*"))
-                     ).otherwise(F.concat(F.lit("["), F.upper(s["kind"]), F.lit("]")))
-        new = F.struct(F.concat(acc["done"], F.substr(source, acc["at"].cast("int") + 1, (s["start"] - acc["at"]).cast("int")),
-                                put).alias("done"), s["end"].cast("long").alias("at"))
-        return F.when(s["start"] >= acc["at"], new).otherwise(acc)
-
-    clean = F.aggregate("_found", start, step,
-                        lambda acc: F.concat(acc["done"], F.substr(source, acc["at"].cast("int") + 1)))
-    return joined.select(*[F.when(F.col("_found").isNull(), docs[c]).otherwise(clean).alias(c) if c == text_col
-                           else docs[c] for c in docs.columns])
+    found = found.select(F.col("doc_id").alias("d"), F.col("th").alias("t"), "found")
+    joined = packed_rows(docs, id_col, text_col).join(
+        found, F.col("doc_id").eqNullSafe(F.col("d")) & (F.col("th") == F.col("t")), "left")
+    source = F.col("doc").getField(text_col).cast("string")
+
+    def cut(start, end):
+        return F.substr(source, start.cast("int") + 1, (end - start).cast("int"))
+
+    # the findings that are replaced, then the text between them and what stands for each, as one list
+    none = F.array().cast("array<struct<kind: string, start: bigint, end: bigint>>")
+    taken = F.aggregate("found", none, lambda acc, s: F.when(
+        (F.size(acc) == 0) | (s["start"] >= F.element_at(acc, -1)["end"]),
+        F.concat(acc, F.array(F.struct(s["kind"].alias("kind"), s["start"].cast("long").alias("start"), s["end"].cast("long").alias("end"))))
+    ).otherwise(acc))
+    joined = joined.withColumn("taken", taken)
+
+    def put(s, i):
+        before = F.when(i == 0, F.lit(0).cast("long")).otherwise(F.get("taken", i - 1)["end"])
+        shown = F.when(s["kind"] == "general", F.concat(F.substr(source, s["start"].cast("int") + 1, F.lit(rule.stem)), F.lit("*"))
+                       ).otherwise(F.concat(F.lit("["), F.upper(s["kind"]), F.lit("]")))
+        return F.concat(cut(before, s["start"]), shown)
+
+    rest = F.substr(source, F.element_at("taken", -1)["end"].cast("int") + 1)
+    clean = F.concat(F.array_join(F.transform("taken", put), ""), rest)
+    return joined.select(*[F.when(F.col("found").isNull(), F.col("doc").getField(c)).otherwise(clean).alias(c) if c == text_col
+                           else F.col("doc").getField(c).alias(c) for c in docs.columns])

@@ -19,6 +19,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from heatwise.llm.common import named
+
 _SPACE, _SYMBOLS, _MARKS = b" \t\n\x0b\x0c\r", b"#*$%&|<>", b".,!?;:"
 _UPPER, _LOWER, _DIGITS = bytes(range(65, 91)), bytes(range(97, 123)), bytes(range(48, 58))
 _HIGH = bytes(range(128, 256))  # of code points beyond ASCII; counted as letters
@@ -269,7 +271,7 @@ def keep_good(docs: DataFrame, forest: Forest | None, threshold: float = 0.5, id
                                               batch.column(1).filter(pa.array(kept))], names=["row", "text"])
 
     others = [c for c in docs.columns if c != text_col]
-    packed = docs.select(F.struct(*[docs[c] for c in others]).alias("row"), docs[text_col].cast("string").alias("text"))
+    packed = docs.select(F.struct(*[named(c).alias(c) for c in others]).alias("row"), named(text_col).cast("string").alias("text"))
     schema = T.StructType([packed.schema["row"], T.StructField("text", T.StringType())])
     out = packed.mapInArrow(run, schema)
-    return out.select(*[F.col("text").alias(c) if c == text_col else F.col("row")[c].alias(c) for c in docs.columns])
+    return out.select(*[F.col("text").alias(c) if c == text_col else F.col("row").getField(c).alias(c) for c in docs.columns])

@@ -24,7 +24,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from heatwise.llm.common import keyed_documents, land
+from heatwise.llm.common import keyed_documents, land, packed_rows, unpacked
 
 SEED = 42
 MAX_DISTANCE = 3
@@ -236,14 +236,13 @@ def keep_one(docs: DataFrame, shingle: int = 3, id_col: str = "doc_id", text_col
     order = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "th")
     first = fps.groupBy("fp").agg(F.min(order).alias("first"))
     first = land(first.join(of, "fp").groupBy("grp").agg(F.min("first").alias("first")).select(
-        F.col("first.doc_id").alias("_d"), F.col("first.th").alias("_t")), "group-heads")
-    doc_id, th = docs[id_col].cast("long"), F.xxhash64(F.coalesce(docs[text_col].cast("string"), F.lit("")))
-    kept = docs.join(first, doc_id.eqNullSafe(F.col("_d")) & (th == F.col("_t")), "left_semi")
+        F.col("first.doc_id").alias("d"), F.col("first.th").alias("t")), "group-heads")
+    same = F.col("doc_id").eqNullSafe(F.col("d")) & (F.col("th") == F.col("t"))
+    kept = packed_rows(docs, id_col, text_col).join(first, same, "left_semi")
     # rows that repeat id and text: only these are compared again
     again = land(fps.groupBy("doc_id", "th").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select(
-        F.col("doc_id").alias("_d"), F.col("th").alias("_t")), "repeated-rows")
+        F.col("doc_id").alias("d"), F.col("th").alias("t")), "repeated-rows")
     if again.isEmpty():
-        return kept
-    repeats = doc_id.eqNullSafe(F.col("_d")) & (th == F.col("_t"))
-    single, several = kept.join(again, repeats, "left_anti"), kept.join(again, repeats, "left_semi")
-    return single.unionByName(several.withColumns({"_d": doc_id, "_t": th}).dropDuplicates(["_d", "_t"]).drop("_d", "_t"))
+        return unpacked(kept, docs.columns)
+    single, several = kept.join(again, same, "left_anti"), kept.join(again, same, "left_semi")
+    return unpacked(single.unionByName(several.dropDuplicates(["doc_id", "th"])), docs.columns)
