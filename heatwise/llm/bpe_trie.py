@@ -13,10 +13,12 @@ encoded words.
 
 from __future__ import annotations
 
+import functools
 import hashlib
 import json
 import re
 import struct
+import sys
 import unicodedata
 from collections.abc import Iterable, Iterator
 
@@ -41,6 +43,16 @@ CACHE_WORDS = 200_000
 SCHEMA = "doc_id long, n_tokens long, ids array<int>, ids_sha256 string, decoded_sha256 string, decoded string"
 
 
+@functools.cache
+def unassigned() -> re.Pattern[str]:
+    """A pattern for one code point that Python's character tables don't assign."""
+    category = unicodedata.category
+    none = [c for c in range(sys.maxunicode + 1) if category(chr(c)) == "Cn"]
+    first = [c for k, c in enumerate(none) if not k or none[k - 1] != c - 1]
+    last = [c for k, c in enumerate(none) if k + 1 == len(none) or none[k + 1] != c + 1]
+    return re.compile("[" + "".join(f"\\U{a:08x}-\\U{b:08x}" for a, b in zip(first, last)) + "]")
+
+
 class TrieEncoder:
     """Encoder over a vocabulary with ranked merges and an end-of-word suffix."""
 
@@ -53,7 +65,7 @@ class TrieEncoder:
         self.tokens = {i: t for t, i in self.vocab.items()} | {i: t for t, i in self.specials.items()}
         pairs = [tuple(m.split(" ")) if isinstance(m, str) else tuple(m) for m in model["merges"]]
         self.rank = {(self.vocab[a], self.vocab[b]): (r, self.vocab[a + b]) for r, (a, b) in enumerate(pairs)}
-        self._classes = None
+        self._classes, self._unassigned = None, unassigned()
         self.letters = byte_letters()
         # symbol of each byte inside a word and at its end
         self.inner = {b: chr(self.vocab[x]) for b, x in self.letters.items()}
@@ -181,7 +193,7 @@ class TrieEncoder:
             if chunk[-1] in ".,;:!?" and chunk[:-1].isalpha():
                 return [chunk[:-1], chunk[-1]]
         else:
-            if any(unicodedata.category(c) == "Cn" for c in chunk):
+            if self._unassigned.search(chunk):
                 return self._newer_words(chunk)
             chunk = unicodedata.normalize("NFC", chunk).replace("Σ", "σ").lower()
         return _WORD.findall(chunk)
