@@ -56,7 +56,7 @@ def unassigned() -> re.Pattern[str]:
 class TrieEncoder:
     """Encoder over a vocabulary with ranked merges and an end-of-word suffix."""
 
-    def __init__(self, raw: bytes):
+    def __init__(self, raw: bytes, unassigned_points: str | None = None):
         spec = json.loads(raw)
         model = spec["model"]
         self.vocab: dict[str, int] = model["vocab"]
@@ -65,7 +65,7 @@ class TrieEncoder:
         self.tokens = {i: t for t, i in self.vocab.items()} | {i: t for t, i in self.specials.items()}
         pairs = [tuple(m.split(" ")) if isinstance(m, str) else tuple(m) for m in model["merges"]]
         self.rank = {(self.vocab[a], self.vocab[b]): (r, self.vocab[a + b]) for r, (a, b) in enumerate(pairs)}
-        self._classes, self._unassigned = None, unassigned()
+        self._classes, self._unassigned = None, re.compile(unassigned_points) if unassigned_points else unassigned()
         self.letters = byte_letters()
         # symbol of each byte inside a word and at its end
         self.inner = {b: chr(self.vocab[x]) for b, x in self.letters.items()}
@@ -250,10 +250,10 @@ class _Chunks:
 _LOADED: dict[int, _Chunks] = {}  # of a Python worker, across the tasks that it runs
 
 
-def _encoded_chunks(raw: _Vocabulary) -> _Chunks:
+def _encoded_chunks(raw: _Vocabulary, unassigned_points: str) -> _Chunks:
     if raw.id not in _LOADED:
         _LOADED.clear()
-        _LOADED[raw.id] = _Chunks(TrieEncoder(raw.value))
+        _LOADED[raw.id] = _Chunks(TrieEncoder(raw.value, unassigned_points))
     return _LOADED[raw.id]
 
 
@@ -271,10 +271,10 @@ def encode_documents(docs: DataFrame, vocabulary_path: str, keep_ids: bool = Tru
     decoded text); repeated rows are encoded each; a null id stays null; other columns
     are left out.
     """
-    raw = _Vocabulary(docs.sparkSession, vocabulary_path)
+    raw, points = _Vocabulary(docs.sparkSession, vocabulary_path), unassigned().pattern  # found once, on the driver
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known = _encoded_chunks(raw)
+        known = _encoded_chunks(raw, points)
         encoder = known.encoder
         special = re.compile("(" + ("|".join(map(re.escape, sorted(encoder.specials, key=len, reverse=True)))
                                     or r"(?!)") + ")")
@@ -314,10 +314,10 @@ def encode_documents(docs: DataFrame, vocabulary_path: str, keep_ids: bool = Tru
 
 def decode_documents(encoded: DataFrame, vocabulary_path: str) -> DataFrame:
     """doc_id and the decoded text of rows with ``ids``; null ids decode to the empty text."""
-    raw = _Vocabulary(encoded.sparkSession, vocabulary_path)
+    raw, points = _Vocabulary(encoded.sparkSession, vocabulary_path), unassigned().pattern
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = _encoded_chunks(raw).encoder
+        encoder = _encoded_chunks(raw, points).encoder
         for batch in batches:
             texts = [encoder.decode(ids or []) for ids in batch.column(1).to_pylist()]
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(texts, pa.string())],
