@@ -1,15 +1,20 @@
 """Personal data by patterns, and information-theoretic sanitisation of what reveals it.
 
 The values that the patterns find (e-mail addresses, IP addresses, card and phone
-numbers) are the protected entities.  The corpus says how strongly a term reveals an
-entity c: with p taken over documents, a term t that stands near c tells
+numbers) are the protected entities, and so are what several values share: the domain
+of an address, the first three parts of an IP address, the first six digits of a card,
+the digits of a phone number before the last seven.  The corpus says how strongly a
+term reveals an entity c: with p taken over passages, a term t tells
 PMI(c; t) = log p(c, t) / (p(c) p(t)) of the entity's information IC(c) = -log p(c).
 A term whose share PMI / IC reaches the disclosure threshold, with enough documents to
 say so, is generalised to the class of words with its first letters if that class
 stays below the threshold, and removed otherwise.
 
-Counts cover all documents.  Terms of an entity are the words in a window beside it,
-so an entity with n occurrences gives O(n) rows and no pairs within a document.
+Passages cover every text from end to end: blocks of ``2 * window`` words (runs without
+white space, of at most 320 code points; longer runs are cut), each with the block after
+it, so that every block lies in two passages and words up to ``2 * window`` apart always
+share one, whatever stands between.  c, t and both are counted over the same passages.
+A passage has a bounded number of words, so an entity with n occurrences gives O(n) rows.
 
 DataFrame functions only.
 """
@@ -37,7 +42,9 @@ TERM_KINDS = ("general", "removed")
 _PART = r"0*(?:25[0-5]|2[0-4][0-9]|1[0-9][0-9]|[0-9]{1,2})"
 _IP = rf"^{_PART}(?:\.{_PART}){{3}}$"
 _WORD = r"\p{L}{3,}+"
-_REACH = 200
+# words with the white space behind them; the pattern leaves nothing out
+_BLOCK = r"(?:\S{1,320}+\s{0,320}+|\s{1,320}+){1,%d}+"
+_ANY = ""  # stands in every passage: its counts are those of the entity, and of all passages
 
 
 @dataclass(frozen=True)
@@ -46,7 +53,7 @@ class Disclosure:
 
     threshold: float = 0.9   # share of the entity's information that the term tells
     min_docs: int = 3        # documents that hold the term beside the entity
-    window: int = 8          # words on either side of the entity
+    window: int = 8          # half the words of a block
     stem: int = 3            # letters that a generalised term keeps
 
 
@@ -75,7 +82,7 @@ def _passes(kind: str, hit: Column) -> Column:
 
 
 def _pieces(kind: str) -> Column:
-    """(kind, at, gap, hit, left, right) of every match: the text before it and its neighbourhood.
+    """(kind, at, gap, hit) of every match: its number, the length of the text before it, and itself.
 
     ``split`` gives the texts between the matches that ``regexp_extract_all`` gives.
     """
@@ -83,14 +90,13 @@ def _pieces(kind: str) -> Column:
     gaps = F.split(F.col("text"), pattern, -1)
     hits = F.regexp_extract_all(F.col("text"), F.lit(pattern), F.lit(0))
     return F.when(F.col("text").rlike(pattern), F.transform(
-        F.arrays_zip(gaps.alias("gap"), hits.alias("hit"), F.slice(gaps, 2, F.size(gaps)).alias("next")),
+        F.arrays_zip(gaps.alias("gap"), hits.alias("hit")),
         lambda x, i: F.struct(F.lit(kind).alias("kind"), i.alias("at"), F.length(x["gap"]).alias("gap"),
-                              x["hit"].alias("hit"), F.right(x["gap"], F.lit(_REACH)).alias("left"),
-                              F.left(x["next"], F.lit(_REACH)).alias("right")))).otherwise(F.array())
+                              x["hit"].alias("hit")))).otherwise(F.array())
 
 
 def entity_spans(rows: DataFrame) -> DataFrame:
-    """(doc_id, th, kind, start, end, hit, left, right) of the base findings of keyed documents."""
+    """(doc_id, th, kind, start, end, hit) of the base findings of keyed documents."""
     pieces = rows.select("doc_id", "th", *[_pieces(k).alias(k) for k in BASE_KINDS])
     flat = pieces.select("doc_id", "th", F.explode(F.concat(*BASE_KINDS)).alias("p")).select("doc_id", "th", "p.*")
     # text before a match: all gaps and matches before it in the same document
@@ -101,49 +107,91 @@ def entity_spans(rows: DataFrame) -> DataFrame:
     for k in BASE_KINDS:
         test = F.when(F.col("kind") == k, _passes(k, F.col("hit"))).otherwise(test)
     return placed.where(test).select("doc_id", "th", "kind", (F.col("end") - F.length("hit")).alias("start"), "end",
-                                     "hit", "left", "right")
+                                     "hit")
 
 
-def _beside(rule: Disclosure) -> Column:
-    """Words near a finding, lower case; a word cut by the reach's border is left out."""
-    left = F.regexp_extract_all(F.when(F.length("left") == _REACH, F.regexp_replace("left", r"^\p{L}+", ""))
-                                .otherwise(F.col("left")), F.lit(_WORD), F.lit(0))
-    right = F.regexp_extract_all(F.when(F.length("right") == _REACH, F.regexp_replace("right", r"\p{L}+$", ""))
-                                 .otherwise(F.col("right")), F.lit(_WORD), F.lit(0))
-    near_left = F.slice(F.reverse(left), 1, rule.window)
-    return F.array_distinct(F.transform(F.concat(near_left, F.slice(right, 1, rule.window)), lambda w: F.lower(w)))
+def _entities() -> Column:
+    """What a finding protects: its value, and what it shares with other values of its kind (if anything)."""
+    kind, hit, digits = F.col("kind"), F.col("hit"), _digits(F.col("hit"))
+    shared = (F.when(kind == "email", F.concat(F.lit("@"), F.lower(F.substring_index(hit, "@", -1))))
+              .when(kind == "ip", F.concat(F.substring_index(hit, ".", 3), F.lit(".*")))
+              .when(kind == "card", F.concat(F.left(digits, F.lit(6)), F.lit("*")))
+              .when(F.length(digits) > 7, F.concat(F.left(digits, F.length(digits) - 7), F.lit("*"))))
+    return F.transform(F.array_compact(F.array(hit, shared)), lambda e: F.concat_ws(":", kind, e))
 
 
 def _class_of(term: Column, rule: Disclosure) -> Column:
     return F.concat(F.left(term, F.lit(rule.stem)), F.lit("*"))
 
 
+def _blocks(rule: Disclosure) -> Column:
+    return F.regexp_extract_all(F.col("text"), F.lit(_BLOCK % (2 * rule.window)), F.lit(0))
+
+
+def _terms_in(block: Column, rule: Disclosure) -> Column:
+    """The distinct words of a block, lower case, and their classes; addresses are no words (no other kind has letters)."""
+    plain = F.regexp_replace(block, PATTERNS["email"], " ")
+    words = F.array_distinct(F.transform(F.regexp_extract_all(plain, F.lit(_WORD), F.lit(0)), F.lower))
+    return F.array_distinct(F.concat(words, F.transform(words, lambda w: _class_of(w, rule))))
+
+
+def _both(a: Column, b: Column) -> Column:
+    return F.array_distinct(F.concat(F.array(F.lit(_ANY)), a, b))
+
+
+def _beside(rows: DataFrame, spans: DataFrame, rule: Disclosure) -> DataFrame:
+    """(entity, word, n_ct, n_docs): the passages and the documents that hold both, for all words of those passages.
+
+    Every row counts in ``n_ct``, as it does in the words' own counts; rows of one id and
+    text are one document.
+    """
+    none = F.array().cast("array<string>")
+    keys = broadcast_checked(land(spans.select(F.col("doc_id").alias("d"), F.col("th").alias("t")).distinct(), "pii-holders"))
+    here = (rows.join(keys, F.col("doc_id").eqNullSafe(F.col("d")) & (F.col("th") == F.col("t")), "left_semi")
+            .groupBy("doc_id", "th").agg(F.first("text").alias("text"), F.count(F.lit(1)).alias("copies")))
+    blocks = here.select("doc_id", "th", "copies", F.posexplode(_blocks(rule)).alias("at", "block")).select(
+        "doc_id", "th", "copies", "at", F.length("block").alias("size"), _terms_in(F.col("block"), rule).alias("words"))
+    along = Window.partitionBy("doc_id", "th").orderBy("at")
+    placed = blocks.select(
+        "doc_id", "th", (F.sum("size").over(along) - F.col("size")).alias("start"), F.lit(0).alias("side"),
+        F.struct("at", "copies", F.coalesce(F.lag("words").over(along), none).alias("before"), "words",
+                 F.coalesce(F.lead("words").over(along), none).alias("after")).alias("near"))
+    # a finding stands in the last block that starts at or before it
+    upto = Window.partitionBy("doc_id", "th").orderBy("start", "side").rowsBetween(Window.unboundedPreceding, 0)
+    found = spans.select("doc_id", "th", F.col("start").cast("long").alias("start"), F.lit(1).alias("side"), _entities().alias("entities"))
+    marks = placed.unionByName(found, allowMissingColumns=True).withColumn("near", F.last("near", True).over(upto))
+    passages = F.array(F.struct(F.col("near.at").alias("at"), _both(F.col("near.before"), F.col("near.words")).alias("words")),
+                       F.struct((F.col("near.at") + 1).alias("at"), _both(F.col("near.words"), F.col("near.after")).alias("words")))
+    met = (marks.where("side = 1").select("doc_id", "th", "near.copies", F.explode("entities").alias("entity"), passages.alias("passages"))
+           .select("doc_id", "th", "copies", "entity", F.explode("passages").alias("p"))
+           .select("doc_id", "th", "copies", "entity", "p.at", "p.words").dropDuplicates(["doc_id", "th", "entity", "at"]))
+    return (met.select("doc_id", "th", "copies", "entity", F.explode("words").alias("word"))
+            .groupBy("entity", "word", "doc_id", "th").agg(F.sum("copies").alias("n"))
+            .groupBy("entity", "word").agg(F.sum("n").alias("n_ct"), F.count(F.lit(1)).alias("n_docs")))
+
+
+def _passages_with(rows: DataFrame, wanted: DataFrame, rule: Disclosure) -> DataFrame:
+    """(word, n_t): the passages of all texts that hold each wanted word; an empty text is one passage without words."""
+    none = F.array(F.array().cast("array<string>"))
+    texts = rows.select(F.transform(_blocks(rule), lambda b: _terms_in(b, rule)).alias("blocks"))
+    words = texts.select(F.explode(F.zip_with(F.concat(none, "blocks"), F.concat("blocks", none), _both)).alias("words")).select(
+        F.explode("words").alias("word"))
+    return words.join(broadcast_checked(wanted), "word", "left_semi").groupBy("word").agg(F.count(F.lit(1)).alias("n_t"))
+
+
 def revealing_terms(rows: DataFrame, spans: DataFrame, rule: Disclosure = Disclosure()) -> DataFrame:
     """(term, kind) of the terms to generalise or remove, from the co-occurrences of the whole corpus.
 
     A term that reveals any entity is listed; it is generalised only if its class stays
     below the threshold for every entity beside which the term stands often enough.
     """
-    near = spans.select("doc_id", "th", F.concat_ws(":", "kind", "hit").alias("entity"), F.explode(_beside(rule)).alias("term"))
-    holders = spans.select("doc_id", "th", F.concat_ws(":", "kind", "hit").alias("entity")).distinct()
-    n_entity = holders.groupBy("entity").agg(F.count(F.lit(1)).alias("n_c"))
-    both = near.select("doc_id", "th", "entity", F.explode(F.array("term", _class_of(F.col("term"), rule))).alias("word"))
-    n_both = (both.distinct().groupBy("entity", "word").agg(F.count(F.lit(1)).alias("n_ct"))
-              .where(F.col("n_ct") >= rule.min_docs))
-    asked = land(n_both.join(n_entity, "entity"), "pii-cooccurrence")
-    wanted = asked.select("word").distinct()
-
-    said = F.transform(F.array_distinct(F.regexp_extract_all(F.col("text"), F.lit(_WORD), F.lit(0))), lambda w: F.lower(w))
-    vocabulary = rows.select(said.alias("words")).select(F.explode(F.array_distinct(F.concat(
-        F.col("words"), F.transform("words", lambda w: _class_of(w, rule))))).alias("word"))
-    n_word = vocabulary.join(broadcast_checked(wanted), "word", "left_semi").groupBy("word").agg(
-        F.count(F.lit(1)).alias("n_t"))
-    n_all = rows.count()
-    told = asked.join(n_word, "word").select(
-        "entity", "word",
-        (F.log(F.lit(float(n_all)) * F.col("n_ct") / (F.col("n_c") * F.col("n_t"))) >= rule.threshold * F.log(
-            F.lit(float(n_all)) / F.col("n_c"))).alias("told"), (F.col("n_c") < n_all).alias("some"))
-    told = told.withColumn("told", F.col("told") & F.col("some"))
+    asked = land(_beside(rows, spans, rule).where(F.col("n_docs") >= rule.min_docs), "pii-cooccurrence")
+    n_word = land(_passages_with(rows, asked.select("word").distinct(), rule), "pii-words")
+    n_all = F.coalesce(n_word.where(F.col("word") == _ANY).select("n_t").scalar().cast("double"), F.lit(0.0))
+    n_entity = asked.where(F.col("word") == _ANY).select("entity", F.col("n_ct").alias("n_c"))
+    told = asked.where(F.col("word") != _ANY).join(n_entity, "entity").join(n_word, "word").select(
+        "entity", "word", ((F.log(n_all * F.col("n_ct") / (F.col("n_c") * F.col("n_t"))) >= rule.threshold * F.log(
+            n_all / F.col("n_c"))) & (F.col("n_c") < n_all)).alias("told"))
     terms = told.where(~F.col("word").endswith("*")).withColumn("class", _class_of(F.col("word"), rule))
     classes = told.where(F.col("word").endswith("*")).select(F.col("word").alias("class"), "entity",
                                                              F.col("told").alias("class_told"))
@@ -182,8 +230,8 @@ def find_pii(docs: DataFrame, rule: Disclosure = Disclosure(), id_col: str = "do
 
     Base kinds come from the patterns, ``general`` and ``removed`` are the terms that the
     corpus shows to reveal a base finding, where they don't touch one.  Null or empty
-    text has no findings; repeated rows come out each and count as one document in the
-    corpus statistics' entities, so that a repeat adds no evidence; null ids stay null;
+    text has no findings; repeated rows come out each and are one document among those
+    that a term needs, so that a repeat adds no evidence; null ids stay null;
     other columns are left out.
     """
     rows = keyed_documents(docs, id_col, text_col)
