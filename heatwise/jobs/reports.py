@@ -1,17 +1,19 @@
 """Batch job: every report of the library written to one output folder.
 
     python -m heatwise.jobs.reports SF_DIR OUT_DIR [--models]
+    python -m heatwise.jobs.reports TRACE_CSV OUT_DIR --trace [--models]
 
 Writes the five summary reports as single CSVs with display names and as aligned
 text, the composite results document (JSON lines), the measured-heat log, and with
-``--models`` the prediction samples and metric lines of the fitted models.
+``--models`` the prediction samples and metric lines of the fitted models.  From a trace
+file (or folder of them) the same reports but the heat log, and the rejected lines.
 """
 
 from __future__ import annotations
 
 import argparse
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from heatwise.operators import clean as C
@@ -19,7 +21,9 @@ from heatwise.operators import ml as M
 from heatwise.operators import reports as R
 from heatwise.operators import rollup as U
 from heatwise.operators import telemetry as TM
+from heatwise.session import scratch_path
 from heatwise.sinks import writers as K
+from heatwise.sources import files as S
 from heatwise.sources import star
 
 # output name → (report function over the linear table, display-name set)
@@ -36,25 +40,41 @@ def _ordered_sample(df, n):
     return df.orderBy(*[F.col(c) for c in df.columns]).limit(n)
 
 
+def write_trace_reports(spark: SparkSession, trace: str, out: str, models: bool = False) -> list[str]:
+    """Every report of a trace CSV, from its lines; ``rejected`` holds the lines that are no task rows.
+
+    The accepted rows are written once and read by all reports.
+    """
+    out = out.rstrip("/")
+    good, bad = S.read_tasks_csv_checked(spark, trace)
+    K.write_csv(bad, f"{out}/rejected", mode="overwrite")
+    path = scratch_path(spark, "trace-tasks")
+    good.write.parquet(path)
+    typed = spark.read.schema(good.schema).parquet(path)
+    return ["rejected"] + write_reports(C.linear_tasks(typed), star.strings_of(typed), out, models)
+
+
 def write_all_reports(spark: SparkSession, sf_dir: str, out: str, models: bool = False) -> list[str]:
     out = out.rstrip("/")
+    heat = TM.measured_heat(TM.samples_from_events(star.read_table(spark, sf_dir, "events")))
+    K.write_heat_log(heat, f"{out}/heat_log", mode="overwrite")
+    raw = star.strings_of(star.land(spark, sf_dir, "tasks"))
+    return ["heat_log"] + write_reports(star.land(spark, sf_dir, "linear"), raw, out, models)
+
+
+def write_reports(lin: DataFrame, raw: DataFrame, out: str, models: bool = False) -> list[str]:
+    """The reports of a linear task table and of the same trace as strings."""
     written = []
-    lin = star.land(spark, sf_dir, "linear")
     for name, (fn, display) in SUMMARIES.items():
         rep = fn(lin)
         K.write_report(rep, f"{out}/{name}", display)
         K.write_table_text(rep, f"{out}/{name}_txt")
         written += [name, f"{name}_txt"]
 
-    raw = star.strings_of(star.land(spark, sf_dir, "tasks"))
     entries = U.with_result_key(U.composite_rollup(C.with_composite(C.parse_composite(raw))))
     K.write_results(entries, raw.select(F.count(F.lit(1))).scalar(), list(raw.columns), f"{out}/results")
     written.append("results")
 
-    heat = TM.measured_heat(TM.samples_from_events(star.read_table(spark, sf_dir, "events")))
-    K.write_heat_log(heat, f"{out}/heat_log", mode="overwrite")
-    written.append("heat_log")
-
     if models:
         lines = []
         for label in ("heat", "energy", "duration"):
@@ -86,13 +106,15 @@ def write_all_reports(spark: SparkSession, sf_dir: str, out: str, models: bool =
 
 def main() -> None:
     ap = argparse.ArgumentParser(description=__doc__.splitlines()[0])
-    ap.add_argument("sf_dir")
+    ap.add_argument("source", help="folder of the star tables, or the trace file with --trace")
     ap.add_argument("out_dir")
+    ap.add_argument("--trace", action="store_true")
     ap.add_argument("--models", action="store_true")
     args = ap.parse_args()
     from heatwise.session import build_session
     spark = build_session()
-    for name in write_all_reports(spark, args.sf_dir, args.out_dir, args.models):
+    write = write_trace_reports if args.trace else write_all_reports
+    for name in write(spark, args.source, args.out_dir, args.models):
         print(name)
     spark.stop()
 

@@ -13,7 +13,7 @@ from dataclasses import dataclass
 import numpy as np
 import pyarrow as pa
 from pyspark import StorageLevel
-from pyspark.ml import Pipeline
+from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import GBTClassifier, LogisticRegression, RandomForestClassifier
 from pyspark.ml.feature import QuantileDiscretizer, StandardScaler, StringIndexer, VectorAssembler
 from pyspark.ml.functions import vector_to_array
@@ -106,21 +106,21 @@ def regression_metrics_many(df: DataFrame, specs: list[tuple[dict, Column, Colum
     return df.agg(*aggs).select(F.explode(F.array(*rows)).alias("m")).select("m.*")
 
 
-def classification_metrics(pred: DataFrame, label: str, prediction: str = "prediction") -> DataFrame:
-    """Accuracy, f1, weighted precision and recall from the confusion counts.
+def classification_metrics(pred: DataFrame, label: str, prediction: str = "prediction", keys: list[str] = []) -> DataFrame:
+    """Accuracy, f1, weighted precision and recall from the confusion counts, per ``keys``.
 
     The confusion table has one row per (label, prediction) pair, so everything
     after the first aggregate works on a handful of rows.
     """
-    pairs = pred.select(F.col(label).cast("double").alias("l"), F.col(prediction).cast("double").alias("p"))
-    cnt = pairs.where("l IS NOT NULL AND p IS NOT NULL").groupBy("l", "p").agg(F.count(F.lit(1)).alias("n"))
+    pairs = pred.select(*keys, F.col(label).cast("double").alias("l"), F.col(prediction).cast("double").alias("p"))
+    cnt = pairs.where("l IS NOT NULL AND p IS NOT NULL").groupBy(*keys, "l", "p").agg(F.count(F.lit(1)).alias("n"))
     # each pair counts once for its label and once for its prediction: one scan, one more small aggregate
     zero = F.lit(0).cast("long")
     sides = F.array(
         F.struct(F.col("l").alias("l"), F.col("n").alias("n_l"), zero.alias("n_p"),
                  F.when(F.col("l") == F.col("p"), F.col("n")).otherwise(zero).alias("tp")),
         F.struct(F.col("p").alias("l"), zero.alias("n_l"), F.col("n").alias("n_p"), zero.alias("tp")))
-    per = cnt.select(F.explode(sides).alias("s")).groupBy("s.l").agg(
+    per = cnt.select(*keys, F.explode(sides).alias("s")).groupBy(*keys, "s.l").agg(
         F.sum("s.n_l").alias("n_l"), F.sum("s.n_p").alias("n_p"), F.sum("s.tp").alias("tp")).where("n_l > 0")
     prec = F.when(F.coalesce(F.col("n_p"), F.lit(0)) > 0, F.col("tp") / F.col("n_p")).otherwise(0.0)
     rec = F.col("tp") / F.col("n_l")
@@ -128,15 +128,15 @@ def classification_metrics(pred: DataFrame, label: str, prediction: str = "predi
     f1 = F.when(F.col("prec") + F.col("rec") > 0,
                 2 * F.col("prec") * F.col("rec") / (F.col("prec") + F.col("rec"))).otherwise(0.0)
     total = F.sum("n_l")
-    return per.withColumn("f1", f1).agg(
+    return per.withColumn("f1", f1).groupBy(*keys).agg(
         (F.sum("tp") / total).alias("accuracy"),
         (F.sum(F.col("f1") * F.col("n_l")) / total).alias("f1"),
         (F.sum(F.col("prec") * F.col("n_l")) / total).alias("weighted_precision"),
         (F.sum(F.col("rec") * F.col("n_l")) / total).alias("weighted_recall"))
 
 
-def auc(df: DataFrame, label: str, score: str, buckets: int | None = None) -> DataFrame:
-    """Exact area under the ROC curve (ties count one half).
+def auc(df: DataFrame, label: str, score: str, buckets: int | None = None, keys: list[str] = []) -> DataFrame:
+    """Exact area under the ROC curve (ties count one half), per ``keys`` (few, such as models).
 
     AUC = Σ over positives of (negatives scored lower + ½ negatives tied) / (P·N).
     Scores are first collapsed to (score → positives, negatives), so a score shared
@@ -144,9 +144,10 @@ def auc(df: DataFrame, label: str, score: str, buckets: int | None = None) -> Da
     once.  The running count of negatives is split into score ranges holding about
     equal numbers of distinct scores (approximate quantiles; only the split points
     reach the driver): a window per range for the within-range part, and offsets
-    from the range totals (at most ``buckets`` rows, broadcast).
+    from the range totals (at most ``buckets`` rows a key, broadcast).  Keys share the
+    ranges, so no range of a key has more scores than the range has in all.
     """
-    g = (df.groupBy(F.col(score).cast("double").alias("s"))
+    g = (df.groupBy(*keys, F.col(score).cast("double").alias("s"))
          .agg(F.sum(F.col(label).cast("long")).alias("pos"), F.count(F.lit(1)).alias("n"))
          .withColumn("neg", F.col("n") - F.col("pos")))
     # one scan of the input: the collapsed (score → counts) table is written to the
@@ -158,14 +159,14 @@ def auc(df: DataFrame, label: str, score: str, buckets: int | None = None) -> Da
     ranges = QuantileDiscretizer(inputCol="s", outputCol="b", numBuckets=buckets, relativeError=0.1 / buckets,
                                  handleInvalid="keep").fit(g)
     g = ranges.transform(g).withColumn("b", F.col("b").cast("int"))
-    before = Window.orderBy("b").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = (g.groupBy("b").agg(F.sum("neg").alias("bneg"))
-               .select("b", F.coalesce(F.sum("bneg").over(before), F.lit(0)).alias("offset")))
-    within = Window.partitionBy("b").orderBy("s").rowsBetween(Window.unboundedPreceding, -1)
+    before = Window.partitionBy(*keys).orderBy("b").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = (g.groupBy(*keys, "b").agg(F.sum("neg").alias("bneg"))
+               .select(*keys, "b", F.coalesce(F.sum("bneg").over(before), F.lit(0)).alias("offset")))
+    within = Window.partitionBy(*keys, "b").orderBy("s").rowsBetween(Window.unboundedPreceding, -1)
     g = g.withColumn("below", F.coalesce(F.sum("neg").over(within), F.lit(0)))
-    j = g.join(F.broadcast(offsets), "b")
+    j = g.join(F.broadcast(offsets), [*keys, "b"])
     u = F.sum(F.col("pos") * (F.col("offset") + F.col("below") + 0.5 * F.col("neg")))
-    return j.agg(F.try_divide(u, F.sum("pos").cast("double") * F.sum("neg")).alias("auc"))
+    return j.groupBy(*keys).agg(F.try_divide(u, F.sum("pos").cast("double") * F.sum("neg")).alias("auc"))
 
 
 # ---- M5: exact least squares -----------------------------------------------------------
@@ -402,30 +403,79 @@ def predict_label(df: DataFrame, label: str, features: list[str] = FS12, scaled:
     return model.transform(indexer.transform(test)).select(*out)
 
 
-def model_scores(df: DataFrame, features: list[str] = FS12) -> DataFrame:
-    """M9: every regressor on heat, energy and duration (rmse, mae, r2) and every
-    classifier on failure (auc), as a long (task, model, metric, value) table."""
-    data = df.withColumn("failed", F.col("failed").cast("double"))
-    train, test = _prepared(data, features, ["heat", "energy", "duration", "failed"])
-    parts = []
+MODEL_ROW = "array<struct<task: string, model: string, label: double, prediction: double, score: double>>"
+
+
+def predict_models(df: DataFrame, features: list[str] = FS12, regressors=REGRESSORS, classifiers=CLASSIFIERS) -> DataFrame:
+    """M8 / M9: (sl_no, machine_id, models) of the test side, the predictions of all models as one array.
+
+    Every element is (task, model, label, prediction, score); score, the probability of a
+    failure, is null for a regression.  The test side is read and transformed once, for all
+    models in one projection, and written; whatever is asked about the models reads that.
+    A side without rows gives no rows.
+    """
+    labels = ["heat", "energy", "duration", "failed"]
+    train, test = _prepared(df.withColumn("failed", F.col("failed").cast("double")), features, labels)
+    out, stages = [], []
     try:
-        for task in ("heat", "energy", "duration"):
-            for name, make in REGRESSORS.items():
-                pred = make(task).fit(train).transform(test)
-                parts.append(regression_metrics_long(pred, task).select(
-                    F.lit(f"{task}_prediction").alias("task"), F.lit(name).alias("model"), "metric", "value"))
-        for name, make in CLASSIFIERS.items():
-            pred = make("failed").fit(train).transform(test) \
-                .withColumn("score", vector_to_array("probability")[1])
-            parts.append(auc(pred, "failed", "score")
-                         .select(F.lit("failure_prediction").alias("task"), F.lit(name).alias("model"),
-                                 F.lit("auc").alias("metric"), F.col("auc").alias("value")))
+        if train.isEmpty() or test.isEmpty():
+            return _empty_like(df.withColumn("models", F.array().cast(MODEL_ROW)), ["sl_no", "machine_id", "models"])
+        for task in labels:
+            for name, make in (classifiers if task == "failed" else regressors).items():
+                at, score = f"_p{len(stages)}", F.lit(None).cast("double")
+                est = make(task).setPredictionCol(at)
+                if task == "failed":
+                    est = est.setRawPredictionCol(f"{at}r").setProbabilityCol(f"{at}s")
+                    score = vector_to_array(f"{at}s")[1]
+                stages.append(est.fit(train))
+                shown = "failure" if task == "failed" else task
+                out.append(F.struct(F.lit(f"{shown}_prediction").alias("task"), F.lit(name).alias("model"),
+                                    F.col(task).cast("double").alias("label"), F.col(at).alias("prediction"), score.alias("score")))
     finally:
         train.unpersist()
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return out
+    shared_dir(df.sparkSession)
+    return PipelineModel(stages).transform(test).select(
+        "sl_no", "machine_id", F.array(*out).cast(MODEL_ROW).alias("models")).checkpoint(eager=True)
+
+
+def _long(wide: DataFrame, metrics: list[str]) -> DataFrame:
+    return wide.select("task", "model", F.explode(F.array(*[
+        F.struct(F.lit(m).alias("metric"), F.col(m).alias("value")) for m in metrics])).alias("m")).select("task", "model", "m.*")
+
+
+def metrics_of_models(pred: DataFrame) -> DataFrame:
+    """(task, model, metric, value) of a ``models`` array: rmse, mae and r2 of regressions; accuracy,
+    f1, weighted precision and recall and the exact auc of classifiers; all models in each aggregate."""
+    rows = pred.select(F.explode("models").alias("m")).select("m.*")
+    keys, e = ["task", "model"], F.col("label") - F.col("prediction")
+    fits = rows.where("score IS NULL").groupBy(*keys).agg(
+        F.sqrt(F.avg(e * e)).alias("rmse"), F.avg(F.abs(e)).alias("mae"),
+        (1 - F.try_divide(F.sum(e * e), F.var_pop("label") * F.count(F.lit(1)))).alias("r2"))
+    judged = rows.where("score IS NOT NULL")
+    classes = ["accuracy", "f1", "weighted_precision", "weighted_recall"]
+    return (_long(fits, ["rmse", "mae", "r2"])
+            .unionByName(_long(classification_metrics(judged, "label", keys=keys), classes))
+            .unionByName(_long(auc(judged, "label", "score", keys=keys), ["auc"])))
+
+
+def confusion_of_models(pred: DataFrame) -> DataFrame:
+    """(task, model, label, prediction, count) of the classifiers of a ``models`` array, in one aggregate."""
+    rows = pred.select(F.explode("models").alias("m")).select("m.*").where("score IS NOT NULL")
+    return rows.groupBy("task", "model", "label", "prediction").agg(F.count(F.lit(1)).alias("count"))
+
+
+def sample_of_models(pred: DataFrame, n: int = 10) -> DataFrame:
+    """(sl_no, task, model, actual, prediction, residual) of the ``n`` test rows of least sl_no."""
+    few = pred.orderBy("sl_no", "machine_id").limit(n).select("sl_no", F.explode("models").alias("m"))
+    return few.select("sl_no", "m.task", "m.model", F.col("m.label").alias("actual"), "m.prediction",
+                      (F.col("m.label") - F.col("m.prediction")).alias("residual"))
+
+
+def model_scores(df: DataFrame, features: list[str] = FS12) -> DataFrame:
+    """M9: every regressor on heat, energy and duration (rmse, mae, r2) and every
+    classifier on failure (auc), as a long (task, model, metric, value) table."""
+    scores = metrics_of_models(predict_models(df, features))
+    return scores.where(F.col("metric").isin("rmse", "mae", "r2", "auc"))
 
 
 # ---- M14 / W1: comparison ---------------------------------------------------------------

@@ -35,6 +35,45 @@ def read_tasks_csv(spark: SparkSession, path: str, schema: T.StructType | None =
     return _by_name(strings, schema)
 
 
+_LINE, _FILE = "_corrupt_line", "_source_file"
+
+
+def read_tasks_csv_checked(spark: SparkSession, path: str, schema: T.StructType = TASKS) -> tuple[DataFrame, DataFrame]:
+    """S1 with P6 at the source: (accepted, rejected) of a header CSV.
+
+    The CSV reader's corrupt-record channel gives the lines with too few or too many fields
+    and those with open quotes; of the others, those where a value that is not blank does not
+    fit its column's type are rejected too.  ``rejected`` is (file, reason, field, line): reason
+    is ``quotes``, ``fields`` or ``value``, field the first column that does not fit.
+    ``accepted`` is bound by header name like ``read_tasks_csv``.  Every line that is not blank
+    and no header comes out once in one of the two.  Files whose headers differ are refused.
+    """
+    header = spark.read.option("header", True).csv(path).columns
+    lines = T.StructType([T.StructField(c, T.StringType()) for c in [*header, _LINE]])
+    raw = (spark.read.schema(lines).option("header", True).option("enforceSchema", False).option("columnPruning", False)
+           .option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", _LINE).csv(path)
+           .select("*", F.col("_metadata.file_name").alias(_FILE)))
+    typed = {f.name: f.dataType for f in schema.fields}
+    known = {c: "sl_no" if c == "SL.No" else {h: n for n, h in RAW_NAME.items()}.get(c, c) for c in header}
+    misfits = [F.when((F.trim(F.col(f"`{c}`")) != "") & F.trim(F.col(f"`{c}`")).try_cast(typed[known[c]]).isNull(), F.lit(c))
+               for c in header if known[c] in typed and typed[known[c]] != T.StringType()]
+    open_quote = F.regexp_count(F.col(_LINE), F.lit('"')) % 2 == 1
+    stray = F.lit(False)
+    for c in header:
+        stray = stray | F.coalesce(F.col(f"`{c}`").startswith('"'), F.lit(False))
+    reason = (F.when(F.col(_LINE).isNotNull() & open_quote, "quotes").when(F.col(_LINE).isNotNull(), "fields")
+              .when(stray, "quotes").when(F.col("_misfit").isNotNull(), "value"))
+    judged = raw.withColumn("_misfit", F.coalesce(*misfits, F.lit(None).cast("string"))).withColumn("_reason", reason)
+    fields = F.concat_ws(",", *[F.coalesce(F.col(f"`{c}`"), F.lit("")) for c in header])
+    rejected = judged.where("_reason IS NOT NULL").select(
+        F.col(_FILE).alias("file"), F.col("_reason").alias("reason"),
+        F.when(F.col("_reason") == "value", F.col("_misfit")).alias("field"), F.coalesce(_LINE, fields).alias("line"))
+    good = judged.where("_reason IS NULL").select(*[F.col(f"`{c}`").alias(known[c]) for c in header])
+    blank = [F.when(F.trim(F.col(c)) != "", F.col(c)).alias(c) if typed.get(c, T.StringType()) != T.StringType() else F.col(c)
+             for c in known.values()]
+    return _by_name(good.select(*blank), schema), rejected
+
+
 def read_strings_csv(spark: SparkSession, path: str) -> DataFrame:
     """Header CSV, every column a string."""
     return spark.read.option("header", True).csv(path)
@@ -137,6 +176,35 @@ def extract_score(lines: DataFrame, metric: str | None = None, line: str = "valu
     return sel.withColumn("score", X.last_number(line))
 
 
+# The score file of each task and the words that mark its score.
+SCORE_FILES = {
+    "Task Failure Rate Prediction": ("auc_failure_score.txt", "AUC Score"),
+    "Heat Produced Prediction": ("rmse_heat.txt", "RMSE"),
+    "Energy Consumed Prediction": ("rmse_energy.txt", "RMSE"),
+    "Task Execution Time Prediction": ("rmse_duration.txt", "RMSE"),
+}
+
+
+def read_scores(spark: SparkSession, path: str, files: dict[str, tuple[str, str]] = SCORE_FILES) -> DataFrame:
+    """(task, file, metric, score), one row per listed task.
+
+    The score is the last number of the first line of the task's file (or folder of part
+    files) that names the metric and holds a number; null where there is none or no file.
+    First is by part file, byte range and place in it, so a long file may be read by many tasks.
+    """
+    asked = spark.createDataFrame([(t, f, m) for t, (f, m) in files.items()], "task string, file string, metric string")
+    if not _exists(spark, path):
+        return asked.withColumn("score", F.lit(None).cast("double"))
+    lines = spark.read.option("recursiveFileLookup", True).text(path).select(
+        "value", F.regexp_extract(F.url_decode(F.replace("_metadata.file_path", F.lit("+"), F.lit("%2B"))),
+                                  r"([^/]+?)(?:/part-[^/]*)?$", 1).alias("file"),
+        F.struct("_metadata.file_path", "_metadata.file_block_start", F.monotonically_increasing_id()).alias("place"))
+    scored = lines.withColumn("score", X.last_number("value")).where("score IS NOT NULL")
+    found = (scored.join(F.broadcast(asked), "file").where(F.col("value").contains(F.col("metric")))
+             .groupBy("task").agg(F.min_by("score", "place").alias("score")))
+    return asked.join(found, "task", "left")
+
+
 def extract_number_pairs(lines: DataFrame, line: str = "value") -> DataFrame:
     """First two numbers of a line as (time, approx_heat); lines with fewer are skipped."""
     t, h = X.number_pair(line)
