@@ -143,7 +143,7 @@ def auc(df: DataFrame, label: str, score: str, buckets: int | None = None, keys:
     by many rows is one row; that table is checkpointed, so the input is scanned
     once.  The running count of negatives is split into score ranges holding about
     equal numbers of distinct scores (approximate quantiles; only the split points
-    reach the driver): a window per range for the within-range part, and offsets
+    reach the driver; no rows give no area): a window per range for the within-range part, and offsets
     from the range totals (at most ``buckets`` rows a key, broadcast).  Keys share the
     ranges, so no range of a key has more scores than the range has in all.
     """
@@ -155,7 +155,10 @@ def auc(df: DataFrame, label: str, score: str, buckets: int | None = None, keys:
     shared_dir(df.sparkSession)
     g = g.checkpoint(eager=True)
     # a range per 100,000 distinct scores, with borders exact to a tenth of a range
-    buckets = max(2, buckets or -(-g.count() // 100_000))
+    scores = g.count()
+    if not scores:
+        return g.groupBy(*keys).agg(F.max(F.lit(None).cast("double")).alias("auc"))
+    buckets = max(2, buckets or -(-scores // 100_000))
     ranges = QuantileDiscretizer(inputCol="s", outputCol="b", numBuckets=buckets, relativeError=0.1 / buckets,
                                  handleInvalid="keep").fit(g)
     g = ranges.transform(g).withColumn("b", F.col("b").cast("int"))

@@ -38,20 +38,24 @@ def read_tasks_csv(spark: SparkSession, path: str, schema: T.StructType | None =
 _LINE, _FILE = "_corrupt_line", "_source_file"
 
 
-def read_tasks_csv_checked(spark: SparkSession, path: str, schema: T.StructType = TASKS) -> tuple[DataFrame, DataFrame]:
+def read_tasks_csv_checked(spark: SparkSession, path: str, schema: T.StructType = TASKS,
+                           escape: str = "\\") -> tuple[DataFrame, DataFrame]:
     """S1 with P6 at the source: (accepted, rejected) of a header CSV.
 
     The CSV reader's corrupt-record channel gives the lines with too few or too many fields
     and those with open quotes; of the others, those where a value that is not blank does not
     fit its column's type are rejected too.  ``rejected`` is (file, reason, field, line): reason
     is ``quotes``, ``fields`` or ``value``, field the first column that does not fit.
+    A value that begins with a quote counts as an open one: the reader gives such a value for
+    a quote that closes before the field does.  ``escape`` is what stands before a quote inside
+    quotes (``sinks.write_csv`` writes a backslash, other programs the quote itself).
     ``accepted`` is bound by header name like ``read_tasks_csv``.  Every line that is not blank
     and no header comes out once in one of the two.  Files whose headers differ are refused.
     """
     header = spark.read.option("header", True).csv(path).columns
     lines = T.StructType([T.StructField(c, T.StringType()) for c in [*header, _LINE]])
     raw = (spark.read.schema(lines).option("header", True).option("enforceSchema", False).option("columnPruning", False)
-           .option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", _LINE).csv(path)
+           .option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", _LINE).option("escape", escape).csv(path)
            .select("*", F.col("_metadata.file_name").alias(_FILE)))
     typed = {f.name: f.dataType for f in schema.fields}
     known = {c: "sl_no" if c == "SL.No" else {h: n for n, h in RAW_NAME.items()}.get(c, c) for c in header}

@@ -28,7 +28,7 @@ def test_every_line_is_accepted_or_rejected(spark, scratch):
           '5,"a ""quoted"", one",1e-3,e', "6,,,", "7, ,  ,é", "8,x,0.5,e,more", "nine,x,0.5,e", '10,"q"x,0.5,e')
     write(f"{scratch}/t/b.csv", "SL.No,event,assigned_memory,extra", "11,x,NaN,e")
     write(f"{scratch}/t/c.csv", "SL.No,event,assigned_memory,extra")
-    good, bad = S.read_tasks_csv_checked(spark, f"{scratch}/t", SCHEMA)
+    good, bad = S.read_tasks_csv_checked(spark, f"{scratch}/t", SCHEMA, escape='"')
     assert good.schema == SCHEMA
     rows = {r.sl_no: r for r in good.collect()}
     assert set(rows) == {1, 5, 6, 7, 11}
