@@ -108,6 +108,24 @@ def with_composite(parsed: DataFrame) -> DataFrame:
     })
 
 
+def machine_runtime(raw: DataFrame) -> DataFrame:
+    """duration (D2), heat (H5) and energy (E2) of string task rows that name a machine; unreadable rows are left out."""
+    cols = ["average_usage_cpu", "assigned_memory", "end_time", "start_time"]
+    cpu, mem = P.number_or_zero("average_usage_cpu"), P.number_or_zero("assigned_memory")
+    dur = D.duration_clamped(P.number_or_zero("start_time"), P.number_or_zero("end_time"))
+    return raw.filter(P.clean_key("machine_id").isNotNull() & ~P.any_bad(cols)).select(
+        "sl_no", P.clean_key("machine_id").alias("machine_id"), dur.alias("duration"),
+        D.heat_runtime(cpu, dur).alias("heat"), D.energy_memory(cpu, mem, dur).alias("energy"))
+
+
+def dimension_heat(raw: DataFrame) -> DataFrame:
+    """the heat figures of the priority, class and collection reports (H2-H4) per string task row."""
+    cpu, mem = P.number_or_zero("average_usage_cpu"), P.number_or_zero("avg_usage_memory")
+    return raw.filter(~P.any_bad(["average_usage_cpu", "avg_usage_memory"])).select(
+        "sl_no", D.heat_priority(cpu).alias("heat_priority"), D.heat_class(cpu).alias("heat_class"),
+        D.heat_collection(mem).alias("heat_collection"))
+
+
 def present_features(df: DataFrame, wanted: list[str]) -> tuple[list[str], list[str]]:
     """P10: the wanted feature columns that exist, and those missing; none → error."""
     have = [c for c in wanted if c in df.columns]

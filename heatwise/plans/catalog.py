@@ -298,15 +298,7 @@ SELECT sl_no, {O.key('machine_id')} AS machine_id,
 FROM dirty WHERE {O.key('machine_id')} IS NOT NULL
   AND NOT {O.any_bad(['average_usage_cpu', 'assigned_memory', 'end_time', 'start_time'])}"""))
 def q_derive_machine(spark, d):
-    from heatwise.functions import derive as D
-    from heatwise.functions import parse as P
-    raw = dirty(spark, d)
-    t = raw.filter(P.clean_key("machine_id").isNotNull()
-                   & ~P.any_bad(["average_usage_cpu", "assigned_memory", "end_time", "start_time"]))
-    cpu, mem = P.number_or_zero("average_usage_cpu"), P.number_or_zero("assigned_memory")
-    dur = D.duration_clamped(P.number_or_zero("start_time"), P.number_or_zero("end_time"))
-    return r6(t.select("sl_no", P.clean_key("machine_id").alias("machine_id"), dur.alias("duration"),
-                       D.heat_runtime(cpu, dur).alias("heat"), D.energy_memory(cpu, mem, dur).alias("energy")))
+    return r6(C.machine_runtime(dirty(spark, d)).select("sl_no", "machine_id", "duration", "heat", "energy"))
 
 
 @register("derive_dimension_heat", _d(f"""
@@ -315,12 +307,7 @@ SELECT sl_no, round({O.num0('average_usage_cpu')}*1.8, 6) AS heat_priority,
   round({O.num0('avg_usage_memory')}*1.5, 6) AS heat_collection
 FROM dirty WHERE NOT {O.any_bad(['average_usage_cpu', 'avg_usage_memory'])}"""))
 def q_derive_dimension_heat(spark, d):
-    from heatwise.functions import derive as D
-    from heatwise.functions import parse as P
-    raw = dirty(spark, d).filter(~P.any_bad(["average_usage_cpu", "avg_usage_memory"]))
-    cpu, mem = P.number_or_zero("average_usage_cpu"), P.number_or_zero("avg_usage_memory")
-    return r6(raw.select("sl_no", D.heat_priority(cpu).alias("heat_priority"),
-                         D.heat_class(cpu).alias("heat_class"), D.heat_collection(mem).alias("heat_collection")))
+    return r6(C.dimension_heat(dirty(spark, d)))
 
 
 def _dim_sql(k: str, heat: str, extra_bad: list[str]) -> str:

@@ -13,7 +13,7 @@ from heatwise.operators import telemetry as TM
 from heatwise.plans import oracle as O
 from heatwise.plans.catalog import W, lin, r6, register, strings, tasks
 from heatwise.plans.registry_ml import _PRED_SQL, _TEST_SIDE, _long, fixed_metrics
-from heatwise.schema import FS12, RAW_COLUMNS
+from heatwise.schema import FS12, FS13, FS14
 from heatwise.session import scratch_path
 from heatwise.sinks import writers as K
 from heatwise.sources import files as S
@@ -42,7 +42,7 @@ def damaged_trace(spark, d) -> str:
     path = scratch_path(spark, "damaged-trace")
     (heads.unionByName(body).repartition(8, "bucket").sortWithinPartitions("bucket", "place")
      .select("bucket", "value").write.partitionBy("bucket").text(path))
-    return f"{path}/bucket=*"
+    return path
 
 
 _REASON = "CASE " + " ".join(f"WHEN {rule} THEN '{reason}'" for reason, rule in _DAMAGE) + " ELSE 'accepted' END"
@@ -215,3 +215,26 @@ def q_fitted_confusion(spark, d):
     counts = M.confusion_of_models(M.predict_models(lin(spark, d), FS12, **_FEW))
     return counts.groupBy("task", "model", "label").agg(F.sum("count").alias("count"), F.bool_and(
         F.col("prediction").isin(0.0, 1.0)).alias("classes"))
+
+
+_VARIANTS = {"heat": FS14, "energy": FS14, "duration": FS13}
+
+
+@register("linear_fit_variants", W(T_, L_, body=" UNION ALL ".join(f"""
+SELECT '{y}' AS label, term, rows, 0.0 AS correlation
+FROM (SELECT count(*) AS rows FROM lin WHERE NOT ({_TEST_SIDE})), (SELECT unnest({["intercept", *xs]}) AS term)"""
+                                                              for y, xs in _VARIANTS.items())))
+def q_linear_fit_variants(spark, d):
+    """M5 over the wider feature sets (heat is a multiple of one of them, so its fit is exact): normal equations."""
+    train, _ = M.hash_split(lin(spark, d))
+    fits = M.least_squares(train, FS14, ["heat", "energy"]) | M.least_squares(train, FS13, ["duration"])
+    return r6(M.normal_equations(train, fits))
+
+
+@register("failure_wide_rows", W(T_, L_, body=f"""
+SELECT sl_no, machine_id, CAST(failed AS DOUBLE) AS label, true AS predicted FROM lin WHERE {_TEST_SIDE}"""))
+def q_failure_wide_rows(spark, d):
+    """M6 over the 14 features: the test side of the failure forest, every row once with a class and a score."""
+    p = M.predict_failure(lin(spark, d), features=FS14)
+    ok = F.col("prediction").isin(0.0, 1.0) & F.col("score").between(0, 1)
+    return p.select("sl_no", "machine_id", F.col("failed").alias("label"), ok.alias("predicted"))

@@ -58,8 +58,18 @@ FS12 = [
     "memory_accesses_per_instruction", "sample_rate", "cpu_usage_distribution",
     "tail_cpu_usage_distribution",
 ]
-FS13 = FS12 + ["average_usage_cpu"]
-FS14 = FS13 + ["duration"]
+FS13 = [
+    "average_usage_cpu", "avg_usage_memory", "maximum_usage_memory", "maximum_usage",
+    "random_sample_usage_memory", "random_sample_usage_cpu", "assigned_memory",
+    "resource_request", "cycles_per_instruction", "memory_accesses_per_instruction",
+    "sample_rate", "cpu_usage_distribution", "tail_cpu_usage_distribution",
+]
+FS14 = [
+    "average_usage_cpu", "avg_usage_memory", "maximum_usage_memory", "maximum_usage",
+    "random_sample_usage_memory", "random_sample_usage_cpu", "assigned_memory", "duration",
+    "resource_request", "cycles_per_instruction", "memory_accesses_per_instruction",
+    "sample_rate", "cpu_usage_distribution", "tail_cpu_usage_distribution",
+]
 FS16 = [
     "average_usage_cpu", "avg_usage_memory", "maximum_usage_memory", "maximum_usage",
     "random_sample_usage_memory", "random_sample_usage_cpu", "assigned_memory", "duration",

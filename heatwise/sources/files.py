@@ -50,12 +50,13 @@ def read_tasks_csv_checked(spark: SparkSession, path: str, schema: T.StructType
     a quote that closes before the field does.  ``escape`` is what stands before a quote inside
     quotes (``sinks.write_csv`` writes a backslash, other programs the quote itself).
     ``accepted`` is bound by header name like ``read_tasks_csv``.  Every line that is not blank
-    and no header comes out once in one of the two.  Files whose headers differ are refused.
+    and no header comes out once in one of the two; files in folders below are read too.  Files whose headers differ are refused.
     """
-    header = spark.read.option("header", True).csv(path).columns
+    header = spark.read.option("header", True).option("recursiveFileLookup", True).csv(path).columns
     lines = T.StructType([T.StructField(c, T.StringType()) for c in [*header, _LINE]])
     raw = (spark.read.schema(lines).option("header", True).option("enforceSchema", False).option("columnPruning", False)
-           .option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", _LINE).option("escape", escape).csv(path)
+           .option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", _LINE).option("escape", escape)
+           .option("recursiveFileLookup", True).csv(path)
            .select("*", F.col("_metadata.file_name").alias(_FILE)))
     typed = {f.name: f.dataType for f in schema.fields}
     known = {c: "sl_no" if c == "SL.No" else {h: n for n, h in RAW_NAME.items()}.get(c, c) for c in header}
