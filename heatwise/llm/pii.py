@@ -44,6 +44,7 @@ _IP = rf"^{_PART}(?:\.{_PART}){{3}}$"
 _WORD = r"\p{L}{3,}+"
 # words with the white space behind them; the pattern leaves nothing out
 _BLOCK = r"(?:\S{1,320}+\s{0,320}+|\s{1,320}+){1,%d}+"
+_PART_SIZE = 512
 _ANY = ""  # stands in every passage: its counts are those of the entity, and of all passages
 
 
@@ -272,10 +273,14 @@ def sanitise(docs: DataFrame, rule: Disclosure = Disclosure(), id_col: str = "do
     found = found.select(F.col("doc_id").alias("d"), F.col("th").alias("t"), "found")
     joined = packed_rows(docs, id_col, text_col).join(
         found, F.col("doc_id").eqNullSafe(F.col("d")) & (F.col("th") == F.col("t")), "left")
-    source = F.col("doc").getField(text_col).cast("string")
+    # pieces are cut from parts of the text, since a place in a whole text is found by counting from its start
+    joined = joined.withColumn("parts", F.when(F.col("found").isNotNull(), F.regexp_extract_all(
+        F.col("doc").getField(text_col).cast("string"), F.lit("(?s).{1,%d}+" % _PART_SIZE), F.lit(0))))
 
     def cut(start, end):
-        return F.substr(source, start.cast("int") + 1, (end - start).cast("int"))
+        first = F.floor(start / _PART_SIZE).cast("int")
+        held = F.slice("parts", first + 1, F.greatest(F.ceil(end / _PART_SIZE).cast("int") - first, F.lit(0)))
+        return F.substr(F.array_join(held, ""), (start % _PART_SIZE).cast("int") + 1, (end - start).cast("int"))
 
     # the findings that are replaced, then the text between them and what stands for each, as one list
     none = F.array().cast("array<struct<kind: string, start: bigint, end: bigint>>")
@@ -287,11 +292,11 @@ def sanitise(docs: DataFrame, rule: Disclosure = Disclosure(), id_col: str = "do
 
     def put(s, i):
         before = F.when(i == 0, F.lit(0).cast("long")).otherwise(F.get("taken", i - 1)["end"])
-        shown = F.when(s["kind"] == "general", F.concat(F.substr(source, s["start"].cast("int") + 1, F.lit(rule.stem)), F.lit("*"))
+        shown = F.when(s["kind"] == "general", F.concat(cut(s["start"], s["start"] + rule.stem), F.lit("*"))
                        ).otherwise(F.concat(F.lit("["), F.upper(s["kind"]), F.lit("]")))
         return F.concat(cut(before, s["start"]), shown)
 
-    rest = F.substr(source, F.element_at("taken", -1)["end"].cast("int") + 1)
+    rest = cut(F.element_at("taken", -1)["end"], F.size("parts").cast("long") * _PART_SIZE)
     clean = F.concat(F.array_join(F.transform("taken", put), ""), rest)
     return joined.select(*[F.when(F.col("found").isNull(), F.col("doc").getField(c)).otherwise(clean).alias(c) if c == text_col
                            else F.col("doc").getField(c).alias(c) for c in docs.columns])

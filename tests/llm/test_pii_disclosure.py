@@ -119,3 +119,18 @@ def test_no_findings_no_terms(spark):
     df = spark.createDataFrame([(1, "no values at all"), (2, None)], "doc_id long, text string")
     keyed = pii.keyed_documents(df)
     assert pii.revealing_terms(keyed, pii.entity_spans(keyed)).count() == 0
+
+
+def test_sanitise_long_texts_is_brute_force(spark):
+    rnd = random.Random(5)
+    texts = ["😀é plain " * rnd.randint(0, 40) + " ".join(
+        rnd.choice(["a@b.cd", "10.0.0.1", "+1 (017) 555-7713", "4111 1111 1111 1111", "word", "日本語", "x" * 700])
+        for _ in range(n)) for n in (0, 1, 7, 60, 400, 3000)]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = {r.doc_id: r.text for r in pii.sanitise(df).collect()}
+    for i, text in enumerate(texts):
+        want, at = "", 0
+        for start, _, end, kind in brute_pii(text):
+            if start >= at:
+                want, at = want + text[at:start] + f"[{kind.upper()}]", end
+        assert got[i] == want + text[at:]
