@@ -4,7 +4,8 @@ The distinct words of a batch are inserted into a trie of symbols.  A depth-firs
 walk carries, for every prefix on the path, the last token of that prefix's
 encoding; the last token of a longer prefix follows from these alone: it is the one
 token that ends there and stands beside the last token of what precedes it without
-any merge across the border.  A prefix shared by many words is thus encoded once,
+any merge across the border.  The candidates are the tokens that the prefix ends with,
+kept by a state of the walk (the longest beginning of a token it ends with).  A prefix shared by many words is thus encoded once,
 and a word's ids are read off by stepping back from its end.
 
 Map-only: no shuffle, no collected state; a Python worker keeps a bounded table of
@@ -14,6 +15,7 @@ encoded words.
 from __future__ import annotations
 
 import functools
+import gc
 import hashlib
 import json
 import re
@@ -39,7 +41,7 @@ _SPACES = re.compile(f"[{SPACES}]+")
 # control characters that Python's split takes as white space and the vocabulary's engine doesn't
 _ODD = re.compile("[\x1c-\x1f]")
 
-CACHE_WORDS = 200_000
+CACHE_WORDS = 300_000
 SCHEMA = "doc_id long, n_tokens long, ids array<int>, ids_sha256 string, decoded_sha256 string, decoded string"
 
 
@@ -74,17 +76,47 @@ class TrieEncoder:
         self.halves = {whole: pair for pair, (_, whole) in sorted(self.rank.items(), key=lambda x: -x[1][0])}
         self.born = {whole: r for r, whole in sorted(self.rank.values(), reverse=True)}
         # tokens as strings of one character a symbol (a last letter with the suffix is one symbol)
-        self.spelled: dict[str, int] = {}
-        sizes: dict[str, set[int]] = {}
+        spelled: dict[str, int] = {}
         for token in self.born:
             s = self._spell(token)
             if self.merge([ord(c) for c in s]) == [token]:
-                self.spelled[s] = token
-                sizes.setdefault(s[-3:], set()).add(len(s))
-        # lengths of the tokens that end in three symbols, the longest first
-        self.sizes = {end: sorted(n, reverse=True) for end, n in sizes.items() if len(end) == 3}
+                spelled[s] = token
+        self._link(spelled)
         self._beside: dict[tuple[int, int], bool] = {}
 
+    def _link(self, spelled: dict[str, int]) -> None:
+        """States of what a prefix ends with: the longest beginning of a token.
+
+        ``step``: state and symbol (in one number) to the state of the longer beginning;
+        ``shorter``: the state of the next shorter beginning that a state ends with;
+        ``endings``: the tokens of two symbols and more that a state ends with, the longest first.
+        """
+        self.step: dict[int, int] = {}
+        self.shorter, self.endings = [0], [()]
+        level = {"": 0}
+        for size in range(1, max(map(len, spelled), default=0) + 1):
+            longer = {}
+            for s in {t[:size] for t in spelled if len(t) >= size}:
+                before, symbol = level[s[:-1]], ord(s[-1])
+                longer[s] = state = len(self.shorter)
+                # the shorter state is of an earlier level, whose steps are all known
+                back = self._after(self.shorter[before], symbol) if before else 0
+                self.step[before << 21 | symbol] = state
+                self.shorter.append(back)
+                own = ((size, spelled[s]),) if s in spelled else ()
+                self.endings.append(own + self.endings[back])
+            level = longer
+
+    def _after(self, state: int, symbol: int) -> int:
+        """State of the longest beginning of a token after one more symbol."""
+        while True:
+            after = self.step.get(state << 21 | symbol)
+            if after is not None:
+                return after
+            if not state:
+                return 0
+            state = self.shorter[state]
+
     def _spell(self, token: int) -> str:
         text = self.tokens[token]
         body = text.removesuffix(self.suffix) if self.suffix else text
@@ -146,10 +178,11 @@ class TrieEncoder:
         The words in symbol order are the trie in depth-first order: a node is a prefix,
         and what a word shares with the one before it is the part of the path that stays.
         """
-        spelled, sizes_of, fits = self.spelled, self.sizes, self._fits
+        step, shorter, endings, fits = self.step, self.shorter, self.endings, self._fits
+        beside = self._beside
         out: dict[str, list[int]] = {}
-        # by depth on the path: last token of the prefix that ends there, and its length
-        token_at, size_at = [0] * 64, [0] * 64
+        # by depth on the path: last token of the prefix that ends there, its length, and the prefix's state
+        token_at, size_at, state_at = [0] * 64, [0] * 64, [0] * 64
         before = ""
         word_of = {self.word_symbols(w): w for w in words}
         for path in sorted(word_of):
@@ -162,19 +195,26 @@ class TrieEncoder:
             if end >= len(token_at):
                 token_at += [0] * end
                 size_at += [0] * end
-            for depth in range(shared + 1, end + 1):
-                token, size = ord(path[depth - 1]), 1
-                if depth > 2:
-                    for n in sizes_of.get(path[depth - 3:depth], ()):
-                        if n <= depth:
-                            t = spelled.get(path[depth - n:depth])
-                            if t is not None and (n == depth or fits(token_at[depth - n], t)):
-                                token, size = t, n
-                                break
-                if size == 1 and depth > 1:
-                    t = spelled.get(path[depth - 2:depth])
-                    if t is not None and (depth == 2 or fits(token_at[depth - 2], t)):
-                        token, size = t, 2
+                state_at += [0] * end
+            depth, state = shared, state_at[shared]
+            for letter in path[shared:]:
+                depth += 1
+                symbol = ord(letter)
+                after = step.get(state << 21 | symbol)
+                while after is None and state:
+                    state = shorter[state]
+                    after = step.get(state << 21 | symbol)
+                state = state_at[depth] = after or 0
+                token, size = symbol, 1
+                for n, t in endings[state]:
+                    if n == depth:
+                        token, size = t, n
+                        break
+                    pair = (token_at[depth - n], t)
+                    ok = beside.get(pair)
+                    if ok or ok is None and fits(*pair):
+                        token, size = t, n
+                        break
                 token_at[depth], size_at[depth] = token, size
             ids = []
             while end:
@@ -184,18 +224,21 @@ class TrieEncoder:
             out[word_of[path]] = ids
         return out
 
-    def words(self, chunk: str) -> list[str]:
-        """Words of a chunk without white space: NFC, lower case letter by letter (no final sigma), then the pattern."""
-        if chunk.isascii():
-            chunk = chunk.lower()
-            if chunk.isalpha():
-                return [chunk]
-            if chunk[-1] in ".,;:!?" and chunk[:-1].isalpha():
-                return [chunk[:-1], chunk[-1]]
-        else:
-            if self._unassigned.search(chunk):
-                return self._newer_words(chunk)
-            chunk = unicodedata.normalize("NFC", chunk).replace("Σ", "σ").lower()
+    def words(self, chunks: Iterable[str]) -> dict[str, list[str]]:
+        """Words of chunks without white space: NFC, lower case letter by letter (no final sigma), then the pattern."""
+        chunks = list(chunks)
+        # asked of all letters at once, since that pattern is slow
+        newer = self._unassigned.search("".join(set("".join(chunks)))) is not None
+        return {c: self._newer_words(c) if newer and self._unassigned.search(c) else self._words(c) for c in chunks}
+
+    def _words(self, chunk: str) -> list[str]:
+        if not chunk.isascii():
+            chunk = unicodedata.normalize("NFC", chunk).replace("Σ", "σ")
+        chunk = chunk.lower()
+        if chunk.isalpha():
+            return [chunk]
+        if chunk[-1] in ".,;:!?" and chunk[:-1].isalpha():
+            return [chunk[:-1], chunk[-1]]
         return _WORD.findall(chunk)
 
     def _newer_words(self, chunk: str) -> list[str]:
@@ -217,33 +260,49 @@ class TrieEncoder:
         return " ".join(self.tokens[i] for i in ids)
 
 
-class _Chunks:
-    """Encoded white-space-free chunks: a word never crosses white space.
+class _Recent:
+    """Two generations of at most ``limit`` entries (or those of one call): what is asked for again
+    moves to the younger one, so that frequent keys stay and memory is bounded."""
+
+    def __init__(self, limit: int):
+        self.limit = limit
+        self.young: dict[str, tuple[bytes, int]] = {}
+        self.old: dict[str, tuple[bytes, int]] = {}
+
+    def unknown(self, keys: set[str]) -> list[str]:
+        """The keys without an entry; all others are in the younger generation then."""
+        new = [k for k in keys if k not in self.young]
+        if len(self.young) + len(new) > self.limit:
+            self.old, self.young, new = self.young, {}, list(keys)
+        young, old = self.young, self.old
+        young.update([(k, old[k]) for k in new if k in old])
+        return [k for k in new if k not in old]
+
+
+class _Chunks(_Recent):
+    """Ids of white-space-free chunks, as bytes, and their number: a word never crosses white space.
 
-    Two generations of at most ``CACHE_WORDS`` chunks: what is asked for again moves to
-    the younger one, so that frequent chunks stay and memory is bounded.
+    A chunk's words (without case and marks beside them) recur in other chunks; their ids
+    are kept in a table of their own.
     """
 
     def __init__(self, encoder: TrieEncoder):
+        super().__init__(CACHE_WORDS // 2)
         self.encoder = encoder
-        self.young: dict[str, tuple[bytes, str]] = {}
-        self.old: dict[str, tuple[bytes, str]] = {}
-
-    def add(self, chunks: set[str]) -> dict[str, tuple[bytes, str]]:
-        """(ids as bytes, decoded text) of chunks, these among them."""
-        if len(self.young) + len(chunks) > CACHE_WORDS:
-            self.old, self.young = self.young, {}
-        young, old = self.young, self.old
-        new = [c for c in chunks if c not in young]
-        young.update([(c, old[c]) for c in new if c in old])
-        split = {c: self.encoder.words(c) for c in new if c not in old}
-        encoded = self.encoder.encode_words({w for ws in split.values() for w in ws})
-        done = {w: (struct.pack(f"<{len(run)}I", *run), self.encoder.decode(run)) for w, run in encoded.items()}
+        self.of_words = _Recent(CACHE_WORDS)
+
+    def add(self, chunks: set[str]) -> dict[str, tuple[bytes, int]]:
+        """Ids as bytes and their number of chunks, these among them."""
+        split = self.encoder.words(self.unknown(chunks))
+        encoded = self.encoder.encode_words(self.of_words.unknown({w for ws in split.values() for w in ws}))
+        known, young = self.of_words.young, self.young
+        known.update([(w, (struct.pack(f"<{len(run)}I", *run), len(run))) for w, run in encoded.items()])
         for c, ws in split.items():
             if len(ws) == 1:
-                young[c] = done[ws[0]]
+                young[c] = known[ws[0]]
             else:
-                young[c] = (b"".join([done[w][0] for w in ws]), " ".join([done[w][1] for w in ws]))
+                ids = b"".join([known[w][0] for w in ws])
+                young[c] = (ids, len(ids) // 4)
         return young
 
 
@@ -261,6 +320,19 @@ def _chunks_of(text: str) -> list[str]:
     return [c for c in _SPACES.split(text) if c] if _ODD.search(text) else text.split()
 
 
+def _joined(runs: list[tuple[bytes, int]], indices: np.ndarray, ends: list[int]) -> tuple[np.ndarray, np.ndarray]:
+    """Ids of the runs that ``indices`` name, end to end, and where each document's ids begin and end.
+
+    ``ends`` are the positions in ``indices`` at which the documents meet, from 0 on.
+    """
+    store = np.frombuffer(b"".join([ids for ids, _ in runs]), dtype="<u4")
+    size = np.array([n for _, n in runs], dtype=np.int64)
+    first = np.cumsum(size) - size
+    sizes = size[indices]
+    upto = np.concatenate([[0], np.cumsum(sizes)])
+    return store[np.repeat(first[indices] - upto[:-1], sizes) + np.arange(upto[-1])], upto[ends]
+
+
 def encode_documents(docs: DataFrame, vocabulary_path: str, keep_ids: bool = True, keep_text: bool = False,
                      id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Ids of every whole text and the text that they decode to.
@@ -278,35 +350,49 @@ def encode_documents(docs: DataFrame, vocabulary_path: str, keep_ids: bool = Tru
         encoder = known.encoder
         special = re.compile("(" + ("|".join(map(re.escape, sorted(encoder.specials, key=len, reverse=True)))
                                     or r"(?!)") + ")")
-        own = {s: (np.array([i], dtype="<u4").tobytes(), s) for s, i in encoder.specials.items()}
+        own = {s: (struct.pack("<I", i), 1) for s, i in encoder.specials.items()}
+        # what each id adds to a decoded text
+        spoken = pa.array([encoder.tokens.get(i, "") + " " for i in range(max(encoder.tokens) + 1)], pa.large_string())
+
+        def encoded(part: pa.RecordBatch) -> pa.RecordBatch:
+            chunks: list[str] = []
+            ends = [0]
+            for text in part.column(1).to_pylist():
+                text = text or ""
+                if special.search(text):
+                    # a special string is cut out wherever it stands, so no other chunk equals one
+                    for i, p in enumerate(special.split(text)):
+                        chunks += [p] if i % 2 else _chunks_of(p)
+                else:
+                    chunks += _chunks_of(text)
+                ends.append(len(chunks))
+            coded = pa.array(chunks, pa.large_string()).dictionary_encode()
+            distinct, chunks = coded.dictionary.to_pylist(), []
+            look = known.add(set(distinct) - own.keys())
+            ids, bounds = _joined([own.get(c) or look[c] for c in distinct], coded.indices.to_numpy(), ends)
+            said = spoken.take(pa.array(ids))
+            letters = np.frombuffer(said.buffers()[1], dtype=np.int64)[bounds]
+            said = memoryview(said.buffers()[2] or b"")
+            spans = list(zip(bounds, bounds[1:]))
+            decoded = [said[x:max(x, y - 1)] for x, y in zip(letters, letters[1:])]
+            return pa.RecordBatch.from_arrays([
+                part.column(0),
+                pa.array(np.diff(bounds), pa.int64()),
+                pa.ListArray.from_arrays(pa.array(bounds, pa.int32()), pa.array(ids.view("<i4"), pa.int32()))
+                if keep_ids else pa.nulls(len(spans), pa.list_(pa.int32())),
+                pa.array([hashlib.sha256(ids[x:y]).hexdigest() for x, y in spans], pa.string()),
+                pa.array([hashlib.sha256(d).hexdigest() for d in decoded], pa.string()),
+                pa.array([str(d, "utf-8") if keep_text else None for d in decoded], pa.string()),
+            ], names=["doc_id", "n_tokens", "ids", "ids_sha256", "decoded_sha256", "decoded"])
+
         for batch in batches:
-            for part in text_slices(batch, 1):
-                cut = []
-                for text in part.column(1).to_pylist():
-                    text = text or ""
-                    if special.search(text):
-                        cut.append([x for i, p in enumerate(special.split(text))
-                                    for x in ([(True, p)] if i % 2 else [(False, c) for c in _chunks_of(p)])])
-                    else:
-                        cut.append(_chunks_of(text))
-                look = known.add({c if isinstance(c, str) else c[1] for d in cut for c in d
-                                  if isinstance(c, str) or not c[0]})
-                rows = []
-                for chunks in cut:
-                    got = [look[c] if isinstance(c, str) else own[c[1]] if c[0] else look[c[1]] for c in chunks]
-                    ids = b"".join([g[0] for g in got])
-                    decoded = " ".join([g[1] for g in got if g[1]])
-                    rows.append((ids, decoded))
-                yield pa.RecordBatch.from_arrays([
-                    part.column(0),
-                    pa.array([len(i) // 4 for i, _ in rows], pa.int64()),
-                    pa.array([np.frombuffer(i, dtype="<u4").astype(np.int32) if keep_ids else None for i, _ in rows],
-                             pa.list_(pa.int32())),
-                    pa.array([hashlib.sha256(i).hexdigest() for i, _ in rows], pa.string()),
-                    pa.array([hashlib.sha256(d.encode("utf-8", "surrogatepass")).hexdigest() for _, d in rows],
-                             pa.string()),
-                    pa.array([d if keep_text else None for _, d in rows], pa.string()),
-                ], names=["doc_id", "n_tokens", "ids", "ids_sha256", "decoded_sha256", "decoded"])
+            for part in text_slices(batch, 1, size=4 << 20):
+                gc.disable()  # strings, numbers and tuples of them only: no cycles to look for
+                try:
+                    out = encoded(part)
+                finally:
+                    gc.enable()
+                yield out
 
     src = docs.select(docs[id_col].cast("long").alias("doc_id"), docs[text_col].cast("string").alias("text"))
     return src.mapInArrow(run, SCHEMA)
