@@ -5,11 +5,12 @@ walk carries, for every prefix on the path, the last token of that prefix's
 encoding; the last token of a longer prefix follows from these alone: it is the one
 token that ends there and stands beside the last token of what precedes it without
 any merge across the border.  The candidates are the tokens that the prefix ends with,
-kept by a state of the walk (the longest beginning of a token it ends with).  A prefix shared by many words is thus encoded once,
-and a word's ids are read off by stepping back from its end.
+kept by a state of the walk (the longest beginning of a token it ends with).  A prefix
+shared by many words is thus encoded once, and a word's ids are read off by stepping
+back from its end.
 
-Map-only: no shuffle, no collected state; a Python worker keeps a bounded table of
-encoded words.
+Map-only: no shuffle, no collected state; a Python worker keeps bounded tables of
+encoded words and of chunks between white space.
 """
 
 from __future__ import annotations
