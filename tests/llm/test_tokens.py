@@ -111,3 +111,13 @@ def test_chunk_table_stays_bounded(encoder, monkeypatch):
         got = known.add(batch)
         assert batch <= set(got) and len(known.young) + len(known.old) <= 150
     assert got["often"] == known.add({"often"})["often"]
+
+
+@pytest.mark.parametrize("texts", [[None], ["", None, " \n "], ["<|endoftext|>", None], [None, "a b", ""]])
+def test_batches_of_null_and_empty_texts(spark, words, texts):
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").coalesce(1)
+    got = {r.doc_id: (r.n_tokens, r.ids, r.decoded)
+           for r in bpe_trie.encode_documents(df, P.path("word_bpe_49k.json"), keep_text=True).collect()}
+    for i, t in enumerate(texts):
+        ids = words.encode(t or "", add_special_tokens=False).ids
+        assert got[i] == (len(ids), ids, words.decode(ids, skip_special_tokens=False))
