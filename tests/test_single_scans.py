@@ -43,6 +43,18 @@ def landed(d):
     return {key[2] for key in star._LANDED if key[1] == d.rstrip("/")}
 
 
+def test_linear_is_landed_without_the_tasks(spark, star_dir):
+    n = star.land(spark, star_dir, "linear").count()
+    assert 0 < n <= 400
+    assert landed(star_dir) == {"linear"}
+
+
+def test_customers_meet_orders_first(spark, star_dir, conf):
+    conf("spark.sql.autoBroadcastJoinThreshold", "-1")
+    plan = star.tasks_from_star(spark, star_dir, spread=True)._jdf.queryExecution().optimizedPlan().toString()
+    assert 0 <= plan.index("Join Inner, (l_orderkey") < plan.index("Join Inner, (o_custkey")
+
+
 def test_damaged_trace_is_dealt_out_like_its_rows(spark, star_dir, conf):
     conf("spark.sql.adaptive.coalescePartitions.enabled", "false")
     path = registry_files.damaged_trace(spark, star_dir)
