@@ -43,6 +43,17 @@ def landed(d):
     return {key[2] for key in star._LANDED if key[1] == d.rstrip("/")}
 
 
+def test_single_scans_land_nothing(spark, star_dir):
+    rows = catalog.QUERIES["reducer_suite"](spark, star_dir).collect()
+    assert [r["duration_count"] for r in rows] == [400]
+    assert landed(star_dir) == set()
+    direct = sorted(map(str, catalog.strings(spark, star_dir).collect()))
+    star.land(spark, star_dir, "tasks")
+    again = catalog.strings(spark, star_dir)
+    assert all("landed-tasks" in f for f in again.inputFiles())
+    assert sorted(map(str, again.collect())) == direct
+
+
 def test_linear_is_landed_without_the_tasks(spark, star_dir):
     n = star.land(spark, star_dir, "linear").count()
     assert 0 < n <= 400
