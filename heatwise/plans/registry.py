@@ -47,7 +47,7 @@ def q_scan_csv_typed(spark, d):
 def q_scan_csv_strings(spark, d):
     """The string trace through CSV, every column read back as text, numbers typed by casts."""
     path = scratch_path(spark, "strings-csv")
-    K.write_csv(strings(spark, d), path)
+    K.write_csv(strings(spark, d), path, compression="gzip")
     back = S.read_strings_csv(spark, path)
     cols = [F.col(f"`{r}`").cast("double").alias(r) if c in _DOUBLES else F.col(f"`{r}`")
             for c, r in zip(TASK_COLUMNS, RAW_COLUMNS)]

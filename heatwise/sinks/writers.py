@@ -10,9 +10,12 @@ from pyspark.sql import functions as F
 from heatwise.schema import DISPLAY
 
 
-def write_csv(df: DataFrame, path: str, mode: str = "errorifexists") -> None:
-    """K1: a directory of header CSV parts; by default fails if the path exists."""
-    df.write.mode(mode).option("header", True).csv(path)
+def write_csv(df: DataFrame, path: str, mode: str = "errorifexists", compression: str = "none") -> None:
+    """K1: a directory of header CSV parts; by default fails if the path exists.
+
+    A compressed part is read by one task: for tables whose parts are many and bounded.
+    """
+    df.write.mode(mode).option("header", True).option("compression", compression).csv(path)
 
 
 def write_report(df: DataFrame, path: str, report: str | None = None) -> None:

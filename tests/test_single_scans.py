@@ -83,3 +83,10 @@ def test_damaged_trace_without_rows(spark, star_dir, tmp_path):
     for t in ("lineitem", "orders", "customer"):
         spark.read.parquet(f"{star_dir}/{t}.parquet").limit(0).write.parquet(f"{empty}/{t}.parquet")
     assert registry_files.q_csv_rejected_lines(spark, empty).collect() == []
+
+
+def test_strings_csv_is_written_compressed(spark, star_dir):
+    back = registry.q_scan_csv_strings(spark, star_dir)
+    assert back.count() == 400
+    assert all(f.endswith(".csv.gz") for f in back.inputFiles())
+    assert landed(star_dir) == set()
