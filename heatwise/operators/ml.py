@@ -8,6 +8,7 @@ evaluators of ``pyspark.ml.evaluation`` give the same numbers (see the tests).
 from __future__ import annotations
 
 from collections.abc import Iterator
+from contextlib import contextmanager
 from dataclasses import dataclass
 
 import numpy as np
@@ -18,7 +19,7 @@ from pyspark.ml.classification import GBTClassifier, LogisticRegression, RandomF
 from pyspark.ml.feature import QuantileDiscretizer, StandardScaler, StringIndexer, VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.ml.regression import DecisionTreeRegressor, GBTRegressor, LinearRegression
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from heatwise.operators.clean import present_features
@@ -330,10 +331,37 @@ def _empty_like(df: DataFrame, cols: list[str]) -> DataFrame:
     return df.select(*cols).limit(0)
 
 
+# File bytes of a part of a training side.  A learner keeps some 230 bytes for a row of 12
+# features and 20 trees, about five times what the row takes in a landed trace, and a task
+# reads one part of that in every pass; the scan's own cap (128 MB) makes such parts too large.
+TRAIN_PART_BYTES = 32 << 20
+
+
+@contextmanager
+def _small_parts(spark: SparkSession) -> Iterator[None]:
+    """File scans whose partitions are made inside read at most ``TRAIN_PART_BYTES`` a task."""
+    key = "spark.sql.files.maxPartitionBytes"
+    was = spark.conf.get(key)
+    if spark.sparkContext._jvm.org.apache.spark.network.util.JavaUtils.byteStringAsBytes(was) > TRAIN_PART_BYTES:
+        spark.conf.set(key, str(TRAIN_PART_BYTES))
+    try:
+        yield
+    finally:
+        spark.conf.set(key, was)
+
+
+def _kept(train: DataFrame) -> DataFrame:
+    """The training side persisted in small parts; tables below their size keep the parts they had."""
+    with _small_parts(train.sparkSession):
+        train = train.persist(StorageLevel.MEMORY_AND_DISK)
+        train.isEmpty()  # makes the partitions
+    return train
+
+
 def _prepared(df: DataFrame, features: list[str], labels: list[str]):
     """Persisted training side (features and labels only) and test side."""
     train, test = hash_split(assemble(df, features))
-    return train.select("features", *labels).persist(StorageLevel.MEMORY_AND_DISK), test
+    return _kept(train.select("features", *labels)), test
 
 
 def predict_regression(df: DataFrame, label: str, algo: str = "LinearRegression",
@@ -398,7 +426,7 @@ def predict_label(df: DataFrame, label: str, features: list[str] = FS12, scaled:
     stages = [StandardScaler(inputCol=raw, outputCol="features", withMean=True, withStd=True)] if scaled else []
     stages.append(_trees(RandomForestClassifier(labelCol=idx, featuresCol="features", seed=SEED,
                                                 numTrees=num_trees, maxDepth=max_depth)))
-    train = indexer.transform(train.select(raw, label)).select(raw, idx).persist(StorageLevel.MEMORY_AND_DISK)
+    train = _kept(indexer.transform(train.select(raw, label)).select(raw, idx))
     try:
         model = Pipeline(stages=stages).fit(train)
     finally:

@@ -166,3 +166,19 @@ def test_all_linear_keys_at_more_rows(spark):
         con.execute(f"CREATE VIEW {t} AS SELECT * FROM '{folder}/{t}.parquet'")
     for key in ("linear_fit_check", "linear_fit_single"):
         assert_same(E.queries()[key](spark, folder).toPandas(), con.execute(E.oracle_sql()[key]).df())
+
+
+def test_training_sides_come_in_small_parts(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(M, "TRAIN_PART_BYTES", 1000, raising=False)
+    spark.range(20_000).selectExpr("id AS sl_no", "CAST(id % 7 AS double) AS a", "CAST(id % 11 AS double) AS b", "id % 3 AS y").coalesce(1) \
+        .write.option("maxRecordsPerFile", 1000).parquet(f"{tmp_path}/t")
+    key = "spark.sql.files.maxPartitionBytes"
+    was = spark.conf.get(key)
+    train, test = M._prepared(spark.read.parquet(f"{tmp_path}/t"), ["a", "b"], ["y"])
+    try:
+        rows = [r["count"] for r in train.groupBy(F.spark_partition_id()).count().collect()]
+        assert sum(rows) + test.count() == 20_000
+        assert max(rows) <= 1000
+        assert spark.conf.get(key) == was
+    finally:
+        train.unpersist()

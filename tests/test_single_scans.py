@@ -3,6 +3,7 @@
 import datetime
 import glob
 
+import pyarrow.parquet as pq
 import pytest
 
 from heatwise.plans import catalog, registry, registry_files
@@ -87,3 +88,11 @@ def test_strings_csv_is_written_compressed(spark, star_dir):
     assert back.count() == 400
     assert all(f.endswith(".csv.gz") for f in back.inputFiles())
     assert landed(star_dir) == set()
+
+
+def test_linear_trace_is_landed_in_small_files(spark, star_dir, monkeypatch):
+    monkeypatch.setattr(star, "FILE_ROWS", {"linear": 50}, raising=False)
+    lin = star.land(spark, star_dir, "linear")
+    rows = [pq.read_metadata(f.removeprefix("file://")).num_rows for f in lin.inputFiles()]
+    assert sum(rows) == lin.count() > 50
+    assert max(rows) <= 50
