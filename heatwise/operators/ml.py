@@ -311,6 +311,18 @@ def _trees(est):
     return est.setMaxMemoryInMB(TREE_MEMORY_MB)
 
 
+# Depth from which a forest keeps the node that each row has reached in each tree, so that a pass
+# need not walk from the roots.  The trees are the same; the ids take 4 bytes a row and tree, some
+# generations of them at once (memory, then local disk).  Shorter paths aren't worth that.
+NODE_ID_DEPTH = 8
+
+
+def _forest(est: RandomForestClassifier) -> RandomForestClassifier:
+    """``est`` with the settings that change how its trees are grown, but not the trees."""
+    deep = est.getMaxDepth() >= NODE_ID_DEPTH
+    return _trees(est.setCacheNodeIds(True).setCheckpointInterval(-1) if deep else est)
+
+
 REGRESSORS = {
     "LinearRegression": lambda label: LinearRegression(labelCol=label, featuresCol="features"),
     "DecisionTree": lambda label: _trees(
@@ -424,8 +436,8 @@ def predict_label(df: DataFrame, label: str, features: list[str] = FS12, scaled:
         return _empty_like(data.withColumns({idx: F.lit(0.0), "prediction": F.lit(0.0)}), out)
     indexer = StringIndexer(inputCol=label, outputCol=idx, stringOrderType="frequencyDesc").fit(data.select(label))
     stages = [StandardScaler(inputCol=raw, outputCol="features", withMean=True, withStd=True)] if scaled else []
-    stages.append(_trees(RandomForestClassifier(labelCol=idx, featuresCol="features", seed=SEED,
-                                                numTrees=num_trees, maxDepth=max_depth)))
+    stages.append(_forest(RandomForestClassifier(labelCol=idx, featuresCol="features", seed=SEED,
+                                                 numTrees=num_trees, maxDepth=max_depth)))
     train = _kept(indexer.transform(train.select(raw, label)).select(raw, idx))
     try:
         model = Pipeline(stages=stages).fit(train)

@@ -182,3 +182,25 @@ def test_training_sides_come_in_small_parts(spark, tmp_path, monkeypatch):
         assert spark.conf.get(key) == was
     finally:
         train.unpersist()
+
+
+def test_deep_forests_keep_node_ids_and_their_trees(spark, monkeypatch):
+    rows = spark.range(3000).selectExpr("id AS sl_no", "CAST(id * 37 % 101 AS double) AS a", "CAST(id * 53 % 89 AS double) AS b",
+                                        "CAST(id * 37 % 101 * (id * 53 % 89) % 4 AS int) AS y")
+    seen, fit = [], M.RandomForestClassifier._fit
+
+    def spy(self, train):
+        seen.append((self.getMaxDepth(), self.getCacheNodeIds(), self.getMaxMemoryInMB()))
+        return fit(self, train)
+
+    monkeypatch.setattr(M.RandomForestClassifier, "_fit", spy)
+
+    def predicted():
+        p = M.predict_label(rows, "y", ["a", "b"], scaled=True, num_trees=5, max_depth=10)
+        return sorted(map(tuple, p.collect()))
+
+    cached = predicted()
+    M.predict_label(rows, "y", ["a", "b"], num_trees=2)
+    monkeypatch.setattr(M, "NODE_ID_DEPTH", 31, raising=False)
+    assert predicted() == cached and len({r[3] for r in cached}) > 1
+    assert seen == [(10, True, M.TREE_MEMORY_MB), (5, False, M.TREE_MEMORY_MB), (10, False, M.TREE_MEMORY_MB)]
