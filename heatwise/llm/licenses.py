@@ -204,9 +204,12 @@ def scan_licenses(docs: DataFrame, license_texts: DataFrame | None = None, thres
         "license", "text_hash", "span", _bands().alias("b")).select("license", "text_hash", "span", "b.*")
     met = of_windows.join(broadcast_checked(of_known), ["span", "band", "value"]).select(*window, "license", "text_hash").distinct()
 
+    # both sides grow with the documents and are always dealt out: Spark takes the windows to be as small as the
+    # file of the hits that they are made of, and would collect them all on the driver for a broadcast
     met = met.withColumnsRenamed({"doc_id": "d", "th": "t", "span": "s", "win": "w"})
-    pairs = windows.join(met, F.col("doc_id").eqNullSafe(F.col("d")) & (F.col("th") == F.col("t"))
-                         & (F.col("span") == F.col("s")) & (F.col("win") == F.col("w"))).drop("d", "t", "s", "w")
+    same = (F.col("doc_id").eqNullSafe(F.col("d")) & (F.col("th") == F.col("t"))
+            & (F.col("span") == F.col("s")) & (F.col("win") == F.col("w")))
+    pairs = windows.hint("merge").join(met, same).drop("d", "t", "s", "w")
     shared = (pairs.join(small, ["license", "text_hash", "span", "h", "g"])
               .groupBy(*window, "license", "text_hash", "n_shingles")
               .agg(F.count_distinct("h", "g").alias("n_shared"), F.min("pos").alias("first_word"))
